@@ -144,7 +144,7 @@ JOBS = {
         EnrichmentJob(
             "dataElement-values",
             "dataValues",
-            "dataElement-values/*.json",
+            "dataElement-values",
             (
                 "dataElement", "period", "orgUnit", "categoryOptionCombo",
                 "attributeOptionCombo", "value", "storedBy", "created", "lastUpdated",
@@ -167,7 +167,7 @@ JOBS = {
         EnrichmentJob(
             "events",
             "events",
-            "events/*.json",
+            "events",
             (
                 "program", "event", "programStage", "orgUnit", "trackedEntityInstance",
                 "enrollment", "enrollmentStatus", "status", "orgUnitName", "eventDate",
@@ -184,7 +184,7 @@ JOBS = {
         EnrichmentJob(
             "trackedentityinstances",
             "trackedEntityInstances",
-            "trackedentityinstances/*.json",
+            "trackedentityinstances",
             (
                 "programOwners_program", "created", "lastUpdated", "orgUnit", "inactive",
                 "deleted", "attributes_code", "attributes_value", "trackedEntityInstance",

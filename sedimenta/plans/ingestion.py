@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sedimenta.operators.requests import id_list, request_plan
 from sedimenta.operators.watermark import high_watermark
-from sedimenta.schemas import RECORD_DDL, document_schema
+from sedimenta.schemas import document_schema
 from sedimenta.sources.landing import read_landing, schema_drift
 from sedimenta.sources.tables import read_table, table_exists
 
@@ -133,6 +133,5 @@ def plan_extract(
 def check_landing(spark: SparkSession, folder: str, landing_root: str) -> dict[str, list[str]]:
     """Which fields landed that are not declared, and which declared ones did not."""
     extract = EXTRACTS[folder]
-    assert extract.root in RECORD_DDL
-    path = f"{landing_root}/{extract.folder}/{extract.file_name or '*.json'}"
+    path = f"{landing_root}/{extract.folder}/{extract.file_name or ''}"
     return schema_drift(spark, path, document_schema(extract.root))

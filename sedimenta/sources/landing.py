@@ -15,8 +15,9 @@ def read_landing(
     schema: StructType | str | None = None,
     multiline: bool = False,
     streaming: bool = False,
+    max_files: int | None = None,
 ) -> DataFrame:
-    """Landed JSON, a file, a folder or a glob.
+    """Landed JSON: a file, a glob, or a folder with all that lies below it.
 
     With a ``schema`` nothing is inferred and unknown fields are skipped by the
     parser. Without one Spark infers it, which reads everything once more.
@@ -25,6 +26,9 @@ def read_landing(
     if schema is not None:
         reader = reader.schema(schema)
     reader = reader.option("multiLine", str(multiline).lower())
+    reader = reader.option("recursiveFileLookup", "true")
+    if streaming and max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     df = reader.json(path)
     if schema is None:
         return df
@@ -77,6 +81,7 @@ def schema_drift(
     """Fields the landed data have and the schema has not, and the reverse."""
     found = (
         spark.read.option("multiLine", str(multiline).lower())
+        .option("recursiveFileLookup", "true")
         .option("samplingRatio", str(sampling_ratio))
         .json(path)
         .schema

@@ -54,13 +54,9 @@ def stream_enrichment(
     job = JOBS[name]
     if not job.keys:
         raise ValueError(f"{name} replaces its table and cannot follow a stream")
-    documents = read_landing(spark, landing, schema or job.schema(), streaming=True)
-    if max_files:
-        documents = (
-            spark.readStream.schema(schema or job.schema())
-            .option("maxFilesPerTrigger", max_files)
-            .json(landing)
-        )
+    documents = read_landing(
+        spark, landing, schema or job.schema(), streaming=True, max_files=max_files
+    )
 
     def merge(batch: DataFrame, _: int) -> None:
         rows = enrich(job, batch, on_duplicate=options.get("on_duplicate"))
