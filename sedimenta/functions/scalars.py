@@ -19,7 +19,7 @@ def _column(c: Column | str) -> Column:
 
 def iso_timestamp(text: Column | str) -> Column:
     """ISO text to timestamp. Fraction and offset are ignored, bad text is NULL."""
-    return F.try_to_timestamp(_column(text).substr(1, ISO_SECONDS))
+    return _column(text).substr(1, ISO_SECONDS).try_cast("timestamp")
 
 
 def iso_date(text: Column | str) -> Column:

@@ -44,11 +44,11 @@ def has_records(df: DataFrame, root: str) -> bool:
 def records(df: DataFrame, root: str, spread: int | None = None) -> DataFrame:
     """One row per record, as a struct column named ``root``.
 
-    Documents without records (no array, or an empty one) give no row. A large
-    document is a single row that no task can share, so ``spread`` deals its
-    records out over that many partitions before anything else is exploded.
+    Documents without records (no array, an empty one, a NULL in it) give no row.
+    A large document is a single row that no task can share, so ``spread`` deals
+    its records out over that many partitions before anything else is exploded.
     """
-    out = df.filter(F.size(root) >= 1).select(F.explode(root).alias(root))
+    out = df.select(F.explode_outer(root).alias(root)).filter(F.col(root).isNotNull())
     return out.repartition(spread) if spread else out
 
 

@@ -1,0 +1,167 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import sedimenta as sd
+
+DDL = "k STRING, g STRING, v INT, at INT"
+
+
+def frame(spark, data):
+    return spark.createDataFrame(data, DDL)
+
+
+@pytest.fixture
+def target(spark):
+    return frame(spark, [("a", "x", 1, 5), ("b", "x", 2, 5), ("c", None, 3, 5), (None, "x", 4, 5)])
+
+
+def test_update_insert_keep(spark, target, rows):
+    source = frame(spark, [("a", "x", 10, 6), ("z", "x", 11, 6)])
+    got = sd.upsert(target, source, ["k", "g"])
+    assert rows(got) == sorted(
+        [
+            ("a", "x", 10, 6), ("z", "x", 11, 6), ("b", "x", 2, 5), ("c", None, 3, 5),
+            (None, "x", 4, 5),
+        ],
+        key=repr,
+    )
+
+
+def test_null_key_never_matches_unless_null_safe(spark, target, rows):
+    source = frame(spark, [("c", None, 30, 6)])
+    assert len(rows(sd.upsert(target, source, ["k", "g"]))) == 5
+    got = rows(sd.upsert(target, source, ["k", "g"], null_safe=True))
+    assert len(got) == 4 and ("c", None, 30, 6) in got
+
+
+def test_repeated_upsert_changes_nothing(spark, target, rows):
+    source = frame(spark, [("a", "x", 10, 6), ("c", None, 30, 6), ("q", None, 1, 6)])
+    once = sd.upsert(target, source, ["k", "g"], null_safe=True)
+    twice = sd.upsert(once, source, ["k", "g"], null_safe=True)
+    assert rows(once) == rows(twice)
+
+
+def test_random_batches_against_a_dictionary(spark, rows):
+    rng = random.Random(3)
+    keys = [(rng.choice("abcdefgh"), rng.choice(["x", "y", None])) for _ in range(40)]
+    old = {k: (*k, i, rng.randrange(9)) for i, k in enumerate(keys[:25])}
+    new = {k: (*k, 100 + i, rng.randrange(9)) for i, k in enumerate(keys[15:])}
+    got = rows(
+        sd.upsert(
+            frame(spark, list(old.values())), frame(spark, list(new.values())), ["k", "g"],
+            null_safe=True,
+        )
+    )
+    assert got == sorted((old | new).values(), key=repr)
+    newer = rows(
+        sd.upsert(
+            frame(spark, list(old.values())), frame(spark, list(new.values())), ["k", "g"],
+            null_safe=True, newer_only="at",
+        )
+    )
+    merged = old | {k: r for k, r in new.items() if k not in old or old[k][3] <= r[3]}
+    assert newer == sorted(merged.values(), key=repr)
+
+
+def test_duplicate_policies(spark, target, rows):
+    source = frame(spark, [("a", "x", 10, 6), ("a", "x", 11, 7), ("n", None, 1, 1)])
+    with pytest.raises(Exception, match="duplicate key"):
+        sd.upsert(target, source, ["k", "g"]).collect()
+    latest = sd.upsert(target, source, ["k", "g"], on_duplicate="latest", order_by="at")
+    assert ("a", "x", 11, 7) in rows(latest) and len(rows(latest)) == 5
+    both = sd.upsert(target, source, ["k", "g"], on_duplicate="allow")
+    assert len(rows(both)) == 6
+    with pytest.raises(ValueError, match="order_by"):
+        sd.upsert(target, source, ["k"], on_duplicate="latest")
+    with pytest.raises(ValueError, match="on_duplicate"):
+        sd.upsert(target, source, ["k"], on_duplicate="whatever")
+
+
+def test_latest_per_key_and_null_keys(spark, rows):
+    df = frame(spark, [("a", None, 1, 1), ("a", None, 2, 2), ("b", "x", 3, 1), ("b", "x", 4, None)])
+    assert rows(sd.latest_per_key(df, ["k", "g"], "at")) == [("a", None, 2, 2), ("b", "x", 3, 1)]
+    apart = rows(sd.latest_per_key(df, ["k", "g"], "at", null_safe=False))
+    assert apart == sorted([("a", None, 1, 1), ("a", None, 2, 2), ("b", "x", 3, 1)], key=repr)
+
+
+def test_latest_tie_is_repeatable(spark, rows):
+    df = frame(spark, [("a", "x", v, 1) for v in (9, 3, 5)])
+    for parts in (1, 3):
+        assert rows(sd.latest_per_key(df.repartition(parts), ["k"], "at")) == [("a", "x", 3, 1)]
+
+
+def test_require_unique(spark, target, rows):
+    assert rows(sd.require_unique(target, ["k", "g"])) == rows(target)
+    with pytest.raises(Exception, match="duplicate key"):
+        sd.require_unique(target.union(target), ["k", "g"]).count()
+    nulls = frame(spark, [("a", None, 1, 1), ("a", None, 2, 1)])
+    assert sd.require_unique(nulls, ["k", "g"], null_safe=False).count() == 2
+
+
+def test_columns_must_agree(spark, target):
+    with pytest.raises(ValueError, match="same columns"):
+        sd.upsert(target, target.drop("v"), ["k"])
+
+
+def test_group_limit_goes_before_the_shuffle(target):
+    plan = sd.latest_per_key(target, ["k"], "at")._jdf.queryExecution().executedPlan().toString()
+    assert "row_number(), 1, Partial" in plan
+
+
+def test_small_batch_does_not_shuffle_the_target(spark, target, tmp_path):
+    target.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    source = sd.stage(frame(spark, [("a", "x", 1, 1)]), "batch")
+    df = sd.upsert(stored, source, ["k", "g"], on_duplicate="allow", null_safe=True)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_watermark(spark, rows):
+    df = spark.createDataFrame(
+        [("a", "2024-01-02 03:04:05"), ("b", "2024-01-01 00:00:00")], "u STRING, t STRING"
+    ).withColumn("t", F.to_timestamp("t"))
+    mark = sd.high_watermark(df, "t")
+    assert mark == "2024-01-02T03:04:05"
+    assert sd.high_watermark(df.limit(0), "t") is None
+    assert rows(sd.high_watermark(df, "t", by="u")) == [
+        ("a", "2024-01-02T03:04:05"), ("b", "2024-01-01T00:00:00"),
+    ]
+    assert sd.changed_since(df, "t", mark).count() == 1
+    assert sd.changed_since(df, "t", mark, lookback=3 * 86400).count() == 2
+    assert sd.changed_since(df, "t", None).count() == 2
+    assert sd.max_of(df, "t").first()[0].year == 2024
+    assert sd.max_of(df.limit(0), "t").first()[0] is None
+
+
+def test_active_only(spark):
+    df = spark.createDataFrame([(True,), (False,), (None,)], "deleted BOOLEAN")
+    assert sd.active_only(df).count() == 2
+
+
+def test_request_plan(spark, rows):
+    keys = spark.createDataFrame([("g1", "d1"), ("g2", "d1")], "g STRING, d STRING")
+    plan = sd.request_plan(
+        keys, {"g": "group", "d": "set"}, fixed="all=1", watermark="2024-01-01T00:00:00"
+    )
+    assert rows(plan)[0] == (
+        "g1", "d1", "g1_d1.json", "group=g1&set=d1&all=1&lastUpdated=2024-01-01T00:00:00",
+    )
+    first = sd.request_plan(keys, {"g": "group", "d": "set"})
+    assert rows(first, "parameters")[0] == ("group=g1&set=d1",)
+    marks = spark.createDataFrame([("g1", "2024")], "g STRING, watermark STRING")
+    by_key = sd.request_plan(keys, {"g": "group", "d": "set"}, watermark=marks)
+    assert rows(by_key, "parameters") == [
+        ("group=g1&set=d1&lastUpdated=2024",), ("group=g2&set=d1",),
+    ]
+
+
+def test_merge_into_needs_a_row_level_table(spark, target):
+    target.write.mode("overwrite").format("parquet").saveAsTable("merge_target")
+    try:
+        with pytest.raises(Exception, match="UNSUPPORTED|MERGE"):
+            sd.merge_into(target, "merge_target", ["k"])
+    finally:
+        spark.sql("DROP TABLE merge_target")
