@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sedimenta.session import has_shuffle, stage
+
 
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Rename many columns in a single plan node; unknown names are ignored."""
@@ -26,14 +28,17 @@ def drop_null(df: DataFrame, subset: Sequence[str]) -> DataFrame:
 def sorted_projection(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     """Project, then sort globally by one column, NULLs first.
 
-    The other columns and a row number that is local to the input split follow
-    as further sort keys. They change nothing in the order of ``by``, but let
-    the range partitioning cut through a value that fills a third of the table.
+    The other columns and a row number follow as further sort keys. They change
+    nothing in the order of ``by``, but let the range partitioning cut through a
+    value, or a row, that fills a third of the table. A row number is repeatable
+    only if the order of the input is; behind a shuffle it is not, and there the
+    numbered rows are first written to the scratch folder, so that a lost task
+    that is run again deals out the same rows.
     """
     rest = [c for c in columns if c != by]
-    return (
-        df.select(*columns)
-        .withColumn("_spread", F.monotonically_increasing_id())
-        .orderBy(F.col(by).asc(), *[F.col(c).asc() for c in rest], F.col("_spread").asc())
-        .drop("_spread")
-    )
+    numbered = df.select(*columns).withColumn("_spread", F.monotonically_increasing_id())
+    if has_shuffle(df):
+        numbered = stage(numbered, "sort")
+    return numbered.orderBy(
+        F.col(by).asc(), *[F.col(c).asc() for c in rest], F.col("_spread").asc()
+    ).drop("_spread")

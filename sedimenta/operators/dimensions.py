@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,9 +27,8 @@ def dimension_members(
     group, or a code list without items, gives the row ``(NULL, NULL)``. Rows
     repeat as the data do unless ``distinct``.
     """
-    items = _code_list(dimension, name, dimension_type)
-    found = left_lookup(
-        items, groups.select("id", "name", member), "items_id", "id", strategy
+    found = members_of_lists(
+        dimension, groups, [name], member, dimension_type=dimension_type, strategy=strategy
     )
     out = found.select("name", F.col(member).alias(member_alias or member))
     return out.distinct() if distinct else out
@@ -49,20 +50,36 @@ def dimension_members_2hop(
 
     The name given out is the group's, the member the option's.
     """
-    items = _code_list(dimension, name, dimension_type)
-    hop = left_lookup(items, groups.select("id", "name", link), "items_id", "id", strategy)
-    hop = hop.select("name", link)
-    ends = options.select(F.col("id").alias("_option"), member)
-    found = left_lookup(hop, ends, link, "_option", strategy)
+    found = members_of_lists(
+        dimension, groups, [name], member, options, link, dimension_type, strategy
+    )
     out = found.select("name", F.col(member).alias(member_alias or member))
     return out.distinct() if distinct else out
 
 
-def _code_list(dimension: DataFrame, name: str, dimension_type: str | None) -> DataFrame:
-    condition: Column = F.col("name") == name
+def members_of_lists(
+    dimension: DataFrame,
+    groups: DataFrame,
+    names: Sequence[str],
+    member: str,
+    options: DataFrame | None = None,
+    link: str = "categoryOptions_id",
+    dimension_type: str | None = None,
+    strategy: str = "auto",
+) -> DataFrame:
+    """``(list_name, name, member)`` for several code lists in one pass over the groups."""
+    condition: Column = F.col("name").isin(*names) if len(names) > 1 else F.col("name") == names[0]
     if dimension_type is not None:
         condition &= F.col("dimensionType") == dimension_type
-    return dimension.filter(condition).select("items_id")
+    items = dimension.filter(condition).select(F.col("name").alias("list_name"), "items_id")
+    first = member if options is None else link
+    found = left_lookup(items, groups.select("id", "name", first), "items_id", "id", strategy)
+    found = found.select("list_name", "name", first)
+    if options is None:
+        return found
+    ends = options.select(F.col("id").alias("_option"), member)
+    found = left_lookup(found, ends, link, "_option", strategy)
+    return found.select("list_name", "name", member)
 
 
 def left_lookup(

@@ -35,10 +35,14 @@ def upsert(
     keys = list(keys)
     if sorted(target.columns) != sorted(source.columns):
         raise ValueError("source and target must have the same columns")
+    touched = source.select(*keys)
     source = resolve_duplicates(source, keys, on_duplicate, order_by, null_safe)
     if newer_only:
         source = _not_stale(target, source, keys, newer_only, null_safe)
-    kept = without_keys(target, source, keys, null_safe)
+        touched = source.select(*keys)
+    elif on_duplicate != "allow":
+        touched = touched.distinct()
+    kept = without_keys(target, touched, keys, null_safe)
     return source.select(*target.columns).unionByName(kept)
 
 
@@ -74,12 +78,9 @@ def latest_per_key(
     comparisons are then settled by one number. Without ``null_safe`` rows with
     a NULL in the key are nobody's duplicate and all stay.
     """
-    partition = [F.xxhash64(*keys), *[F.col(k) for k in keys]]
-    ranked = df
     if not null_safe:
-        alone = F.when(any_null(keys), F.monotonically_increasing_id())
-        ranked = df.withColumn("_alone", alone)
-        partition.append(F.col("_alone"))
+        keyed, keyless = _by_null_key(df, keys)
+        return latest_per_key(keyed, keys, order_by).unionByName(keyless)
     if isinstance(order_by, str):
         tie = [
             F.col(f.name).asc_nulls_last()
@@ -89,8 +90,9 @@ def latest_per_key(
         order = [F.col(order_by).desc_nulls_last(), *tie]
     else:
         order = list(order_by)
-    rank = F.row_number().over(Window.partitionBy(*partition).orderBy(*order))
-    return ranked.withColumn("_rank", rank).filter("_rank = 1").select(*df.columns)
+    window = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*order)
+    ranked = df.withColumn("_rank", F.row_number().over(window))
+    return ranked.filter("_rank = 1").select(*df.columns)
 
 
 def require_unique(
@@ -101,14 +103,15 @@ def require_unique(
     The test is part of the plan: one aggregation that counts before it shuffles.
     """
     keys = list(keys)
-    alone = F.when(any_null(keys), F.monotonically_increasing_id()) if not null_safe else None
-    grouped = df.withColumn("_alone", alone if alone is not None else F.lit(None).cast("long"))
+    if not null_safe:
+        keyed, keyless = _by_null_key(df, keys)
+        return require_unique(keyed, keys).unionByName(keyless)
     message = F.concat(
         F.lit(f"duplicate key ({', '.join(keys)}) in batch: "),
         F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]),
     )
     return (
-        grouped.groupBy(*keys, "_alone")
+        df.groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("_times"),
             F.first(F.struct(*[F.col(c) for c in df.columns])).alias("_row"),
@@ -121,6 +124,11 @@ def require_unique(
     )
 
 
+def _by_null_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is whole, and rows with a NULL in it."""
+    return df.filter(~any_null(keys)), df.filter(any_null(keys))
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str], *, null_safe: bool = True) -> DataFrame:
     """The keys that occur more than once; reads only the key columns."""
     rows = df.select(*keys)
@@ -134,19 +142,19 @@ def without_keys(
 ) -> DataFrame:
     """Target rows whose key does not occur in the source.
 
-    Where NULL matches nothing, target rows with a NULL key are dealt out at
-    random over the join's partitions, as they may be a large part of the table.
+    Where NULL matches nothing, target rows with a NULL key are dealt out over
+    the join's partitions, as they may be a large part of the table. The deal is
+    by a hash of the row and so the same when a lost task is run again.
     """
     columns = target.columns
     right = source.select(*[F.col(k).alias(f"_s_{k}") for k in keys])
+    condition = same_key(keys, null_safe)
     if not null_safe:
-        target = target.withColumn(
-            "_deal", F.when(any_null(keys), (F.rand(17) * 1_000_000).cast("int")).otherwise(0)
-        )
-        right = right.na.drop().withColumn("_s_deal", F.lit(0))
-        condition = same_key(keys, null_safe) & (F.col("_deal") == F.col("_s_deal"))
-    else:
-        condition = same_key(keys, null_safe)
+        row = [F.col(f.name) for f in target.schema.fields if f.dataType.typeName() != "map"]
+        deal = F.when(any_null(keys), F.xxhash64(*row)).otherwise(F.lit(0).cast("long"))
+        target = target.withColumn("_deal", deal)
+        right = right.na.drop().withColumn("_s_deal", F.lit(0).cast("long"))
+        condition &= F.col("_deal") == F.col("_s_deal")
     return target.join(right, condition, "left_anti").select(*columns)
 
 

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sedimenta.functions.scalars import split_point
 from sedimenta.operators.columns import sorted_projection
-from sedimenta.operators.dimensions import dimension_members, dimension_members_2hop
+from sedimenta.operators.dimensions import (
+    dimension_members,
+    dimension_members_2hop,
+    members_of_lists,
+)
+from sedimenta.session import scratch_path
+from sedimenta.sources import storage
 from sedimenta.sources.tables import read_table, write_curated
 
 MEMBER = {
@@ -164,3 +171,45 @@ def run_curated(
     path = f"{curated_root}/{job.sink}"
     write_curated(job.build(tables, strategy), path)
     return path
+
+
+def run_dimensions(
+    spark: SparkSession,
+    enriched_root: str,
+    curated_root: str,
+    names: Sequence[str] | None = None,
+    strategy: str = "auto",
+) -> list[str]:
+    """Write many dimensions, reading each bridge once and not once per dimension.
+
+    All lists that share a bridge are looked up together; the result is staged by
+    list, and each dimension is written from its own part of it.
+    """
+    wanted = [d for d in DIMENSIONS if names is None or d.name in names]
+    written = []
+    for bridge, through in dict.fromkeys((d.bridge, d.through) for d in wanted):
+        together = [d for d in wanted if (d.bridge, d.through) == (bridge, through)]
+        member = MEMBER[bridge]
+        groups = read_table(spark, f"{enriched_root}/{through or bridge}")
+        options = read_table(spark, f"{enriched_root}/{bridge}") if through else None
+        found = members_of_lists(
+            read_table(spark, f"{enriched_root}/dimension"),
+            groups,
+            [d.name for d in together],
+            member,
+            options,
+            strategy=strategy,
+        )
+        folder = scratch_path(spark, "dimensions", near=curated_root)
+        found.hint("rebalance", "list_name").write.partitionBy("list_name").parquet(folder)
+        schema = found.schema
+        for dimension in together:
+            part = spark.read.schema(schema).parquet(folder)
+            part = part.filter(F.col("list_name") == dimension.name).select(
+                "name", F.col(member).alias(dimension.member_alias or member)
+            )
+            path = f"{curated_root}/{dimension.sink}"
+            write_curated(part.distinct() if dimension.distinct else part, path)
+            written.append(path)
+        storage.remove_tree(spark, folder)
+    return written

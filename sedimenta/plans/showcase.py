@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 import sedimenta as sd
-from sedimenta.operators.dimensions import left_lookup
+from sedimenta.operators.dimensions import left_lookup, members_of_lists
 from sedimenta.plans import curated, enrichment, ingestion
 from sedimenta.schemas import RECORD_DDL
 from sedimenta.session import scratch_path, use_engine_settings
@@ -272,6 +272,17 @@ def _(spark, sf):
     )
 
 
+@query("q38_members_of_lists")
+def _(spark, sf):
+    return members_of_lists(
+        part_lists(spark, sf),
+        item_groups(spark, sf),
+        [f"Brand#{n}" for n in range(1, 26)],
+        "l_suppkey",
+        strategy="split",
+    )
+
+
 # -- pivots ----------------------------------------------------------------
 
 

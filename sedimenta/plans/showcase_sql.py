@@ -95,6 +95,9 @@ ORACLE: dict[str, str] = {
     "q32_left_lookup_split": """
         SELECT o.o_custkey, l.l_partkey
         FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey""",
+    "q38_members_of_lists": """
+        SELECT p.p_brand AS list_name, l.l_returnflag AS name, l.l_suppkey
+        FROM part p LEFT JOIN lineitem l ON p.p_partkey = l.l_partkey""",
     "q10_pivot": "SELECT user_id, "
     + ", ".join(
         f"max(value) FILTER (WHERE event_type = '{t}') AS {t}"

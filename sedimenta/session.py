@@ -86,3 +86,8 @@ def fits_broadcast(df: DataFrame) -> bool:
     """Would Catalyst broadcast ``df`` by its size estimate?"""
     limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
     return planned_bytes(df) <= storage.byte_count(limit)
+
+
+def has_shuffle(df: DataFrame) -> bool:
+    """Does the plan of ``df`` move rows between tasks, so that their order may vary?"""
+    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()

@@ -143,3 +143,11 @@ def test_sorted_projection(spark):
     df = spark.createDataFrame([("b", 1), (None, 2), ("a", 3), ("b", 0)], "name STRING, id INT")
     got = [r["name"] for r in sd.sorted_projection(df, ["name", "id"], "name").collect()]
     assert got == [None, "a", "b", "b"]
+
+
+def test_sorted_projection_behind_a_shuffle_is_staged(spark):
+    df = spark.range(50).selectExpr("id % 3 AS name", "1 AS x").repartition(4)
+    out = sd.sorted_projection(df, ["name", "x"], "name")
+    assert "repartition" not in out._jdf.queryExecution().logical().toString().lower()
+    got = [r["name"] for r in out.collect()]
+    assert got == sorted(got) and len(got) == 50

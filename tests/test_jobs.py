@@ -301,6 +301,11 @@ def test_dimensions_end_to_end(spark, landing, out, rows):
         df = spark.read.parquet(path)
         assert df.columns == columns
         assert rows(df) == sorted(wanted, key=repr)
+    curated.run_dimensions(spark, out, f"{out}/together", list(expected))
+    for name, (columns, wanted) in expected.items():
+        df = spark.read.parquet(f"{out}/together/{curated.JOBS[name].sink}")
+        assert df.columns == columns
+        assert rows(df) == sorted(wanted, key=repr)
 
 
 def test_fact_links_name_real_columns():
