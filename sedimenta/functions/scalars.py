@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # How many leading characters of an ISO 8601 text are read.
@@ -64,8 +62,3 @@ def split_point(coordinates: Column | str, sep: str = ",") -> dict[str, Column]:
         "long": F.substring_index(text, sep, 1),
         "lat": F.substring_index(text, sep, -1),
     }
-
-
-def with_scalars(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
-    """Add or replace several columns in one projection."""
-    return df.withColumns(dict(columns))

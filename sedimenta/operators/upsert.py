@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sedimenta.session import fits_broadcast
+
 DUPLICATE_POLICIES = ("error", "latest", "allow")
 
 
@@ -35,14 +37,15 @@ def upsert(
     keys = list(keys)
     if sorted(target.columns) != sorted(source.columns):
         raise ValueError("source and target must have the same columns")
-    touched = source.select(*keys)
+    raw = source
     source = resolve_duplicates(source, keys, on_duplicate, order_by, null_safe)
+    asked = source
     if newer_only:
-        source = _not_stale(target, source, keys, newer_only, null_safe)
-        touched = source.select(*keys)
+        asked = asked.select(*dict.fromkeys([*keys, newer_only]))
+        source = _not_stale(target, source, asked, keys, newer_only, null_safe)
     elif on_duplicate != "allow":
-        touched = touched.distinct()
-    kept = without_keys(target, touched, keys, null_safe)
+        asked = raw.select(*keys).distinct()
+    kept = without_keys(target, asked, keys, null_safe, newer_only)
     return source.select(*target.columns).unionByName(kept)
 
 
@@ -138,29 +141,38 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], *, null_safe: bool = True
 
 
 def without_keys(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = False
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    null_safe: bool = False,
+    unless_newer: str | None = None,
 ) -> DataFrame:
     """Target rows whose key does not occur in the source.
 
-    Where NULL matches nothing, target rows with a NULL key are dealt out over
-    the join's partitions, as they may be a large part of the table. The deal is
-    by a hash of the row and so the same when a lost task is run again.
+    With ``unless_newer`` those also that are newer by this column than the
+    source's row. Where NULL matches nothing and the join has to shuffle, target
+    rows with a NULL key go past it: they cannot match, and they may be a large
+    part of the table, which all would have gone to one task.
     """
     columns = target.columns
     right = source.select(*[F.col(k).alias(f"_s_{k}") for k in keys])
     condition = same_key(keys, null_safe)
-    if not null_safe:
-        row = [F.col(f.name) for f in target.schema.fields if f.dataType.typeName() != "map"]
-        deal = F.when(any_null(keys), F.xxhash64(*row)).otherwise(F.lit(0).cast("long"))
-        target = target.withColumn("_deal", deal)
-        right = right.na.drop().withColumn("_s_deal", F.lit(0).cast("long"))
-        condition &= F.col("_deal") == F.col("_s_deal")
-    return target.join(right, condition, "left_anti").select(*columns)
+    if unless_newer:
+        right = source.select(
+            *[F.col(k).alias(f"_s_{k}") for k in keys], F.col(unless_newer).alias("_s_mark")
+        )
+        condition &= ~F.coalesce(F.col(unless_newer) > F.col("_s_mark"), F.lit(False))
+    if null_safe or fits_broadcast(right):
+        return target.join(right, condition, "left_anti").select(*columns)
+    keyed, keyless = _by_null_key(target, keys)
+    right = right.na.drop(subset=[f"_s_{k}" for k in keys])
+    kept = keyed.join(right, condition, "left_anti").select(*columns)
+    return kept.unionByName(keyless)
 
 
-def _not_stale(target, source, keys, column, null_safe):
+def _not_stale(target, source, asked, keys, column, null_safe):
     """Source rows without a newer row of the same key in the target."""
-    marks = source.select(
+    marks = asked.select(
         *[F.col(k).alias(f"_s_{k}") for k in keys], F.col(column).alias("_s_mark")
     )
     newer = F.col(column) > F.col("_s_mark")

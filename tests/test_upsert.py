@@ -36,6 +36,37 @@ def test_null_key_never_matches_unless_null_safe(spark, target, rows):
     assert len(got) == 4 and ("c", None, 30, 6) in got
 
 
+@pytest.mark.parametrize("limit", ["-1", "100m"])
+def test_null_keys_go_past_a_shuffled_join(spark, target, rows, limit):
+    source = sd.stage(frame(spark, [("a", "x", 10, 6), ("c", None, 30, 4)]), "batch")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        df = sd.upsert(target, source, ["k", "g"])
+        assert rows(df) == sorted(
+            [
+                ("a", "x", 10, 6), ("c", None, 30, 4), ("b", "x", 2, 5), ("c", None, 3, 5),
+                (None, "x", 4, 5),
+            ],
+            key=repr,
+        )
+        safe = sd.upsert(target, source, ["k", "g"], null_safe=True, newer_only="v")
+        assert len(rows(safe)) == 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_newer_only_with_duplicates(spark, target, rows):
+    source = frame(spark, [("a", "x", 10, 4), ("a", "x", 11, 6), ("b", "x", 12, 4),
+                           ("b", "x", 13, 3), ("c", None, 14, None)])
+    got = sd.upsert(
+        target, source, ["k", "g"], null_safe=True, on_duplicate="latest", order_by="at",
+        newer_only="at",
+    )
+    assert rows(got) == sorted(
+        [("a", "x", 11, 6), ("b", "x", 2, 5), ("c", None, 14, None), (None, "x", 4, 5)], key=repr
+    )
+
+
 def test_repeated_upsert_changes_nothing(spark, target, rows):
     source = frame(spark, [("a", "x", 10, 6), ("c", None, 30, 6), ("q", None, 1, 6)])
     once = sd.upsert(target, source, ["k", "g"], null_safe=True)
