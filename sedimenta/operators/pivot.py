@@ -68,6 +68,11 @@ def spread_translations(
     return wide.groupBy(*keys).agg(*[F.min(f"`{name}`").alias(name) for name in names])
 
 
+def translation_names(df: DataFrame, prop: str | Column, locale: str | Column) -> list[str]:
+    """The ``property_locale`` names that occur, sorted."""
+    return _distinct_keys(df.select(translation_key(prop, locale).alias("_key")))
+
+
 def _cell(cells: str, name: str) -> Column:
     matching = F.filter(cells, lambda c: c["key"] == name)
     return F.array_min(F.transform(matching, lambda c: c["value"]))

@@ -17,7 +17,7 @@ from sedimenta.functions.scalars import (
 )
 from sedimenta.operators.columns import drop_null, project
 from sedimenta.operators.flatten import flatten
-from sedimenta.operators.pivot import spread_translations
+from sedimenta.operators.pivot import spread_translations, translation_names
 from sedimenta.schemas import document_schema
 from sedimenta.sources.landing import has_records, read_landing, records
 from sedimenta.sources.tables import load_incremental, overwrite_snapshot
@@ -280,6 +280,22 @@ def load(
     )
 
 
+def find_locales(
+    spark: SparkSession, job: EnrichmentJob, path: str, multiline: bool = False
+) -> list[str]:
+    """The translation columns the landed documents call for.
+
+    The documents are read with a schema of the two key fields only, so that
+    this extra pass does not parse the records in full.
+    """
+    array = f"{job.root}{SEP}{job.translations}"
+    cells = [f"{array}{SEP}property", f"{array}{SEP}locale"]
+    documents = read_landing(
+        spark, path, document_schema(job.root, cells, SEP), multiline=multiline
+    )
+    return translation_names(flatten(records(documents, job.root), SEP, columns=cells), *cells)
+
+
 def run_enrichment(
     spark: SparkSession,
     name: str,
@@ -298,6 +314,8 @@ def run_enrichment(
     documents = read_landing(spark, path, job.schema(), multiline=multiline)
     if job.keys and not has_records(documents, job.root):
         return None
+    if job.translations and locales is None:
+        locales = find_locales(spark, job, path, multiline)
     rows = enrich(
         job, documents, locales=locales, spread=spread, on_duplicate=options.get("on_duplicate")
     )

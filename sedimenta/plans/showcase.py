@@ -756,11 +756,14 @@ def enriched(spark, sf, name: str) -> DataFrame:
     return enrichment.enrich(name, RAW[name](spark, sf))
 
 
-def loaded_twice(spark, sf, name: str) -> DataFrame:
-    """The job's table after the same batch has been loaded two times."""
+def loaded(spark, sf, name: str) -> DataFrame:
+    """The job's table after a full load and a second one of what changed of late."""
     path = scratch_path(spark, name)
-    for _ in range(2):
-        enrichment.load(name, enriched(spark, sf, name), path, buckets=8)
+    rows = enriched(spark, sf, name)
+    enrichment.load(name, rows, path, buckets=8)
+    mark = sd.high_watermark(sd.read_table(spark, path), "lastUpdated")
+    recent = sd.changed_since(rows, "lastUpdated", mark, lookback=86400)
+    enrichment.load(name, recent, path)
     return sd.read_table(spark, path)
 
 
@@ -769,7 +772,7 @@ def _register_enrichment(name: str) -> None:
 
     @query("e_" + name.replace("-", "_"))
     def _(spark, sf):
-        rows = (loaded_twice if job.keys else enriched)(spark, sf, name)
+        rows = (loaded if job.keys else enriched)(spark, sf, name)
         return ntz(rows, *job.timestamps)
 
 
