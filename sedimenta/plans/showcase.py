@@ -666,6 +666,7 @@ def raw_organisation_units(spark, sf):
             "parent": F.struct(text("c_nationkey").alias("id")),
             "geometry": F.when(F.col("c_acctbal") > 0, point),
             "translations": F.array(translation("NAME", "fr", F.col("c_name"))),
+            "programs": F.array(F.struct(segment.alias("id"))),
         },
     )
 
@@ -841,3 +842,72 @@ for _name in curated.JOBS:
 @query("q31_curated_values_projected")
 def _(spark, sf):
     return curated.curate_values(enriched(spark, sf, "dataElement-values"), project=True)
+
+
+# -- whole chains, with JSON files in between --------------------------------
+
+
+def land_documents(root: str, documents: DataFrame, source: str) -> None:
+    documents.write.json(f"{root}/{source}")
+
+
+@query("j_landed_org_units")
+def _(spark, sf):
+    root = scratch_path(spark, "raw")
+    land_documents(root, raw_organisation_units(spark, sf), "orgunit/orgunit.json")
+    enrichment.run_enrichment(spark, "orgunit", root, f"{root}/flat")
+    return sd.read_table(spark, f"{root}/flat/orgunit")
+
+
+@query("j_landed_dimensions")
+def _(spark, sf):
+    """Code lists, groups and options as landed JSON, to two curated dimensions."""
+    root = scratch_path(spark, "raw")
+    inputs = curated_inputs(spark, sf)
+
+    def members(column: str) -> Column:
+        return F.array(F.struct(F.col(column).alias("id")))
+
+    records = {
+        "dimension": ("dimensions", inputs["dimension"], "items", "items_id"),
+        "categoryOptionGroups": (
+            "categoryOptionGroups", inputs["categoryOptionGroups"], "categoryOptions",
+            "categoryOptions_id",
+        ),
+        "categoryOptions": (
+            "categoryOptions", inputs["orders"], "categoryOptionCombos",
+            "categoryOptionCombos_id",
+        ),
+    }
+    for name, (collection, df, array, column) in records.items():
+        fields = {c: F.col(c) for c in df.columns if c != column} | {array: members(column)}
+        documents = documents_of(df, collection, fields)
+        land_documents(root, documents, enrichment.JOBS[name].source)
+        enrichment.run_enrichment(spark, name, root, f"{root}/flat")
+    names = ["Donor", "Funding Agency"]
+    curated.run_dimensions(spark, f"{root}/flat", f"{root}/curated", names)
+    donor, agency = (
+        spark.read.parquet(f"{root}/curated/{curated.JOBS[n].sink}").withColumn(
+            "dimension", F.lit(n)
+        )
+        for n in names
+    )
+    return donor.unionByName(agency)
+
+
+def planned_requests(spark, sf, folder: str) -> DataFrame:
+    root = scratch_path(spark, "raw")
+    land_documents(root, raw_organisation_units(spark, sf), "orgunit/orgunit.json")
+    keys = ingestion.extract_keys(spark, folder, root)
+    mark = sd.high_watermark(table(spark, sf, "events"), "ts")
+    return ingestion.plan_extract(spark, folder, f"{root}/flat", keys, mark)
+
+
+@query("i_events")
+def _(spark, sf):
+    return planned_requests(spark, sf, "events")
+
+
+@query("i_trackedentityinstances")
+def _(spark, sf):
+    return planned_requests(spark, sf, "trackedentityinstances")

@@ -366,3 +366,27 @@ for _number, _dimension in enumerate(DIMENSIONS, start=1):
         ORACLE[_key] = _curated_2hop_sql(_number)
     else:
         ORACLE[_key] = _curated_sql(_number, _MEMBERS[_number], 17 <= _number <= 21)
+
+ORACLE["j_landed_org_units"] = ORACLE["e_orgunit"]
+ORACLE["j_landed_dimensions"] = """
+    WITH groups AS (
+        SELECT DISTINCT l_partkey, l_returnflag || '-' || l_linestatus AS name, l_orderkey
+        FROM lineitem
+    )
+    SELECT CASE p.p_brand WHEN 'Brand#22' THEN 'Donor' ELSE 'Funding Agency' END AS dimension,
+           g.name, CAST(o.o_custkey AS VARCHAR) AS "categoryOptionCombos_id"
+    FROM part p LEFT JOIN groups g ON p.p_partkey = g.l_partkey
+    LEFT JOIN orders o ON g.l_orderkey = o.o_orderkey
+    WHERE p.p_brand IN ('Brand#22', 'Brand#23')"""
+_SINCE = """'&lastUpdatedStartDate=' ||
+    (SELECT strftime(max(ts), '%Y-%m-%dT%H:%M:%S') FROM events)"""
+ORACLE["i_events"] = f"""
+    SELECT CAST(c_custkey AS VARCHAR) AS "organisationUnit", c_custkey || '.json' AS file_name,
+           'orgUnit=' || c_custkey || '&{_FIXED_ALL}' || {_SINCE} AS parameters
+    FROM customer"""
+ORACLE["i_trackedentityinstances"] = f"""
+    SELECT DISTINCT c_mktsegment AS program, c_mktsegment || '.json' AS file_name,
+           'program=' || c_mktsegment
+           || '&ouMode=ALL&includeDeleted=true&fields=*&skipPaging=true' || {_SINCE}
+           AS parameters
+    FROM customer"""

@@ -75,7 +75,7 @@ def main(argv: list[str]) -> int:
         start = time.time()
         try:
             got = make(spark, sf_dir).toArrow()
-            expected = con.execute(entry.oracle_sql()[name]).to_arrow_table()
+            expected = con.sql(entry.oracle_sql()[name]).to_arrow_table()
             problem = differences(got, expected)
             count = got.num_rows
         except Exception as error:  # noqa: BLE001

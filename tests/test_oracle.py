@@ -18,7 +18,7 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, database, name):
     got = entry.queries()[name](spark, SF).toArrow()
-    expected = database.execute(entry.oracle_sql()[name]).to_arrow_table()
+    expected = database.sql(entry.oracle_sql()[name]).to_arrow_table()
     assert differences(got, expected) is None
 
 
