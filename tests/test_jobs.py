@@ -334,6 +334,17 @@ def test_extract_plans(spark, landing, out, rows):
         ingestion.extract_keys(spark, "dataElement-values", root)
 
 
+def test_the_watermark_never_moves_back(spark, landing, out):
+    marks = []
+    for day, text in (("05", "a"), ("09", "b"), ("03", "c")):
+        root = landing(f"dataElement-values/{day}.json", {"dataValues": [
+            value(f"e{day}", "202401", text, f"2024-01-{day}T00:00:00.000+0000")]})
+        run_enrichment(spark, "dataElement-values", root, out)
+        table = sd.read_table(spark, f"{out}/dataElement-values")
+        marks.append(sd.high_watermark(table, "lastUpdated"))
+    assert marks == sorted(marks) and table.count() == 3
+
+
 def test_landing_check(spark, landing):
     root = landing("categories/categories.json", {"categories": [{"id": "a", "colour": "red"}]})
     drift = ingestion.check_landing(spark, "categories", root)
@@ -380,7 +391,8 @@ def test_stream_equals_batch(spark, landing, out, tmp_path, rows):
         event("3", None), event("1", [{"dataElement": "x", "value": "5"}])]})
     follow()
     run_enrichment(spark, "events", root, out, buckets=2)
-    assert rows(sd.read_table(spark, f"{out}/stream")) == rows(sd.read_table(spark, f"{out}/events"))
+    streamed, batch = (sd.read_table(spark, f"{out}/{t}") for t in ("stream", "events"))
+    assert rows(streamed) == rows(batch)
     with pytest.raises(ValueError, match="stream"):
         stream_enrichment(spark, "users", root, out, str(tmp_path / "c2"))
 
