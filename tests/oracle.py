@@ -70,7 +70,7 @@ def main(argv: list[str]) -> int:
     con = connect(sf_dir)
     bad = 0
     for name, make in entry.queries().items():
-        if wanted and name not in wanted:
+        if (wanted and name not in wanted) or name not in entry.oracle_sql():
             continue
         start = time.time()
         try:
