@@ -142,7 +142,7 @@ def _score(order: int, bucket_bits: int, min_count: int, backoff: float):
             [
                 table["doc"],
                 pa.array(np.diff(bounds)),
-                pa.array(np.bincount(text, score, table.num_rows)),
+                pa.array(np.bincount(text, score, table.num_rows).astype(np.float64)),
                 pa.array(np.bincount(text, rest, table.num_rows).astype(np.int64)),
             ],
             names=names,

@@ -1,0 +1,79 @@
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from sedimenta.llm import id_files as f
+from sedimenta.llm.queries import TOKENIZER
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 65535), st.integers(0, 5)), max_size=300), st.integers(1, 60))
+def test_round_trip(ids, block):
+    data = f.write_frame(np.array(ids, np.int64), block)
+    assert f.read_frame(data, len(ids)).tolist() == ids
+
+
+@pytest.mark.parametrize(
+    "ids",
+    [
+        np.zeros(9000, int),
+        np.tile([5, 9, 7], 4000),
+        np.arange(65536)[::-1],
+        np.random.default_rng(0).zipf(1.3, 20000) % 65536,
+        np.full(5000, 65535),
+    ],
+)
+def test_round_trip_of_long_inputs(ids):
+    data = f.write_frame(ids)
+    assert (f.read_frame(data, len(ids)) == ids).all()
+
+
+def test_what_repeats_gets_small():
+    ids = np.tile(np.random.default_rng(1).integers(0, 50000, 50), 400)
+    assert len(f.write_frame(ids)) < len(ids) * 2 / 4
+
+
+def test_damage_is_found_and_blocks_are_independent():
+    ids = np.random.default_rng(2).integers(0, 50000, 1000)
+    data = bytearray(f.write_frame(ids, 100))
+    data[-20] ^= 1
+    with pytest.raises(ValueError, match="block 9"):
+        f.read_frame(bytes(data), 1000)
+    rows = ids.reshape(10, 100)
+    assert f.code_blocks(rows)[4] == f.code_blocks(rows[4:5])[0]
+
+
+def test_ids_out_of_range():
+    with pytest.raises(ValueError):
+        f.write_frame(np.array([70000]))
+
+
+def test_files(spark, documents, tmp_path):
+    library = Tokenizer.from_file(TOKENIZER)
+    library.encode_special_tokens = True
+    texts = [None, "", "plain text, it's 9", "ünïcode ² 一二", "x" * 3000, "<|endoftext|>", "\x1c odd\x85"]
+    rows = [(100 - i, t) for i, t in enumerate(texts * 20)] + [(None, "none"), (50, "again")]
+    path = str(tmp_path / "ids")
+    f.write_ids(documents(*rows, extra=True), path, TOKENIZER, frame_ids=500)
+    got = f.read_ids(spark, path).collect()
+    assert len(got) == len(rows)
+    by_start = sorted(got, key=lambda r: r["start"])
+    ids_in_order = [r["doc_id"] for r in by_start]
+    assert ids_in_order == sorted(ids_in_order, key=lambda x: (x is not None, x or 0))
+    at = 0
+    for r in by_start:
+        assert r["start"] == at
+        at += r["n_ids"]
+    want = sorted((i is not None, i or 0, np.array([*library.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes()) for i, t in rows)
+    assert sorted((r["doc_id"] is not None, r["doc_id"] or 0, bytes(r["ids"])) for r in got) == want
+    crc = f.read_ids(spark, path).select(f.ids_crc32(f.quoted("ids")).alias("c"), "ids").first()
+    assert crc["c"] == zlib.crc32(crc["ids"])
+
+
+def test_empty(spark, documents, tmp_path):
+    f.write_ids(documents((1, "a")).limit(0), str(tmp_path / "none"), TOKENIZER)
+    assert f.read_ids(spark, str(tmp_path / "none")).collect() == []

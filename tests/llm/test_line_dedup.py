@@ -1,0 +1,86 @@
+import random
+
+import pytest
+
+from sedimenta.llm.line_dedup import BLANK, drop_repeated_lines
+
+
+def brute(docs: list[tuple[int, str | None]], min_words: int) -> dict[int, tuple[str | None, int]]:
+    """Every window of every document against all earlier ones."""
+    seen, gone = set(), {}
+    lines_of = {}
+    for i, text in sorted(docs):
+        lines = (text or "").split("\n")
+        places = [p for p, x in enumerate(lines) if x.strip(BLANK)]
+        bare = [lines[p].strip(BLANK) for p in places]
+        lines_of[i] = lines
+        lost = set()
+        for a in range(len(bare)):
+            words, b = 0, a
+            while b < len(bare) and words < min_words:
+                words += bare[b].count(" ") + 1
+                b += 1
+            if words < min_words:
+                continue
+            key = tuple(bare[a:b])
+            if key in seen:
+                lost |= set(range(a, b))
+            seen.add(key)
+        gone[i] = {places[p] for p in lost}
+    return {
+        i: (text if not gone[i] else "\n".join(x for p, x in enumerate(lines_of[i]) if p not in gone[i]), len(gone[i]))
+        for i, text in docs
+    }
+
+
+def result(df):
+    return {r["doc_id"]: (r["text"], r["n_removed"]) for r in df.collect()}
+
+
+def test_against_brute_force(documents):
+    rng = random.Random(5)
+    words = "a b c d e f g".split()
+    pool = [" ".join(rng.choices(words, k=rng.randint(1, 6))) for _ in range(14)] + ["", " \t"]
+    docs = [(i, "\n".join(rng.choices(pool, k=rng.randint(0, 14)))) for i in range(80)]
+    for least in (1, 4, 9):
+        assert result(drop_repeated_lines(documents(*docs), min_words=least)) == brute(docs, least)
+
+
+def test_the_first_stays_and_short_runs_stay(documents):
+    long_line = " ".join(f"w{i}" for i in range(30))
+    docs = documents((5, f"head\n{long_line}\nend"), (2, f"{long_line}\nshort"), (9, "head\nend"))
+    assert result(docs.transform(drop_repeated_lines)) == {
+        5: ("head\nend", 1),
+        2: (f"{long_line}\nshort", 0),
+        9: ("head\nend", 0),
+    }
+
+
+def test_a_run_over_several_lines_and_inside_one_document(documents):
+    run = "\n".join("one two three four five six seven eight" + str(i) for i in range(5))
+    docs = documents((1, f"{run}\nx\n\n{run}"), (2, f"y\n{run}"))
+    assert result(drop_repeated_lines(docs)) == {1: (f"{run}\nx\n", 5), 2: ("y", 5)}
+
+
+def test_edges(documents, spark):
+    text = " ".join(["same"] * 40)
+    docs = documents((None, text), (1, None), (2, ""), (3, text), (3, text), (4, "\n" * 3), extra=True)
+    out = drop_repeated_lines(docs)
+    assert out.columns == [*docs.columns, "n_removed"]
+    assert sorted(((r["doc_id"], r["text"], r["n_removed"]) for r in out.collect()), key=repr) == sorted(
+        [(None, "", 1), (1, None, 0), (2, "", 0), (3, text, 0), (3, text, 0), (4, "\n\n\n", 0)], key=repr
+    )
+    assert drop_repeated_lines(docs.limit(0)).collect() == []
+    with pytest.raises(ValueError):
+        drop_repeated_lines(out)
+
+
+def test_no_python_in_the_plan(documents):
+    plan = drop_repeated_lines(documents((1, "a b")))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_a_very_long_text(documents):
+    lines = [f"line {i} " + "word " * 10 + "x" for i in range(4000)]
+    out = result(drop_repeated_lines(documents((1, "\n".join(lines)), (2, "\n".join([*lines[:2000], "new"])))))
+    assert out[1][1] == 0 and out[2] == ("new", 2000)
