@@ -146,12 +146,13 @@ def drop_repeated_lines(
     )
     scratch.free(matched)
     text = text_of(docs, text_col)
+    # by shuffle at every size: the table of repeats grows with the input
     joined = docs.withColumns(
         {
             doc: F.coalesce(quoted(id_col).cast("long"), F.lit(_LAST_ID)),
             content: F.xxhash64(text),
         }
-    ).join(repeats, [doc, content], "left")
+    ).join(repeats.hint("merge"), [doc, content], "left")
     split = joined.withColumn(lines, _lines(text)).withColumn(
         places,
         F.filter(
