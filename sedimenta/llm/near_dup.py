@@ -286,13 +286,13 @@ def near_duplicates(
     crowded = scratch.keep(buckets.join(shared.select("bucket", "low"), "bucket"))
     scratch.free(buckets)
     # whole texts are moved once, and kept for those that share a bucket with another
-    held = scratch.keep(texts.join(crowded.select("doc").distinct(), "doc", "left_semi"))
+    held = scratch.keep(texts.join(crowded.select("doc").distinct().hint("merge"), "doc", "left_semi"))
 
     def linked(pairs: DataFrame) -> DataFrame:
         """The pairs of representatives that are as similar as asked."""
         a = held.select(F.col("doc").alias("u"), F.col("text").alias("text_u"))
         b = held.select(F.col("doc").alias("v"), F.col("text").alias("text_v"))
-        both = pairs.select("u", "v").distinct().join(a, "u").join(b, "v").select("u", "v", "text_u", "text_v")
+        both = pairs.select("u", "v").distinct().hint("merge").join(a, "u").hint("merge").join(b, "v").select("u", "v", "text_u", "text_v")
         return scratch.keep(both.mapInArrow(_verify(size, threshold), "u long, v long"))
 
     def possible(pairs: DataFrame) -> DataFrame:
@@ -365,7 +365,7 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     classes = near_duplicates(docs, id_col, text_col, **settings)
     doc, turn = fresh(docs, "doc", "turn")
     gone = classes.filter("doc_id <> class_id").select(F.col("doc_id").alias(doc))
-    stay = docs.withColumn(doc, quoted(id_col).cast("long")).join(gone, doc, "left_anti")
+    stay = docs.withColumn(doc, quoted(id_col).cast("long")).join(gone.hint("merge"), doc, "left_anti")
     order = Window.partitionBy(quoted(doc)).orderBy(F.xxhash64(text_of(docs, text_col)))
     ranked = stay.filter(quoted(doc).isNotNull()).withColumn(turn, F.row_number().over(order))
     columns = [quoted(c) for c in docs.columns]

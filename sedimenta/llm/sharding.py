@@ -251,7 +251,7 @@ def reshard(
     order = Window.partitionBy(old, part, kind).orderBy(
         "size", quoted(id_col), F.xxhash64(F.lit(2), text_of(docs, text_col))
     )
-    numbered = rows.join(offsets, [old, part]).withColumn(turn, F.row_number().over(order) - 1)
+    numbered = rows.join(offsets.hint("merge"), [old, part]).withColumn(turn, F.row_number().over(order) - 1)
     block = F.element_at(F.filter(quoted(places), lambda p: p["kind"] == quoted(kind)), 1)
     row = block["offset"] + quoted(turn)
     hit = F.element_at(
