@@ -1,10 +1,10 @@
 """Token ids in compressed files: an adaptive context-mixing range coder.
 
-An id is predicted by the last two ids, by the last one, and without any. What is coded
-first is which prediction holds (or none): each of the three orders has its own adaptive
-distribution over these outcomes, by how often its prediction held lately, and the three
-are mixed by weights that follow how well each did. An id that nobody predicted is coded
-by its number of bits (adaptive) and then those bits.
+An id is predicted by the last two ids, by the last one, and without any (the id that has
+had the majority). Each order says how probable it is that its prediction holds, by how
+often it held lately, and the three are mixed by weights that follow how well each did.
+What is coded first is which prediction holds, if any; an id that nobody predicted is
+coded by its number of bits (adaptive) and then those bits.
 
 A block is a fixed number of ids. Model and coder are reset in each, and its checksum is
 verified when it is read. Blocks do not depend on each other, so all blocks of a frame go
@@ -45,79 +45,117 @@ class _Model:
     """The predictions of every lane, and how they are mixed."""
 
     def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
+        self.lane = np.arange(lanes, dtype=np.int32)
         table = 1 << TABLE_BITS
-        self.guess = [np.zeros(lanes * table, np.uint16) for _ in range(2)]
-        self.sure = [np.zeros(lanes * table, np.uint8) for _ in range(2)]
-        self.base = self.lane * table
-        self.top, self.votes = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        start = np.array([0.1, 0.1, 0.05, 0.75], np.float32)
-        self.odds = [np.tile(start, (lanes * 4, 1)), np.tile(start, (lanes * 4, 1)), np.tile(start, (lanes, 1))]
-        self.weight = np.full((3, lanes), 1 / 3, np.float32)
-        self.seen = np.ones((lanes, _CLASSES), np.int64)
+        # an entry has the id said and, above 16 bits, how often it held (0 to 3)
+        self.entry = [np.zeros(lanes * table, np.int32) for _ in range(2)]
+        self.base = self.lane * np.int32(table)
+        self.top, self.votes = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
+        self.last, self.before = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
+        # how probable it is that an order's prediction holds: orders 2 and 1 by trust, order 0
+        self.hold = [np.tile(np.array([0, 0.2, 0.4, 0.6], np.float32), lanes) for _ in range(2)]
+        self.hold.append(np.full(lanes, 0.05, np.float32))
+        self.weight = [np.full(lanes, x, np.float32) for x in (0.5, 0.3, 0.2)]
+        self.seen = np.ones((lanes, _CLASSES), np.int32)
+        self.class_base = self.lane * np.int32(_CLASSES)
         self.step = 0
         self._classes()
 
     def _classes(self) -> None:
-        share = self.seen * (4096 - _CLASSES) // self.seen.sum(axis=1, keepdims=True) + 1
-        self.edges = np.zeros((len(share), _CLASSES + 1), np.int64)
+        share = self.seen * np.int32(4096 - _CLASSES) // self.seen.sum(axis=1, keepdims=True, dtype=np.int32) + 1
+        self.edges = np.zeros((len(share), _CLASSES + 1), np.int32)
         np.cumsum(share, axis=1, out=self.edges[:, 1:])
         self.edges[:, -1] = 4096
+        self.edge_base = self.lane * np.int32(_CLASSES + 1)
 
     def predict(self) -> None:
-        mask = (1 << TABLE_BITS) - 1
-        one = (self.last * 40503 >> 4) & mask
-        two = ((self.last * 40503 + self.before * 30011) >> 3) & mask
-        self.at = [self.base + two, self.base + one]
-        self.said = [self.guess[o][self.at[o]].astype(np.int64) for o in (0, 1)]
-        self.trust = [self.sure[o][self.at[o]] for o in (0, 1)]
-        self.row = [self.lane * 4 + self.trust[0], self.lane * 4 + self.trust[1], self.lane]
-        self.part = [self.odds[o][self.row[o]] for o in (0, 1, 2)]
-        mixed = self.part[0] * self.weight[0][:, None]
-        mixed += self.part[1] * self.weight[1][:, None]
-        mixed += self.part[2] * self.weight[2][:, None]
-        share = (mixed[:, :3] * np.float32(4000)).astype(np.int64) + 1
-        self.cut = np.empty((len(share), 5), np.int64)
-        self.cut[:, 0], self.cut[:, 4] = 0, 4096
-        self.cut[:, 1] = share[:, 0]
-        self.cut[:, 2] = share[:, 0] + share[:, 1]
-        self.cut[:, 3] = self.cut[:, 2] + share[:, 2]
+        """What is said, and the four shares of 4096: the three orders and none of them.
+
+        An order gives its prediction the probability that it holds; the orders' mixture
+        adds up where they say the same, and it then counts for the longer one.
+        """
+        mask = np.int32((1 << TABLE_BITS) - 1)
+        mixed = self.last * np.int32(20173)
+        one = self.base + ((mixed >> np.int32(5)) & mask)
+        two = self.base + (((mixed + self.before * np.int32(14303)) >> np.int32(7)) & mask)
+        self.at = (two, one)
+        self.said, self.trust, self.row, self.odds = [], [], [], []
+        for o in (0, 1):
+            entry = self.entry[o].take(self.at[o])
+            trust = entry >> np.int32(16)
+            self.said.append(entry & np.int32(65535))
+            self.trust.append(trust)
+            self.row.append(self.lane * np.int32(4) + trust)
+            self.odds.append(self.hold[o].take(self.row[o]))
+        self.odds.append(self.hold[2])
+        part = [self.odds[o] * self.weight[o] for o in (0, 1, 2)]
+        second, third = self.said[0] == self.said[1], self.top == self.said[0]
+        fourth = (self.top == self.said[1]) & ~third
+        a = part[0] + part[1] * second + part[2] * third
+        b = part[1] * ~second + part[2] * fourth
+        c = part[2] * ~(third | fourth)
+        scale = np.float32(4000)
+        self.cut1 = (a * scale).astype(np.int32) + np.int32(1)
+        self.cut2 = self.cut1 + (b * scale).astype(np.int32) + np.int32(1)
+        self.cut3 = self.cut2 + (c * scale).astype(np.int32) + np.int32(1)
 
     def outcome(self, ids: np.ndarray) -> np.ndarray:
-        out = np.full(len(ids), 3)
-        out[(self.votes > 0) & (ids == self.top)] = 2
-        out[(self.trust[1] > 0) & (ids == self.said[1])] = 1
-        out[(self.trust[0] > 0) & (ids == self.said[0])] = 0
-        return out
-
-    def update(self, ids: np.ndarray, outcome: np.ndarray, missed: np.ndarray, bits: np.ndarray) -> None:
-        fit = [self.part[o][self.lane, outcome] for o in (0, 1, 2)]
-        whole = fit[0] * self.weight[0] + fit[1] * self.weight[1] + fit[2] * self.weight[2]
+        """0, 1 or 2 for the longest order that said the id, 3 if none did."""
+        out = np.where(ids == self.top, np.int32(2), np.int32(3))
+        out = np.where(ids == self.said[1], np.int32(1), out)
+        return np.where(ids == self.said[0], np.int32(0), out)
+
+    def span(self, outcome: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        start = np.where(outcome == 0, np.int32(0), np.where(outcome == 1, self.cut1, np.where(outcome == 2, self.cut2, self.cut3)))
+        end = np.where(outcome == 0, self.cut1, np.where(outcome == 1, self.cut2, np.where(outcome == 2, self.cut3, np.int32(4096))))
+        return start, end - start
+
+    def update(self, ids: np.ndarray, missed: np.ndarray, bits: np.ndarray) -> None:
+        hits = (ids == self.said[0], ids == self.said[1], ids == self.top)
+        fit = []
+        for o in (0, 1, 2):
+            odds, hit = self.odds[o], hits[o]
+            fit.append(self.weight[o] * np.where(hit, odds + np.float32(1e-3), np.float32(2e-3) - odds * np.float32(2e-3)))
+            new = odds + (hit - odds) * np.float32(0.03)
+            if o < 2:
+                self.hold[o][self.row[o]] = new
+            else:
+                self.hold[2] = new
+        whole = np.float32(0.94) / (fit[0] + fit[1] + fit[2])
         for o in (0, 1, 2):
-            self.weight[o] = self.weight[o] * fit[o] / whole * np.float32(0.94) + np.float32(0.02)
-            new = self.part[o] * np.float32(0.97) + np.float32(0.0005)
-            new[self.lane, outcome] += np.float32(0.028)
-            self.odds[o][self.row[o]] = new
+            self.weight[o] = fit[o] * whole + np.float32(0.02)
         for o in (0, 1):
-            hit, trust = ids == self.said[o], self.trust[o]
+            hit, trust = hits[o], self.trust[o]
             swap = ~hit & (trust < 2)
-            self.sure[o][self.at[o]] = np.where(hit, np.minimum(trust + 1, 3), np.where(swap, 1, trust - 1))
-            self.guess[o][self.at[o]] = np.where(swap, ids, self.said[o])
-        same = ids == self.top
-        new = ~same & (self.votes == 0)
-        self.votes = np.where(same | new, self.votes + 1, self.votes - 1)
+            new = np.where(hit, np.minimum(trust + np.int32(1), np.int32(3)), trust - np.int32(1)) << np.int32(16)
+            self.entry[o][self.at[o]] = np.where(swap, ids | np.int32(65536), new | self.said[o])
+        new = ~hits[2] & (self.votes == 0)
+        self.votes += np.where(hits[2] | new, np.int32(1), np.int32(-1))
         self.top = np.where(new, ids, self.top)
-        self.seen[missed, bits] += 1
+        at = self.class_base + bits
+        self.seen.ravel()[at] += missed
         self.step += 1
         if self.step % _REFRESH == 0:
             self._classes()
         self.before, self.last = self.last, ids
 
 
-def _bits(ids: np.ndarray) -> np.ndarray:
-    """How many bits each id has."""
-    return np.frexp(ids.astype(np.float64))[1].astype(np.int64)
+#: How many bits each number has.
+_BITS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.int32)
+
+
+def _settle(low: np.ndarray, size: np.ndarray, moved) -> None:
+    """Shift out words until every lane has room for another id; ``moved`` takes the lanes."""
+    equal = (low ^ (low + size)) < _TOP
+    todo = np.flatnonzero(equal | (size <= _BOTTOM))
+    while len(todo):
+        a, s = low.take(todo), size.take(todo)
+        tight = (a ^ (a + s)) >= _TOP
+        s = np.where(tight, (_0 - a) & _BOTTOM, s) << _16
+        moved(todo, a)
+        a = a << _16
+        low[todo], size[todo] = a, s
+        todo = todo[((a ^ (a + s)) < _TOP) | (s <= _BOTTOM)]
 
 
 def code_blocks(ids: np.ndarray) -> list[bytes]:
@@ -125,101 +163,95 @@ def code_blocks(ids: np.ndarray) -> list[bytes]:
     lanes, length = ids.shape
     model = _Model(lanes)
     low, size = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    out = np.zeros((lanes, 3 * length + 8), np.uint16)
-    end = np.zeros(lanes, np.int64)
+    width = 3 * length + 8
+    out = np.zeros(lanes * width, np.uint16)
+    end = np.arange(lanes) * width
+    columns = np.ascontiguousarray(ids.T)
 
-    def narrow(which: np.ndarray | slice, start: np.ndarray, share: np.ndarray, bits: np.ndarray | np.uint64) -> None:
-        unit = size[which] >> bits
-        low[which] += unit * start.astype(np.uint64)
-        size[which] = unit * share.astype(np.uint64)
+    def moved(todo: np.ndarray, a: np.ndarray) -> None:
+        out[end.take(todo)] = a >> _48
+        end[todo] += 1
 
     for t in range(length):
-        now = ids[:, t].astype(np.int64)
+        now = columns[t].astype(np.int32)
         model.predict()
         outcome = model.outcome(now)
-        start = model.cut[model.lane, outcome]
-        narrow(slice(None), start, model.cut[model.lane, outcome + 1] - start, _SCALE_BITS)
-        missed = np.flatnonzero(outcome == 3)
-        bits = _bits(now[missed])
-        start = model.edges[missed, bits]
-        narrow(missed, start, model.edges[missed, bits + 1] - start, _SCALE_BITS)
-        rest = np.maximum(bits - 1, 0)
-        narrow(missed, now[missed] & ((1 << rest) - 1), np.ones(len(missed), np.int64), rest.astype(np.uint64))
-        todo = np.arange(lanes)
-        while True:
-            a, s = low[todo], size[todo]
-            equal = (a ^ (a + s)) < _TOP
-            tight = ~equal & (s <= _BOTTOM)
-            go = equal | tight
-            if not go.any():
-                break
-            todo, a, s, tight = todo[go], a[go], s[go], tight[go]
-            s = np.where(tight, (_0 - a) & _BOTTOM, s)
-            out[todo, end[todo]] = a >> _48
-            end[todo] += 1
-            low[todo], size[todo] = a << _16, s << _16
-        model.update(now, outcome, missed, bits)
+        start, share = model.span(outcome)
+        unit = size >> _SCALE_BITS
+        low += unit * start.astype(np.uint64)
+        size = unit * share.astype(np.uint64)
+        missed = outcome == 3
+        bits = _BITS.take(now)
+        at = model.edge_base + bits
+        edges = model.edges.ravel()
+        start = np.where(missed, edges.take(at), np.int32(0))
+        share = np.where(missed, edges.take(at + np.int32(1)) - start, np.int32(4096))
+        unit = size >> _SCALE_BITS
+        low += unit * start.astype(np.uint64)
+        size = unit * share.astype(np.uint64)
+        rest = np.where(missed, np.maximum(bits - np.int32(1), np.int32(0)), np.int32(0))
+        size >>= rest.astype(np.uint64)
+        low += size * (now & ((np.int32(1) << rest) - np.int32(1))).astype(np.uint64)
+        _settle(low, size, moved)
+        model.update(now, missed, bits)
     for shift in (48, 32, 16, 0):
-        out[model.lane, end] = low >> np.uint64(shift)
+        out[end] = low >> np.uint64(shift)
         end += 1
-    return [out[i, : end[i]].astype("<u2").tobytes() for i in range(lanes)]
+    return [out[i * width : end[i]].astype("<u2").tobytes() for i in range(lanes)]
 
 
 def decode_blocks(coded: list[bytes], length: int) -> np.ndarray:
     """The inverse of ``code_blocks`` for rows of ``length`` ids."""
     lanes = len(coded)
     model = _Model(lanes)
-    words = np.zeros((lanes, max(map(len, coded)) // 2 + 4), np.uint16)
+    width = max(map(len, coded)) // 2 + 4
+    words = np.zeros((lanes, width), np.uint16)
     for i, data in enumerate(coded):
         words[i, : len(data) // 2] = np.frombuffer(data, "<u2")
     low, size = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
     code = np.zeros(lanes, np.uint64)
     for k in range(4):
         code = (code << _16) | words[:, k].astype(np.uint64)
-    at = np.full(lanes, 4)
-    out = np.zeros((lanes, length), np.uint16)
+    words = words.ravel()
+    at = np.arange(lanes) * width + 4
+    last = np.arange(1, lanes + 1) * width - 1
+    out = np.zeros((length, lanes), np.uint16)
+    top = np.uint64(4095)
+
+    def moved(todo: np.ndarray, a: np.ndarray) -> None:
+        place = at.take(todo)
+        code[todo] = (code.take(todo) << _16) | words.take(np.minimum(place, last.take(todo)))
+        at[todo] = place + 1
+
     for t in range(length):
         model.predict()
         unit = size >> _SCALE_BITS
-        value = np.minimum((code - low) // unit, np.uint64(4095)).astype(np.int64)
-        cut = model.cut
-        outcome = (value >= cut[:, 1]).astype(np.int64) + (value >= cut[:, 2]) + (value >= cut[:, 3])
-        start = cut[model.lane, outcome]
-        low = low + unit * start.astype(np.uint64)
-        size = unit * (cut[model.lane, outcome + 1] - start).astype(np.uint64)
-        now = np.where(outcome == 0, model.said[0], np.where(outcome == 1, model.said[1], model.top))
-        missed = np.flatnonzero(outcome == 3)
-        edges = model.edges[missed]
-        unit = size[missed] >> _SCALE_BITS
-        value = np.minimum((code[missed] - low[missed]) // unit, np.uint64(4095)).astype(np.int64)
-        bits = (value[:, None] >= edges[:, 1:-1]).sum(axis=1)
-        line = np.arange(len(missed))
-        start = edges[line, bits]
-        a = low[missed] + unit * start.astype(np.uint64)
-        s = unit * (edges[line, bits + 1] - start).astype(np.uint64)
-        rest = np.maximum(bits - 1, 0)
-        unit = s >> rest.astype(np.uint64)
-        value = np.minimum(((code[missed] - a) // unit).astype(np.int64), (1 << rest) - 1)
-        low[missed] = a + unit * value.astype(np.uint64)
-        size[missed] = unit
-        now[missed] = np.where(bits > 0, value + (1 << rest), 0)
-        todo = np.arange(lanes)
-        while True:
-            a, s = low[todo], size[todo]
-            equal = (a ^ (a + s)) < _TOP
-            tight = ~equal & (s <= _BOTTOM)
-            go = equal | tight
-            if not go.any():
-                break
-            todo, a, s, tight = todo[go], a[go], s[go], tight[go]
-            s = np.where(tight, (_0 - a) & _BOTTOM, s)
-            place = np.minimum(at[todo], words.shape[1] - 1)
-            code[todo] = (code[todo] << _16) | words[todo, place].astype(np.uint64)
-            at[todo] += 1
-            low[todo], size[todo] = a << _16, s << _16
-        out[:, t] = now
-        model.update(now, outcome, missed, bits)
-    return out
+        value = np.minimum((code - low) // unit, top).astype(np.int32)
+        outcome = (value >= model.cut1).astype(np.int32) + (value >= model.cut2) + (value >= model.cut3)
+        start, share = model.span(outcome)
+        low += unit * start.astype(np.uint64)
+        size = unit * share.astype(np.uint64)
+        missed = outcome == 3
+        unit = size >> _SCALE_BITS
+        value = np.minimum((code - low) // unit, top).astype(np.int32)
+        bits = (value[:, None] >= model.edges[:, 1:-1]).sum(axis=1, dtype=np.int32)
+        place = model.edge_base + bits
+        edges = model.edges.ravel()
+        start = np.where(missed, edges.take(place), np.int32(0))
+        share = np.where(missed, edges.take(place + np.int32(1)) - start, np.int32(4096))
+        low += unit * start.astype(np.uint64)
+        size = unit * share.astype(np.uint64)
+        rest = np.where(missed, np.maximum(bits - np.int32(1), np.int32(0)), np.int32(0))
+        size >>= rest.astype(np.uint64)
+        most = (np.int32(1) << rest) - np.int32(1)
+        value = np.minimum((code - low) // size, most.astype(np.uint64)).astype(np.int32)
+        low += size * value.astype(np.uint64)
+        now = np.where(bits > 0, value + most + np.int32(1), np.int32(0))
+        now = np.where(missed, now, np.where(outcome == 0, model.said[0], np.where(outcome == 1, model.said[1], model.top)))
+        _settle(low, size, moved)
+        out[t] = now
+        model.update(now, missed, _BITS.take(now))
+    return np.ascontiguousarray(out.T)
 
 
 # --- frames -------------------------------------------------------------------------
@@ -279,7 +311,17 @@ def _library(path: str):
         found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    pieces = Remembered(whole)
+    def apart(words: list[str]) -> list[bytes]:
+        # many pieces as the words of one call; the library says which word an id is of
+        if not words:
+            return []
+        found = tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        packed = np.array(found.ids, "<u4").tobytes()
+        ends = 4 * np.searchsorted(np.array(found.word_ids, np.int64), np.arange(1, len(words) + 1))
+        places = [0, *ends.tolist()]
+        return [packed[a:b] for a, b in zip(places, places[1:], strict=False)]
+
+    pieces = Remembered(apart)
 
     def run(texts: list[str]) -> list[bytes]:
         # a text of unusual characters is left to the library as a whole
