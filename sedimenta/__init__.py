@@ -22,8 +22,15 @@ from sedimenta.operators.pivot import pivot_translations, spread_translations
 from sedimenta.operators.requests import id_list, request_plan
 from sedimenta.operators.upsert import latest_per_key, merge_into, require_unique, upsert
 from sedimenta.operators.watermark import active_only, changed_since, high_watermark, max_of
-from sedimenta.session import build_session, scratch_path, stage
-from sedimenta.sources.landing import has_records, land, read_landing, records, schema_drift
+from sedimenta.session import build_session, freed_scratch, scratch_path, stage
+from sedimenta.sources.landing import (
+    has_records,
+    land,
+    read_landing,
+    records,
+    schema_drift,
+    unreadable_documents,
+)
 from sedimenta.sources.tables import (
     compact_table,
     expire_snapshots,
@@ -47,6 +54,7 @@ __all__ = [
     "drop_null",
     "expire_snapshots",
     "flatten",
+    "freed_scratch",
     "has_records",
     "high_watermark",
     "id_list",
@@ -77,6 +85,7 @@ __all__ = [
     "table_exists",
     "table_view",
     "translation_key",
+    "unreadable_documents",
     "upsert",
     "write_curated",
 ]

@@ -16,8 +16,12 @@ def _column(c: Column | str) -> Column:
 
 
 def iso_timestamp(text: Column | str) -> Column:
-    """ISO text to timestamp. Fraction and offset are ignored, bad text is NULL."""
-    return _column(text).substr(1, ISO_SECONDS).try_cast("timestamp")
+    """ISO text to timestamp. Fraction and offset are ignored, bad text is NULL.
+
+    A text that does not begin with a date is bad: a time alone would be taken as today's.
+    """
+    moment = _column(text).substr(1, ISO_SECONDS)
+    return F.when(iso_date(text).isNotNull(), moment.try_cast("timestamp"))
 
 
 def iso_date(text: Column | str) -> Column:

@@ -31,9 +31,10 @@ def pivot_translations(
     cells = F.col(value) if isinstance(value, str) else value
     if not names:
         return df.select(*keys).distinct()
-    return keyed.groupBy(*keys).agg(
-        *[agg(F.when(F.col("_key") == name, cells)).alias(name) for name in names]
+    wide = keyed.groupBy(*_led_by_hash(keys)).agg(
+        *[agg(F.when(F.col("_key") == name, cells)).alias(f"_cell{i}") for i, name in enumerate(names)]
     )
+    return _named(wide, keys, names)
 
 
 def spread_translations(
@@ -44,18 +45,20 @@ def spread_translations(
 ) -> DataFrame:
     """The same result from records that still hold their translations array.
 
-    The cells are read out of the array in place, so what is shuffled is one
-    row per record and not one per translation; the aggregation only merges
-    records that agree in all ``keys``.
+    The array is walked once per record, into a map of the smallest value per
+    name, so what is shuffled is one row per record and not one per translation;
+    the aggregation only merges records that agree in all ``keys``.
     """
     keyed = df.select(
         *keys,
-        F.transform(
-            array,
-            lambda t: F.struct(
-                translation_key(t["property"], t["locale"]).alias("key"),
-                t["value"].alias("value"),
-            ),
+        F.array_sort(
+            F.transform(
+                array,
+                lambda t: F.struct(
+                    translation_key(t["property"], t["locale"]).alias("key"),
+                    t["value"].alias("value"),
+                ),
+            )
         ).alias("_cells"),
     )
     if locales is None:
@@ -64,8 +67,38 @@ def spread_translations(
         names = list(locales)
     if not names:
         return keyed.select(*keys).distinct()
-    wide = keyed.select(*keys, *[_cell("_cells", name).alias(name) for name in names])
-    return wide.groupBy(*keys).agg(*[F.min(f"`{name}`").alias(name) for name in names])
+    with_value = keyed.withColumn("_cells", F.filter("_cells", lambda c: c["value"].isNotNull()))
+    # sorted by name, then value: the first of each name is its smallest value
+    firsts = F.filter(
+        "_cells",
+        lambda c, i: (i == 0) | (F.get("_cells", i - 1)["key"] != c["key"]),
+    )
+    mapped = with_value.select(*keys, F.map_from_entries(firsts).alias("_cells"))
+    cells = [F.try_element_at("_cells", F.lit(n)).alias(f"_cell{i}") for i, n in enumerate(names)]
+    wide = mapped.select(*keys, *cells).groupBy(*_led_by_hash(keys))
+    return _named(wide.agg(*[F.min(f"_cell{i}").alias(f"_cell{i}") for i in range(len(names))]), keys, names)
+
+
+def _led_by_hash(keys: Sequence[str]) -> list[Column]:
+    """Grouping keys behind their hash: sorts then settle on one number nearly always."""
+    return [F.xxhash64(*keys).alias("_hash"), *[F.col(k) for k in keys]]
+
+
+def _named(wide: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """The cells under their names.
+
+    A name that differs from an earlier column in case only, or not at all, gets the
+    first of ``_1``, ``_2`` and so on that makes it another.
+    """
+    taken, final = {k.lower() for k in keys}, []
+    for name in names:
+        shown, n = name, 0
+        while shown.lower() in taken:
+            n += 1
+            shown = f"{name}_{n}"
+        taken.add(shown.lower())
+        final.append(shown)
+    return wide.select(*keys, *[F.col(f"_cell{i}").alias(x) for i, x in enumerate(final)])
 
 
 def translation_names(df: DataFrame, prop: str | Column, locale: str | Column) -> list[str]:
@@ -73,11 +106,6 @@ def translation_names(df: DataFrame, prop: str | Column, locale: str | Column) -
     return _distinct_keys(df.select(translation_key(prop, locale).alias("_key")))
 
 
-def _cell(cells: str, name: str) -> Column:
-    matching = F.filter(cells, lambda c: c["key"] == name)
-    return F.array_min(F.transform(matching, lambda c: c["value"]))
-
-
 def _distinct_keys(keys: DataFrame) -> list[str]:
     """The column names to make. As many as Spark lets a pivot have, or an error."""
     limit = int(keys.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))

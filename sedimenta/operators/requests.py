@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 
 def id_list(df: DataFrame, array: str, field: str = "id", alias: str = "id") -> DataFrame:
-    """The distinct ids in an array of records, over all rows.
+    """The distinct ids in an array of records, over all rows; a record without id has none.
 
     ``array`` may lead through another array (``units.programs``).
     """
     elements = df.select(F.explode(array).alias("_element"))
     while elements.schema["_element"].dataType.typeName() == "array":
         elements = elements.select(F.explode("_element").alias("_element"))
-    return elements.select(F.col("_element").getField(field).alias(alias)).distinct()
+    ids = elements.select(F.col("_element").getField(field).alias(alias))
+    return ids.filter(F.col(alias).isNotNull()).distinct()
 
 
 def request_plan(
@@ -27,6 +28,7 @@ def request_plan(
     watermark: str | DataFrame | None = None,
     watermark_param: str = "lastUpdated",
     suffix: str = ".json",
+    poll: str | None = None,
 ) -> DataFrame:
     """One row per request: its key columns, ``file_name`` and ``parameters``.
 
@@ -34,6 +36,8 @@ def request_plan(
     key column fills. ``watermark`` is one text for all, or a DataFrame of
     marks per key as :func:`sedimenta.high_watermark` gives with ``by``; a
     request without mark carries no date parameter and so asks for everything.
+    ``poll`` names this round of requests and becomes part of each file name: a
+    stream takes every file once, so a file must not be replaced under its name.
     """
     columns: Sequence[str] = list(params)
     plan = keys.select(*columns)
@@ -48,6 +52,8 @@ def request_plan(
     pieces.append(F.concat(F.lit(f"{watermark_param}="), F.col("watermark")))
     return plan.select(
         *columns,
-        F.concat(F.concat_ws("_", *columns), F.lit(suffix)).alias("file_name"),
+        F.concat(F.concat_ws("_", *columns, *([F.lit(poll)] if poll else [])), F.lit(suffix)).alias(
+            "file_name"
+        ),
         F.concat_ws("&", *pieces).alias("parameters"),
     )

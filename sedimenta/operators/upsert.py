@@ -103,28 +103,19 @@ def require_unique(
 ) -> DataFrame:
     """``df`` as it is, but the job fails if a key occurs twice.
 
-    The test is part of the plan: one aggregation that counts before it shuffles.
+    The test is part of the plan: a subquery that reads and counts the key columns
+    only, before they are shuffled. The rows themselves are neither sorted nor moved.
     """
     keys = list(keys)
-    if not null_safe:
-        keyed, keyless = _by_null_key(df, keys)
-        return require_unique(keyed, keys).unionByName(keyless)
-    message = F.concat(
-        F.lit(f"duplicate key ({', '.join(keys)}) in batch: "),
-        F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]),
-    )
-    return (
-        df.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("_times"),
-            F.first(F.struct(*[F.col(c) for c in df.columns])).alias("_row"),
-        )
-        .filter(
-            F.when(F.col("_times") > 1, F.raise_error(message).cast("boolean"))
-            .otherwise(F.lit(True))
+    shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    found = duplicate_keys(df, keys, null_safe=null_safe).agg(F.max(shown).alias("example"))
+    message = F.concat(F.lit(f"duplicate key ({', '.join(keys)}) in batch: "), F.col("example"))
+    unique = found.select(
+        F.when(F.col("example").isNotNull(), F.raise_error(message).cast("boolean")).otherwise(
+            F.lit(True)
         )
-        .select("_row.*")
     )
+    return df.filter(unique.scalar())
 
 
 def _by_null_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -15,7 +15,7 @@ from sedimenta.operators.dimensions import (
     dimension_members_2hop,
     members_of_lists,
 )
-from sedimenta.session import scratch_path
+from sedimenta.session import freed_scratch, scratch_path
 from sedimenta.sources import storage
 from sedimenta.sources.tables import read_table, write_curated
 
@@ -169,7 +169,8 @@ def run_curated(
     job = JOBS[name]
     tables = {t: read_table(spark, f"{enriched_root}/{t}") for t in job.inputs}
     path = f"{curated_root}/{job.sink}"
-    write_curated(job.build(tables, strategy), path)
+    with freed_scratch():
+        write_curated(job.build(tables, strategy), path)
     return path
 
 
@@ -185,7 +186,15 @@ def run_dimensions(
     All lists that share a bridge are looked up together; the result is staged by
     list, and each dimension is written from its own part of it.
     """
+    unknown = set(names or ()) - {d.name for d in DIMENSIONS}
+    if unknown:
+        raise KeyError(f"no such dimension: {', '.join(sorted(unknown))}")
     wanted = [d for d in DIMENSIONS if names is None or d.name in names]
+    with freed_scratch():
+        return _write_dimensions(spark, enriched_root, curated_root, wanted, strategy)
+
+
+def _write_dimensions(spark, enriched_root, curated_root, wanted, strategy) -> list[str]:
     written = []
     for bridge, through in dict.fromkeys((d.bridge, d.through) for d in wanted):
         together = [d for d in wanted if (d.bridge, d.through) == (bridge, through)]
@@ -201,15 +210,17 @@ def run_dimensions(
             strategy=strategy,
         )
         folder = scratch_path(spark, "dimensions", near=curated_root)
-        found.hint("rebalance", "list_name").write.partitionBy("list_name").parquet(folder)
-        schema = found.schema
-        for dimension in together:
-            part = spark.read.schema(schema).parquet(folder)
-            part = part.filter(F.col("list_name") == dimension.name).select(
-                "name", F.col(member).alias(dimension.member_alias or member)
-            )
-            path = f"{curated_root}/{dimension.sink}"
-            write_curated(part.distinct() if dimension.distinct else part, path)
-            written.append(path)
-        storage.remove_tree(spark, folder)
+        try:
+            found.hint("rebalance", "list_name").write.partitionBy("list_name").parquet(folder)
+            schema = found.schema
+            for dimension in together:
+                part = spark.read.schema(schema).parquet(folder)
+                part = part.filter(F.col("list_name") == dimension.name).select(
+                    "name", F.col(member).alias(dimension.member_alias or member)
+                )
+                path = f"{curated_root}/{dimension.sink}"
+                write_curated(part.distinct() if dimension.distinct else part, path)
+                written.append(path)
+        finally:
+            storage.remove_tree(spark, folder)
     return written

@@ -23,6 +23,8 @@ from sedimenta.sources.landing import has_records, read_landing, records
 from sedimenta.sources.tables import load_incremental, overwrite_snapshot
 
 SEP = "_"
+#: Hash buckets of a new table, and of each partition of one that is partitioned too.
+TABLE_BUCKETS, PARTITION_BUCKETS = 64, 4
 # Fixed value: coordinates are kept for units of this level only.
 POINT_LEVEL = 4
 
@@ -163,6 +165,7 @@ JOBS = {
             order_by="lastUpdated",
             on_duplicate="latest",
             partition_by=("period",),
+            bucket_by=("orgUnit",),
         ),
         EnrichmentJob(
             "events",
@@ -179,6 +182,7 @@ JOBS = {
             timestamps=("lastUpdated", "created"),
             keys=("event", "dataElement"),
             order_by="lastUpdated",
+            on_duplicate="latest",
             bucket_by=("event",),
         ),
         EnrichmentJob(
@@ -194,6 +198,7 @@ JOBS = {
             required=("attributes_code",),
             keys=("trackedEntityInstance", "attributes_code", "program"),
             order_by="lastUpdated",
+            on_duplicate="latest",
             bucket_by=("trackedEntityInstance",),
         ),
     )
@@ -205,7 +210,7 @@ def enrich(
     documents: DataFrame,
     *,
     locales: list[str] | None = None,
-    spread: int | None = None,
+    spread: int | str | None = None,
     on_duplicate: str | None = None,
 ) -> DataFrame:
     """The table rows held in ``documents``, before any merge with older ones.
@@ -258,16 +263,19 @@ def load(
     """Publish a job's rows: merge them if the job has keys, else replace the table.
 
     NULL key parts match each other here, so that an event without data values
-    is one row however often it is loaded.
+    is one row however often it is loaded. ``buckets`` is how many hash buckets a
+    new table has, in each partition if it has any; it stays so for good, so name
+    it for a large one. A table that exists keeps its layout.
     """
     job = JOBS[job] if isinstance(job, str) else job
     if not job.keys:
         return overwrite_snapshot(rows, path)
-    if job.partition_by:
-        layout = {"partition_by": job.partition_by}
-    else:
-        default = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        layout = {"buckets": buckets or default, "bucket_by": job.bucket_by}
+    default = PARTITION_BUCKETS if job.partition_by else TABLE_BUCKETS
+    layout = {
+        "partition_by": job.partition_by,
+        "buckets": buckets or default,
+        "bucket_by": job.bucket_by,
+    }
     return load_incremental(
         rows,
         path,
@@ -281,7 +289,11 @@ def load(
 
 
 def find_locales(
-    spark: SparkSession, job: EnrichmentJob, path: str, multiline: bool = False
+    spark: SparkSession,
+    job: EnrichmentJob,
+    path: str,
+    multiline: bool = False,
+    unreadable: str = "fail",
 ) -> list[str]:
     """The translation columns the landed documents call for.
 
@@ -291,7 +303,11 @@ def find_locales(
     array = f"{job.root}{SEP}{job.translations}"
     cells = [f"{array}{SEP}property", f"{array}{SEP}locale"]
     documents = read_landing(
-        spark, path, document_schema(job.root, cells, SEP), multiline=multiline
+        spark,
+        path,
+        document_schema(job.root, cells, SEP),
+        multiline=multiline,
+        unreadable=unreadable,
     )
     return translation_names(flatten(records(documents, job.root), SEP, columns=cells), *cells)
 
@@ -304,18 +320,30 @@ def run_enrichment(
     *,
     source: str | None = None,
     locales: list[str] | None = None,
-    spread: int | None = None,
+    spread: int | str | None = None,
     multiline: bool = False,
+    unreadable: str = "fail",
     **options,
 ) -> int | None:
-    """Run one job from the landing zone to its table; None if nothing has landed."""
+    """Run one job from the landing zone to its table; None if nothing has landed.
+
+    A job that replaces its table does not replace it by nothing: without a single
+    record it fails. Its document is one row, so its records are spread by their size
+    unless ``spread`` says how. ``unreadable`` is that of ``read_landing``.
+    """
     job = JOBS[name]
     path = f"{landing_root}/{source or job.source}"
-    documents = read_landing(spark, path, job.schema(), multiline=multiline)
-    if job.keys and not has_records(documents, job.root):
-        return None
+    documents = read_landing(
+        spark, path, job.schema(), multiline=multiline, unreadable=unreadable
+    )
+    if not has_records(documents, job.root):
+        if job.keys:
+            return None
+        raise ValueError(f"no record below {path}: table {name} stays as it is")
+    if spread is None and not job.keys:
+        spread = "auto"
     if job.translations and locales is None:
-        locales = find_locales(spark, job, path, multiline)
+        locales = find_locales(spark, job, path, multiline, unreadable)
     rows = enrich(
         job, documents, locales=locales, spread=spread, on_duplicate=options.get("on_duplicate")
     )

@@ -91,8 +91,34 @@ EXTRACTS = {
 }
 
 
-def extract_keys(spark: SparkSession, folder: str, landing_root: str) -> DataFrame:
-    """The ids to ask for, from what has landed: units for events, programs for instances."""
+# Fixed value: where the list of data sets lands.
+DATA_SETS = "dataSets/dataSets.json"
+
+
+def extract_keys(
+    spark: SparkSession, folder: str, landing_root: str, pairs: DataFrame | None = None
+) -> DataFrame:
+    """The ids to ask for, from what has landed: units for events, programs for instances.
+
+    Data values are asked for by unit group and data set. ``pairs`` says which data sets
+    are assigned to which groups (``organisationUnitGroup``, ``dataSet``); asked for are
+    those whose group and data set have both landed. The product of the two lists would
+    grow with the square of the ids and is not made.
+    """
+    if folder == "dataElement-values":
+        if pairs is None:
+            raise ValueError(f"{folder} needs the assigned pairs of groups and data sets")
+        groups = EXTRACTS["organisationUnitGroups"]
+        lists = {
+            "organisationUnitGroup": (f"{groups.folder}/{groups.file_name}", groups.root),
+            "dataSet": (DATA_SETS, "dataSets"),
+        }
+        asked = pairs.select(*lists).distinct()
+        for column, (path, root) in lists.items():
+            schema = document_schema(root, [f"{root}_id"])
+            known = id_list(read_landing(spark, f"{landing_root}/{path}", schema), root, alias=column)
+            asked = asked.join(known, column, "left_semi")
+        return asked.select(*lists)
     units = f"{landing_root}/{EXTRACTS['orgunit'].folder}/{EXTRACTS['orgunit'].file_name}"
     if folder == "events":
         schema = document_schema("organisationUnits", ["organisationUnits_id"])
@@ -101,7 +127,7 @@ def extract_keys(spark: SparkSession, folder: str, landing_root: str) -> DataFra
         schema = document_schema("organisationUnits", ["organisationUnits_programs_id"])
         array, name = "organisationUnits.programs", "program"
     else:
-        raise ValueError(f"{folder} takes its keys from the caller")
+        raise ValueError(f"{folder} is one document and has no keys")
     return id_list(read_landing(spark, units, schema), array, alias=name)
 
 
@@ -111,9 +137,12 @@ def plan_extract(
     enriched_root: str,
     keys: DataFrame,
     watermark: str | DataFrame | None = None,
+    poll: str | None = None,
 ) -> DataFrame:
     """Request rows for an incremental extract, from the mark of its table on.
 
+    ``poll`` tells this round's files from those of other rounds, as the stream needs.
+
     ``keys`` has a column for each of the extract's parameters. Before the
     first load there is no mark and everything is asked for.
     """
@@ -127,6 +156,7 @@ def plan_extract(
         fixed=extract.fixed,
         watermark=watermark,
         watermark_param=extract.watermark_param,
+        poll=poll,
     )
 
 

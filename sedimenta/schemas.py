@@ -49,6 +49,7 @@ RECORD_DDL = {
         "languages STRING, name STRING, surname STRING, "
         "userCredentials STRUCT<lastLogin: STRING, disabled: BOOLEAN, username: STRING>"
     ),
+    "dataSets": "id STRING",
     "dataValues": (
         "dataElement STRING, period STRING, orgUnit STRING, categoryOptionCombo STRING, "
         "attributeOptionCombo STRING, value STRING, storedBy STRING, created STRING, "

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,15 +67,39 @@ def scratch_path(spark: SparkSession, label: str, near: str | None = None) -> st
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+_STAGED: contextvars.ContextVar[list | None] = contextvars.ContextVar("staged", default=None)
+
+
+@contextlib.contextmanager
+def freed_scratch() -> Iterator[None]:
+    """What is staged inside is removed at the end, also after a failure.
+
+    For jobs that write their result: a DataFrame that reads a staged table must
+    not leave the block.
+    """
+    staged: list = []
+    outer = _STAGED.set(staged)
+    try:
+        yield
+    finally:
+        _STAGED.reset(outer)
+        for spark, path in staged:
+            storage.remove_tree(spark, path)
+
+
 def stage(df: DataFrame, label: str, near: str | None = None) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back.
 
     This cuts the lineage in a way that survives lost executors, and it gives
     Catalyst the true size of the result, so that a later join is broadcast
-    only if the data really is small.
+    only if the data really is small. Inside :func:`freed_scratch` the table is
+    removed at the block's end; elsewhere it stays for the DataFrames that read it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label, near)
+    staged = _STAGED.get()
+    if staged is not None:
+        staged.append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -90,4 +118,5 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 def has_shuffle(df: DataFrame) -> bool:
     """Does the plan of ``df`` move rows between tasks, so that their order may vary?"""
-    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return bool(re.search(r"(?<!Broadcast)(?<!Reused)Exchange ", plan))

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
 
+#: Column in which the parser puts a document that it cannot read as declared.
+UNREADABLE = "_unreadable"
+
+
 def read_landing(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -16,24 +20,81 @@ def read_landing(
     multiline: bool = False,
     streaming: bool = False,
     max_files: int | None = None,
+    unreadable: str = "fail",
+    with_file: bool = False,
 ) -> DataFrame:
     """Landed JSON: a file, a glob, or a folder with all that lies below it.
 
     With a ``schema`` nothing is inferred and unknown fields are skipped by the
     parser. Without one Spark infers it, which reads everything once more.
+
+    A document that is cut short, spread over lines without ``multiline``, or
+    holds a value of another type than declared makes the job fail by the name
+    of its file. With ``unreadable="skip"`` it is left out as a whole;
+    :func:`unreadable_documents` lists those. ``with_file`` adds each document's
+    ``file_path`` and ``file_modification_time``.
     """
+    if unreadable not in ("fail", "skip"):
+        raise ValueError(f"unreadable must be fail or skip, not {unreadable!r}")
     reader = spark.readStream if streaming else spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
     reader = reader.option("multiLine", str(multiline).lower())
     reader = reader.option("recursiveFileLookup", "true")
+    reader = reader.option("columnNameOfCorruptRecord", UNREADABLE)
     if streaming and max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    df = reader.json(path)
     if schema is None:
-        return df
+        df = reader.json(path)
+        if UNREADABLE not in df.columns:
+            return df
+        names = [c for c in df.columns if c != UNREADABLE]
+        if not names:
+            raise ValueError(f"no document below {path} can be read")
+    else:
+        declared = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        names = declared.names
+        df = reader.schema(StructType([*declared.fields]).add(UNREADABLE, "string")).json(path)
+    bad = F.col(UNREADABLE).isNotNull()
+    if unreadable == "skip":
+        good = ~bad
+    else:
+        message = F.concat(
+            F.lit("unreadable document in "),
+            F.col("_metadata.file_path"),
+            F.lit(": "),
+            F.substring(UNREADABLE, 1, 80),
+        )
+        good = F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    # the parser wants a declared column beside the unreadable text
+    present = F.coalesce(F.hash(*names) >= F.lit(-(1 << 31)), F.lit(True))
+    file = ["_metadata.file_path", "_metadata.file_modification_time"] if with_file else []
+    return df.filter(good & present).select(*names, *file)
+
+
+def unreadable_documents(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: StructType | str,
+    multiline: bool = False,
+) -> DataFrame:
+    """``file`` and ``document`` of all that ``read_landing`` cannot read as declared."""
     declared = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    return df.select(*declared.names)
+    lines = (
+        spark.read.option("wholetext", str(multiline).lower())
+        .option("recursiveFileLookup", "true")
+        .text(path)
+        .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("document"))
+    )
+    parsed = F.from_json(
+        "document",
+        StructType([*declared.fields]).add(UNREADABLE, "string"),
+        {"columnNameOfCorruptRecord": UNREADABLE},
+    )
+    return (
+        lines.filter(F.trim("document") != "")
+        .withColumn("parsed", parsed)
+        .filter(F.col("parsed").isNull() | F.col(f"parsed.{UNREADABLE}").isNotNull())
+        .select("file", "document")
+    )
 
 
 def has_records(df: DataFrame, root: str) -> bool:
@@ -41,14 +102,17 @@ def has_records(df: DataFrame, root: str) -> bool:
     return not df.filter(F.size(root) >= 1).isEmpty()
 
 
-def records(df: DataFrame, root: str, spread: int | None = None) -> DataFrame:
+def records(df: DataFrame, root: str, spread: int | str | None = None) -> DataFrame:
     """One row per record, as a struct column named ``root``.
 
     Documents without records (no array, an empty one, a NULL in it) give no row.
     A large document is a single row that no task can share, so ``spread`` deals
-    its records out over that many partitions before anything else is exploded.
+    its records out over that many partitions before anything else is exploded;
+    ``"auto"`` lets AQE choose the number by their size.
     """
     out = df.select(F.explode_outer(root).alias(root)).filter(F.col(root).isNotNull())
+    if spread == "auto":
+        return out.hint("rebalance")
     return out.repartition(spread) if spread else out
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
@@ -47,7 +48,11 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def publish_text(spark: SparkSession, path: str, text: str) -> None:
-    """Make ``text`` appear at ``path`` in one step; fail if something is there."""
+    """Make ``text`` appear at ``path`` in one step; fail if something is there.
+
+    The rename refuses an existing target. That is one atomic step on HDFS; a local
+    file system or an object store checks first, so there two writers may both pass.
+    """
     fs, jpath = _resolve(spark, path)
     if fs.exists(jpath):
         raise FileExistsError(path)
@@ -58,9 +63,18 @@ def publish_text(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
-    if not fs.rename(draft, jpath):
+    jvm = spark._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.getUri(), spark._jsc.hadoopConfiguration()
+    )
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(draft, jpath, options)
+    except Py4JJavaError as error:
         fs.delete(draft, False)
-        raise FileExistsError(path)
+        if "FileAlreadyExists" in str(error.java_exception):
+            raise FileExistsError(path) from error
+        raise
 
 
 def remove_tree(spark: SparkSession, path: str) -> None:

@@ -7,8 +7,9 @@ see half a write, and a job that dies leaves the table as it was. There is one
 writer per table at a time; a second one loses at the commit and must run again.
 
 A slice is a set of keys: rows with the same values in ``partition_by`` (which
-must be key columns), or in the same of ``buckets`` hash buckets. An upsert
-reads and rewrites only the slices its batch touches.
+must be key columns), in the same of ``buckets`` hash buckets, or both. An upsert
+reads and rewrites only the slices its batch touches, and it fails before the
+commit if it should have written any other.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructType, TimestampType
 
 from sedimenta.operators.upsert import duplicate_keys, latest_per_key, upsert
-from sedimenta.session import fits_broadcast, scratch_path
+from sedimenta.session import has_shuffle, scratch_path
 from sedimenta.sources import storage
 
 SLICE = "slice"
@@ -70,13 +71,24 @@ class Snapshot:
 
     def slice_label(self) -> Column:
         """Which slice a row belongs to. Two keys sharing a label is harmless."""
+        parts = []
         if self.partition_by:
-            parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in self.partition_by]
-            return F.concat(F.lit("p-"), F.concat_ws("/", *parts))
+            values = [F.coalesce(self._plain(c), F.lit("")) for c in self.partition_by]
+            parts.append(F.concat(F.lit("p-"), F.concat_ws("/", *values)))
         if self.buckets > 1:
             bucket = F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets))
-            return F.concat(F.lit("b-"), bucket.cast("string"))
-        return F.lit(WHOLE)
+            parts.append(F.concat(F.lit("b-"), bucket.cast("string")))
+        return F.concat_ws("/", *parts) if parts else F.lit(WHOLE)
+
+    def _plain(self, column: str) -> Column:
+        """The value as text; a timestamp's does not depend on the session's time zone."""
+        if isinstance(self.schema[column].dataType, TimestampType):
+            return F.unix_micros(column).cast("string")
+        return F.col(column).cast("string")
+
+    def partition_label(self, label: str) -> str:
+        """The part of a slice's label that ``partition_by`` made."""
+        return label.rpartition("/b-")[0] if self.buckets > 1 else label
 
 
 # -- reading ---------------------------------------------------------------
@@ -97,8 +109,16 @@ def snapshot_of(spark: SparkSession, path: str, version: int | None = None) -> S
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Has anything been committed at ``path``?"""
-    return bool(versions(spark, path)) or storage.exists(spark, f"{path}/_delta_log")
+    """Is there a table at ``path``: a snapshot table, a Delta table, or plain Parquet?"""
+    return bool(versions(spark, path)) or _other_format(spark, path)
+
+
+def _other_format(spark: SparkSession, path: str) -> bool:
+    """Data that is not a snapshot table. Folders of an unfinished first version are none."""
+    names = storage.child_names(spark, path)
+    return "_delta_log" in names or any(
+        not n.startswith(("_", ".", "snapshot=")) for n in names
+    )
 
 
 def read_table(
@@ -131,7 +151,7 @@ def read_table(
         chosen = {
             name: at
             for name, at in snapshot.slices.items()
-            if unquote(name.partition("=")[2]) in labels
+            if snapshot.partition_label(unquote(name.partition("=")[2])) in labels
         }
     df = _scan(spark, path, snapshot, chosen).select(*snapshot.schema.names)
     return df.filter(_only_condition(only))
@@ -216,6 +236,10 @@ def load_incremental(
     Returns the new version, or None if the batch was empty. The batch is
     written once, sliced as the table is. From there on its size is known, and
     it is joined only to the slices it touches.
+
+    A batch whose types differ from the table's is cast first; a value that does
+    not survive the cast fails the load. A table of another format at ``path`` is
+    taken over: its rows become the first version.
     """
     if on_duplicate not in ("error", "latest", "allow"):
         raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
@@ -228,6 +252,15 @@ def load_incremental(
             raise ValueError("on_duplicate='latest' needs order_by")
         df = latest_per_key(df, keys, order_by, null_safe=null_safe)
     current = snapshot_of(spark, path)
+    if current is None and _other_format(spark, path):
+        overwrite_snapshot(
+            read_table(spark, path),
+            path,
+            partition_by=partition_by,
+            buckets=buckets,
+            bucket_by=bucket_by or keys,
+        )
+        current = snapshot_of(spark, path)
     if current is None:
         layout = _layout(df, 1, partition_by, buckets, bucket_by or keys)
         folder = path
@@ -236,6 +269,7 @@ def load_incremental(
             raise ValueError(f"batch columns differ from those of {path}")
         if not set(current.partition_by) | set(current.bucket_by) <= set(keys):
             raise ValueError(f"the slices of {path} are not made from the key columns")
+        df = _as_typed(df, current.schema)
         layout = replace(current, slices={}, version=current.version + 1)
         folder = scratch_path(spark, "batch", near=path)
     staged = _write(df.select(*layout.schema.names), folder, layout)
@@ -252,8 +286,10 @@ def load_incremental(
         merged = upsert(
             held, batch, keys, null_safe=null_safe, on_duplicate="allow", newer_only=newer_only
         )
-        mapped = fits_broadcast(batch.select(*keys))
-        written = _write(merged, path, layout, gathered=mapped)
+        written = _write(merged, path, layout, gathered=not has_shuffle(merged))
+        strays = set(written.slices) - set(staged.slices)
+        if strays:
+            raise RuntimeError(f"the upsert would replace slices it has not read: {strays}")
         slices = {**current.slices, **written.slices}
         return _commit(spark, path, replace(written, slices=slices))
     finally:
@@ -261,6 +297,25 @@ def load_incremental(
             storage.remove_tree(spark, folder)
 
 
+def _as_typed(df: DataFrame, schema: StructType) -> DataFrame:
+    """``df`` with the table's types. The job fails on a value that a cast would change."""
+    columns = []
+    for field in schema.fields:
+        given, column = df.schema[field.name].dataType, F.col(field.name)
+        if given.simpleString() == field.dataType.simpleString():
+            columns.append(column)
+            continue
+        cast = column.try_cast(field.dataType)
+        changed = column.isNotNull() & ~cast.try_cast(given).eqNullSafe(column)
+        message = F.concat(
+            F.lit(f"column {field.name} of the batch does not fit {field.dataType.simpleString()}: "),
+            column.cast("string"),
+        )
+        lost = F.raise_error(message).cast(field.dataType)
+        columns.append(F.when(changed, lost).otherwise(cast).alias(field.name))
+    return df.select(*columns)
+
+
 def compact_table(spark: SparkSession, path: str) -> int:
     """Rewrite the table in its own layout, joining up the small files of past batches."""
     current = snapshot_of(spark, path)
@@ -300,7 +355,7 @@ def _fail_on_duplicates(batch: DataFrame, keys: list[str], null_safe: bool) -> N
 
 
 def _layout(df, version, partition_by, buckets, bucket_by) -> Snapshot:
-    if buckets > 1 and not (bucket_by or partition_by):
+    if buckets > 1 and not bucket_by:
         raise ValueError("buckets need bucket_by")
     for name in (SLICE, "snapshot"):
         if name in df.columns:

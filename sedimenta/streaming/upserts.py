@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from sedimenta.plans.enrichment import JOBS, enrich, load
+from sedimenta.sources import storage
 from sedimenta.sources.landing import read_landing
 from sedimenta.sources.tables import load_incremental
 
@@ -50,21 +52,52 @@ def stream_enrichment(
     available_now: bool = True,
     **options,
 ) -> StreamingQuery:
-    """Follow a landing folder with one of the merging enrichment jobs."""
+    """Follow a landing folder with one of the merging enrichment jobs.
+
+    The stream takes every file name once, so each poll must land under names of its
+    own (``poll=`` of ``plan_extract``). A file that was replaced since it was taken
+    makes the start fail: which files were taken, and as of when, is kept beside the
+    checkpoint.
+    """
     job = JOBS[name]
     if not job.keys:
         raise ValueError(f"{name} replaces its table and cannot follow a stream")
+    ledger = f"{checkpoint.rstrip('/')}-files"
+    _fail_on_replaced(spark, landing, ledger)
     documents = read_landing(
-        spark, landing, schema or job.schema(), streaming=True, max_files=max_files
+        spark,
+        landing,
+        schema or job.schema(),
+        streaming=True,
+        max_files=max_files,
+        with_file=True,
     )
 
     def merge(batch: DataFrame, _: int) -> None:
         rows = enrich(job, batch, on_duplicate=options.get("on_duplicate"))
         load(job, rows, target, **options)
+        batch.select(*_FILE).distinct().write.mode("append").parquet(ledger)
 
     return _start(documents, merge, checkpoint, available_now)
 
 
+_FILE = ("file_path", "file_modification_time")
+
+
+def _fail_on_replaced(spark: SparkSession, landing: str, ledger: str) -> None:
+    if not storage.exists(spark, ledger) or not storage.exists(spark, landing):
+        return
+    taken = spark.read.schema("file_path string, file_modification_time timestamp").parquet(ledger)
+    last = taken.groupBy("file_path").agg(F.max("file_modification_time").alias("taken"))
+    # only the listing is read, not the files
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing)
+    now = files.select(*[f"_metadata.{c}" for c in _FILE])
+    changed = now.join(last, "file_path").filter("file_modification_time > taken")
+    example = changed.select("file_path").head(1)
+    if example:
+        raise ValueError(f"replaced under its own name since the stream took it: {example[0][0]}")
+
+
 def _start(stream, merge, checkpoint, available_now) -> StreamingQuery:
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     if available_now:

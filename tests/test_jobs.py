@@ -16,7 +16,7 @@ def out(tmp_path):
 
 def test_every_job_has_a_schema_for_its_columns():
     assert len(enrichment.JOBS) == 12 and len(curated.JOBS) == 27
-    assert len(ingestion.EXTRACTS) == 12 and len(RECORD_DDL) == 12
+    assert len(ingestion.EXTRACTS) == 12 and len(RECORD_DDL) == 13  # and the list of data sets
     for job in enrichment.JOBS.values():
         assert len(job.schema()[job.root].dataType.elementType.names) > 1
 
@@ -239,8 +239,8 @@ def test_events(spark, landing, out, rows):
     landing("events/u2.json", {"events": [
         event("1", [{"dataElement": "x", "value": "7"}], updated="2024-03-02T00:00:00.000")]})
     with pytest.raises(ValueError, match="duplicate key"):
-        run_enrichment(spark, "events", root, out)
-    assert run_enrichment(spark, "events", root, out, on_duplicate="latest") == 3
+        run_enrichment(spark, "events", root, out, on_duplicate="error")
+    assert run_enrichment(spark, "events", root, out) == 3
     df = sd.read_table(spark, f"{out}/events")
     assert ("1", "x", "7") in rows(df, "event", "dataElement", "dataValues_value")
     assert df.count() == 4
@@ -330,8 +330,23 @@ def test_extract_plans(spark, landing, out, rows):
     run_enrichment(spark, "events", root, out, buckets=2)
     later = ingestion.plan_extract(spark, "events", out, units)
     assert rows(later, "parameters")[0][0].endswith("&lastUpdatedStartDate=2024-03-01T10:11:12")
-    with pytest.raises(ValueError, match="caller"):
+    with pytest.raises(ValueError, match="assigned pairs"):
         ingestion.extract_keys(spark, "dataElement-values", root)
+    with pytest.raises(ValueError, match="no keys"):
+        ingestion.extract_keys(spark, "users", root)
+    polled = ingestion.plan_extract(spark, "events", out, units, poll="20240301")
+    assert rows(polled, "file_name") == [("u1_20240301.json",), ("u2_20240301.json",)]
+
+
+def test_data_value_keys(spark, landing, rows):
+    root = landing("organisationUnitGroups/organisationUnitGroups.json", {
+        "organisationUnitGroups": [{"id": "g1"}, {"id": "g2"}, {"name": "no id"}]})
+    landing("dataSets/dataSets.json", {"dataSets": [{"id": "s1"}, {"id": "s1"}, {"id": "s2"}]})
+    pairs = spark.createDataFrame(
+        [("g1", "s1"), ("g1", "s1"), ("g2", "s2"), ("g2", "s9"), ("g7", "s1"), (None, "s1")],
+        "organisationUnitGroup string, dataSet string")
+    keys = ingestion.extract_keys(spark, "dataElement-values", root, pairs)
+    assert rows(keys) == [("g1", "s1"), ("g2", "s2")]
 
 
 def test_the_watermark_never_moves_back(spark, landing, out):

@@ -1,0 +1,272 @@
+"""Inputs on which rows must not go missing without an error."""
+
+import datetime
+import json
+import os
+import random
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+import sedimenta as sd
+from sedimenta.plans.curated import run_dimensions
+from sedimenta.plans.enrichment import JOBS, run_enrichment
+from sedimenta.sources import storage
+from sedimenta.streaming.upserts import stream_enrichment
+
+CATEGORIES = {"categories": [{"id": "a", "dataDimensionType": "X"}, {"id": "b", "dataDimensionType": "Y"}]}
+
+
+# -- documents that cannot be read ------------------------------------------
+
+
+@pytest.mark.parametrize(
+    "document",
+    [json.dumps(CATEGORIES)[:-20], json.dumps(CATEGORIES, indent=1), '{"categories":{"id":"a"}}', "[1", ""],
+    ids=["cut", "pretty", "no array", "no json", "empty file"],
+)
+def test_a_bad_document_leaves_the_table_alone(spark, landing, tmp_path, document, rows):
+    root, out = landing("categories/categories.json", CATEGORIES), str(tmp_path / "flat")
+    assert run_enrichment(spark, "categories", root, out) == 1
+    (tmp_path / "raw/categories/categories.json").write_text(document)
+    with pytest.raises(Exception, match="categories"):
+        run_enrichment(spark, "categories", root, out)
+    assert rows(sd.read_table(spark, f"{out}/categories")) == [("a", "X"), ("b", "Y")]
+
+
+def test_pretty_printed_documents_are_read_on_request(spark, landing, tmp_path):
+    root, out = landing("categories/categories.json", CATEGORIES), str(tmp_path / "flat")
+    (tmp_path / "raw/categories/categories.json").write_text(json.dumps(CATEGORIES, indent=1))
+    assert run_enrichment(spark, "categories", root, out, multiline=True) == 1
+    assert sd.read_table(spark, f"{out}/categories").count() == 2
+
+
+def test_a_wrongly_typed_value_fails_or_is_set_aside(spark, landing, tmp_path, rows):
+    root = landing("orgunit/a.json", {"organisationUnits": [{"id": "u1", "level": 4, "leaf": True}]})
+    landing("orgunit/b.json", {"organisationUnits": [{"id": "u2", "level": "4"}]})
+    landing("orgunit/c.json", {"organisationUnits": [{"id": "u3", "leaf": "true"}]})
+    out = str(tmp_path / "flat")
+    with pytest.raises(Exception, match="unreadable document in .*/[bc].json"):
+        run_enrichment(spark, "orgunit", root, out, source="orgunit")
+    assert run_enrichment(spark, "orgunit", root, out, source="orgunit", unreadable="skip") == 1
+    assert rows(sd.read_table(spark, f"{out}/orgunit"), "id", "level") == [("u1", 4)]
+    aside = sd.unreadable_documents(spark, f"{root}/orgunit", JOBS["orgunit"].schema())
+    assert sorted(r["file"][-6:] for r in aside.collect()) == ["b.json", "c.json"]
+
+
+def test_one_bad_file_of_many(spark, landing, tmp_path):
+    event = {"event": "1", "lastUpdated": "2024-01-01T00:00:00"}
+    root = landing("events/u1.json", {"events": [event]})
+    landing("events/u2.json", {"events": [event | {"event": "2"}]})
+    (tmp_path / "raw/events/u2.json").write_text('{"events":[{"event":"2"')
+    out = str(tmp_path / "flat")
+    with pytest.raises(Exception, match="u2.json"):
+        run_enrichment(spark, "events", root, out)
+    assert not sd.table_exists(spark, f"{out}/events")
+    assert run_enrichment(spark, "events", root, out, unreadable="skip") == 1
+
+
+def test_counting_documents_works(spark, landing):
+    root = landing("categories/categories.json", CATEGORIES)
+    assert sd.read_landing(spark, f"{root}/categories", JOBS["categories"].schema()).count() == 1
+    with pytest.raises(ValueError):
+        sd.read_landing(spark, root, unreadable="drop")
+
+
+# -- upserts against a dictionary ---------------------------------------------
+
+KEY_TYPES = ["int", "bigint", "string", "date", "timestamp", "decimal(12,0)"]
+LAYOUTS = [
+    {},
+    {"buckets": 8},
+    {"partition_by": ["k"]},
+    {"partition_by": ["k"], "buckets": 3, "bucket_by": ["k2"]},
+]
+
+
+def _value(kind: str, n: int):
+    if kind == "string":
+        return str(n)
+    if kind == "date":
+        return datetime.date(2024, 1, 1) + datetime.timedelta(days=n)
+    if kind == "timestamp":
+        return datetime.datetime(2024, 1, 1) + datetime.timedelta(hours=7 * n)
+    return n
+
+
+@pytest.mark.parametrize("layout", range(len(LAYOUTS)))
+@pytest.mark.parametrize("seed", range(2))
+def test_upserts_against_a_dictionary(spark, tmp_path, layout, seed):
+    rng = random.Random(100 * layout + seed)
+    path = str(tmp_path / "t")
+    kind = rng.choice(KEY_TYPES)
+    narrower = {"bigint": ["int"], "decimal(12,0)": ["int", "bigint"], "timestamp": ["date"]}
+    expected = {}
+    zones = ["UTC", "America/New_York", "Asia/Kolkata"]
+    try:
+        for n in range(4):
+            given = kind if n == 0 else rng.choice([kind, *narrower.get(kind, [])])
+            keys = {(rng.randrange(12), rng.randrange(3)) for _ in range(30 if n == 0 else 5)}
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            batch = [(_value("string", k), k2, f"{n}-{k}-{k2}") for k, k2 in keys]
+            df = spark.createDataFrame(batch, "n string, k2 int, v string")
+            if given in ("date", "timestamp"):
+                hours = F.col("n").cast("int") * (24 if kind == "timestamp" else 1)
+                moment = F.timestamp_seconds(F.lit(1704067200) + hours * 3600)
+                day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("n").cast("int"))
+                df = df.withColumn("n", moment if given == "timestamp" else day)
+            else:
+                df = df.withColumn("n", F.col("n").cast(given))
+            df = df.withColumnRenamed("n", "k")
+            if given == kind:
+                spark.conf.set("spark.sql.session.timeZone", rng.choice(zones))
+            sd.load_incremental(df, path, ["k", "k2"], **LAYOUTS[layout])
+            expected.update({(k, k2): v for k, k2, v in [(int(a), b, c) for a, b, c in batch]})
+        got = [r["v"] for r in sd.read_table(spark, path).collect()]
+        assert sorted(got) == sorted(expected.values())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_value_that_does_not_fit_fails(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    sd.load_incremental(spark.createDataFrame([(1, "a")], "k int, v string"), path, ["k"])
+    with pytest.raises(Exception, match="does not fit int"):
+        sd.load_incremental(spark.createDataFrame([(1 << 40, "b")], "k bigint, v string"), path, ["k"])
+    sd.load_incremental(spark.createDataFrame([(2, "c")], "k bigint, v string"), path, ["k"])
+    assert rows(sd.read_table(spark, path)) == [(1, "a"), (2, "c")]
+
+
+def test_plain_parquet_is_taken_over(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).selectExpr("id AS k", "'old' AS v").write.parquet(path)
+    sd.load_incremental(spark.createDataFrame([(5, "new")], "k bigint, v string"), path, ["k"], buckets=4)
+    df = sd.read_table(spark, path)
+    assert df.count() == 100 and df.filter("v = 'new'").count() == 1
+
+
+def test_a_batch_of_one_unit_rewrites_one_bucket_of_one_period(spark, tmp_path):
+    path = str(tmp_path / "t")
+    layout = {"partition_by": ["period"], "buckets": 4, "bucket_by": ["unit"]}
+    first = spark.range(200).selectExpr("string(id % 5) AS period", "id AS unit", "'a' AS v")
+    sd.load_incremental(first, path, ["period", "unit"], **layout)
+    one = spark.createDataFrame([("3", 13, "b")], "period string, unit bigint, v string")
+    version = sd.load_incremental(one, path, ["period", "unit"])
+    names = [n for n in storage.child_names(spark, path) if n.startswith(f"snapshot={version}-")]
+    assert len([n for n in storage.child_names(spark, f"{path}/{names[0]}") if "=" in n]) == 1
+    assert sd.read_table(spark, path).count() == 200
+    pruned = sd.read_table(spark, path, only={"period": ["3"]})
+    assert pruned.count() == 40 and len(pruned.inputFiles()) < len(sd.read_table(spark, path).inputFiles())
+
+
+def test_two_versions_of_an_instance_in_two_files(spark, landing, tmp_path, rows):
+    def instance(day, value):
+        return {"trackedEntityInstances": [{
+            "trackedEntityInstance": "t", "lastUpdated": f"2024-01-0{day}T00:00:00",
+            "programOwners": [{"program": "p"}], "attributes": [{"code": "c", "value": value}]}]}
+
+    root = landing("trackedentityinstances/p.json", instance(1, "old"))
+    landing("trackedentityinstances/q.json", instance(2, "new"))
+    out = str(tmp_path / "flat")
+    for version in (1, 2):
+        assert run_enrichment(spark, "trackedentityinstances", root, out) == version
+        assert rows(sd.read_table(spark, f"{out}/trackedentityinstances"), "attributes_value") == [("new",)]
+
+
+# -- streams --------------------------------------------------------------------
+
+
+def test_a_replaced_file_stops_the_stream(spark, landing, tmp_path, rows):
+    def event(i, value):
+        return {"events": [{"event": i, "lastUpdated": "2024-01-01T00:00:00", "dataValues": [{"dataElement": "d", "value": value}]}]}
+
+    root = landing("events/u1_1.json", event("1", "a"))
+    target, checkpoint = str(tmp_path / "t"), str(tmp_path / "c")
+
+    def run():
+        stream_enrichment(spark, "events", f"{root}/events", target, checkpoint).awaitTermination()
+
+    run()
+    landing("events/u1_2.json", event("1", "b"))
+    landing("events/u2_2.json", event("2", "c"))
+    run()
+    assert rows(sd.read_table(spark, target), "event", "dataValues_value") in (
+        [("1", "a"), ("2", "c")], [("1", "b"), ("2", "c")])
+    landing("events/u1_1.json", event("3", "lost"))
+    later = time.time() + 60
+    os.utime(tmp_path / "raw/events/u1_1.json", (later, later))
+    with pytest.raises(ValueError, match="u1_1.json"):
+        run()
+
+
+# -- small ones -------------------------------------------------------------------
+
+
+def test_translation_names_that_differ_in_case(spark, rows):
+    cell = "array<struct<property: string, locale: string, value: string>>"
+    df = spark.createDataFrame(
+        [("1", [("NAME", None, "x"), ("NAME", "pt_BR", "b"), ("NAME", "pt_br", "a"), ("A`B", "c", "q")]),
+         ("2", [("NAME", "pt_BR", "d"), ("NAME", "pt_BR", "c"), ("NAME", "pt_BR", None)]), ("3", None)],
+        f"name string, translations {cell}")
+    out = sd.spread_translations(df, ["name"], "translations")
+    assert out.columns == ["name", "A`B_c", "NAME_1", "NAME_pt_BR", "NAME_pt_br_1"]
+    assert rows(out) == [("1", "q", "x", "b", "a"), ("2", None, None, "c", None), ("3", None, None, None, None)]
+    long = df.select("name", F.explode_outer("translations").alias("t")).select("name", "t.*")
+    assert rows(sd.pivot_translations(long, ["name"], "property", "locale", "value")) == rows(out)
+
+
+def test_the_translations_are_walked_once_and_sorts_start_with_a_hash(spark):
+    cell = "array<struct<property: string, locale: string, value: string>>"
+    df = spark.createDataFrame([("1", [("N", "a", "x")])], f"id string, translations {cell}")
+    plan = sd.spread_translations(df, ["id"], "translations", ["N_a", "N_b", "N_c"])._jdf.queryExecution()
+    text = plan.executedPlan().toString()
+    assert text.count("map_from_entries") == 1 and "Sort [_groupingexpression" in text
+
+
+def test_the_duplicate_check_reads_keys_only(spark):
+    df = spark.createDataFrame([(1, "a", "b")], "k int, v string, w string")
+    text = sd.require_unique(df, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "first(struct" not in text and "Aggregate [k" in text
+    twice = df.union(df)
+    with pytest.raises(Exception, match="duplicate key"):
+        sd.require_unique(twice, ["k"]).collect()
+    nulls = spark.createDataFrame([(None, "a"), (None, "b")], "k int, v string")
+    assert sd.require_unique(nulls, ["k"], null_safe=False).count() == 2
+
+
+def test_null_ids_are_not_asked_for(spark, rows):
+    df = spark.createDataFrame([([("a",), (None,)],)], "r array<struct<id: string>>")
+    assert rows(sd.id_list(df, "r")) == [("a",)]
+
+
+def test_a_time_alone_is_no_timestamp(spark):
+    df = spark.createDataFrame([("12:30:00",), ("2024-01-02T03:04:05.6Z",), ("T12",), ("2024-01-02",)], "t string")
+    got = [r[0] and str(r[0]) for r in df.select(sd.iso_timestamp("t").cast("string")).collect()]
+    assert got == [None, "2024-01-02 03:04:05", None, "2024-01-02 00:00:00"]
+
+
+def test_unknown_dimensions_and_freed_scratch(spark, tmp_path, monkeypatch):
+    flat, out = str(tmp_path / "flat"), str(tmp_path / "curated")
+    with pytest.raises(KeyError, match="Aera"):
+        run_dimensions(spark, flat, out, ["Aera"])
+    spark.createDataFrame([("t", "d", "Area", "g")], "dimensionType string, id string, name string, items_id string").write.parquet(f"{flat}/dimension")
+    spark.createDataFrame([("g", "n", "m")], "id string, name string, organisationUnits_id string").write.parquet(f"{flat}/organisationUnitGroups")
+    scratch = str(tmp_path / "scratch")
+    monkeypatch.setattr("sedimenta.session.scratch_path", lambda s, label, near=None: f"{scratch}/{label}-{time.time_ns()}")
+    monkeypatch.setattr("sedimenta.plans.curated.scratch_path", lambda s, label, near=None: f"{scratch}/{label}-{time.time_ns()}")
+    assert run_dimensions(spark, flat, out, ["Area"], strategy="split") == [f"{out}/Area"]
+    assert spark.read.parquet(f"{out}/Area").collect() == [("n", "m")]
+    assert storage.child_names(spark, scratch) == []
+    monkeypatch.setattr("sedimenta.plans.curated.write_curated", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_dimensions(spark, flat, out, ["Area"], strategy="split")
+    assert storage.child_names(spark, scratch) == []
+
+
+def test_a_commit_is_not_replaced(spark, tmp_path):
+    path = str(tmp_path / "c.json")
+    storage.publish_text(spark, path, "one")
+    with pytest.raises(FileExistsError):
+        storage.publish_text(spark, path, "two")
+    assert storage.read_text(spark, path) == "one"

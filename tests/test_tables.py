@@ -149,7 +149,7 @@ def test_plain_parquet_and_view(spark, tmp_path, rows):
     path = str(tmp_path / "p")
     sd.write_curated(frame(spark, FIRST), path)
     sd.write_curated(frame(spark, FIRST[:2]), path)
-    assert not sd.table_exists(spark, path)
+    assert sd.table_exists(spark, path) and not sd.table_exists(spark, f"{path}/none")
     sd.table_view(spark, path, "plain")
     assert spark.sql("SELECT max(id) FROM plain").first()[0] == 2
     assert rows(spark.sql(f"SELECT id FROM parquet.`{path}`")) == [(1,), (2,)]
