@@ -167,8 +167,8 @@ def mix_sources(
             for name, d in zip(inner, dims, strict=False)
         }
     )
-    # bounded by MAX_CATEGORIES cubed, so by what the driver has just made
-    joined = keyed.join(cells.toDF(*inner), inner[:3], "left")
+    # MAX_CATEGORIES cubed rows at most, which the driver has just made
+    joined = keyed.join(F.broadcast(cells.toDF(*inner)), inner[:3], "left")
     draw = F.conv(F.substring(F.md5(F.concat(F.coalesce(quoted(id_col).cast("string"), text), F.lit(f":{seed}"))), 1, 8), 16, 10)
     share = F.coalesce(quoted(inner[3]), F.lit(0.0))
     return joined.select(
