@@ -14,10 +14,16 @@ next point is later than all components of its text.
 
 Candidates share a band of components and are verified on their whole texts. Texts with
 one multiset are one representative from the start, so exact copies cost nothing.
-In a band's bucket members are compared with leaders, not with each other: first the
-smallest id, then the largest among those not yet connected to it. What is left over
-(members of one bucket in different components) is compared pair by pair, and nothing
-is dropped.
+In a band's bucket members are compared with a leader, not with each other: the member
+whose buckets are the fullest, which is the original that the others are copies of, as
+it agrees with most of them in most bands. Those that are not linked to it are then
+compared with the leader among themselves.
+Members of one bucket that are still in different components are compared exactly. In
+buckets of up to ``SMALL`` members that is pair by pair. In larger ones candidates must
+share one of their rarest shingles (a text can only be linked to another that has one of
+the rarest fifth of its shingles among its own rarest fifth), at places that still allow
+for enough others; a copy's own changes are its rarest shingles, so hardly any pair of
+copies of one original comes up. Nothing is dropped.
 """
 
 from __future__ import annotations
@@ -49,6 +55,9 @@ BANDS, ROWS = 32, 4
 SHINGLE = 5
 THRESHOLD = 0.8
 
+#: A bucket of more members is not compared pair by pair.
+SMALL = 16
+
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Bits that number the texts of one slice.
 TEXT_BITS = 14
@@ -207,6 +216,64 @@ def _verify(size: int, threshold: float):
     return run
 
 
+_TOKEN = "doc long, token long, n int"
+
+
+def _tokens(size: int):
+    """Every shingle of every text; the second of two equal ones is another token."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8(batch.column(1))
+            for a, b in slices(offsets):
+                part = offsets[a : b + 1] - offsets[a]
+                text, shingle, weight = multisets(data[offsets[a] : offsets[b]], part, size)
+                total = np.bincount(text, weight, b - a).astype(np.int32)
+                turn = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
+                text, shingle = np.repeat(text, weight), np.repeat(shingle, weight)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array(a + text)),
+                        pa.array(mix(shingle + turn.astype(np.uint64)).view(np.int64)),
+                        pa.array(total[text]),
+                    ],
+                    names=["doc", "token", "n"],
+                )
+
+    return run
+
+
+def rare_pairs(texts: DataFrame, roots: DataFrame, size: int, threshold: float) -> DataFrame:
+    """``u``, ``v`` of texts with different roots that may be as similar as asked.
+
+    Exact: prefix and position filters over all tokens, rarest first. Two texts of n and
+    m tokens are as similar as t if they share t / (1 + t) * (n + m) of them, and then
+    their first common token lies among the first n - t * n + 1 of each.
+    """
+    tokens = texts.select("doc", "text").mapInArrow(_tokens(size), _TOKEN)
+    counts = tokens.groupBy("token").agg(F.count("*").alias("often"))
+    order = Window.partitionBy("doc").orderBy("often", "token")
+    ranked = tokens.join(counts.hint("merge"), "token").withColumn("at", F.row_number().over(order))
+    early = ranked.filter("often > 1").filter(
+        F.col("at") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1
+    )
+    placed = early.join(roots, "doc").select("token", "doc", "n", "at", "root")
+    left, right = (
+        placed.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("doc", "n", "at", "root")])
+        for side in "uv"
+    )
+    rest = 1 + F.least(F.col("n_u") - F.col("at_u"), F.col("n_v") - F.col("at_v"))
+    whole = F.col("n_u") + F.col("n_v")
+    possible = (
+        (F.col("doc_u") < F.col("doc_v"))
+        & (F.col("root_u") != F.col("root_v"))
+        & (F.least("n_u", "n_v") >= F.greatest("n_u", "n_v") * threshold - 1e-9)
+        & (rest >= whole * (threshold / (1 + threshold)) - 1e-9)
+    )
+    pairs = left.hint("merge").join(right, (left["token"] == right["token"]) & possible)
+    return pairs.select(F.col("doc_u").alias("u"), F.col("doc_v").alias("v")).distinct()
+
+
 # --- components ---------------------------------------------------------------------
 
 
@@ -255,8 +322,8 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """One row per id: ``doc_id``, ``class_id`` (the smallest id linked to it, itself if
-    none is), ``n_shingles`` and ``n_links`` (verified links of its representative).
+    """One row per id: ``doc_id``, ``class_id`` (the smallest id that links lead to, itself if
+    there is none) and ``n_shingles``.
 
     Texts are compared in lower case by words (letters and digits). A text of fewer words
     than ``size`` is one shingle; a text without words (NULL, empty) is in no class but
@@ -282,60 +349,76 @@ def near_duplicates(
         banded.select("doc", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
         .distinct()
     )
-    shared = buckets.groupBy("bucket").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high")
-    crowded = scratch.keep(buckets.join(shared.select("bucket", "low"), "bucket"))
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    joined = buckets.join(shared, "bucket")
+    fullness = joined.groupBy("doc").agg(F.sum("size").alias("full"))
+    tie = F.pmod(F.xxhash64("doc"), F.lit(1 << 20))
+    crowded = scratch.keep(
+        joined.join(fullness, "doc").select(
+            "bucket", "doc", "n", "size", (F.col("full") * F.lit(1 << 20) + tie).alias("rank")
+        )
+    )
     scratch.free(buckets)
     # whole texts are moved once, and kept for those that share a bucket with another
-    held = scratch.keep(texts.join(crowded.select("doc").distinct().hint("merge"), "doc", "left_semi"))
+    held = scratch.keep(
+        texts.join(crowded.select("doc").distinct().hint("merge"), "doc", "left_semi")
+    )
 
     def linked(pairs: DataFrame) -> DataFrame:
         """The pairs of representatives that are as similar as asked."""
         a = held.select(F.col("doc").alias("u"), F.col("text").alias("text_u"))
         b = held.select(F.col("doc").alias("v"), F.col("text").alias("text_v"))
-        both = pairs.select("u", "v").distinct().hint("merge").join(a, "u").hint("merge").join(b, "v").select("u", "v", "text_u", "text_v")
-        return scratch.keep(both.mapInArrow(_verify(size, threshold), "u long, v long"))
+        both = pairs.select("u", "v").distinct().hint("merge").join(a, "u").hint("merge").join(b, "v")
+        return scratch.keep(
+            both.select("u", "v", "text_u", "text_v").mapInArrow(_verify(size, threshold), "u long, v long")
+        )
+
+    def led(rows: DataFrame) -> DataFrame:
+        """Each member of another component with its bucket's leader, if sizes allow a link."""
+        lead = rows.groupBy("bucket").agg(F.max_by("doc", "rank").alias("u"))
+        heads = rows.join(lead, "bucket").filter("doc = u").select(
+            "bucket", "u", F.col("n").alias("n_u"), F.col("root").alias("root_u")
+        )
+        return possible(rows.select("bucket", F.col("doc").alias("v"), F.col("n").alias("n_v"), F.col("root").alias("root_v")).join(heads.distinct(), "bucket"))
 
     def possible(pairs: DataFrame) -> DataFrame:
-        """Without those whose sizes alone rule the similarity out."""
-        return pairs.filter(F.least("n_u", "n_v") >= threshold * F.greatest("n_u", "n_v"))
+        sizes = F.least("n_u", "n_v") >= F.greatest("n_u", "n_v") * threshold - 1e-9
+        return pairs.filter((F.col("root_u") != F.col("root_v")) & sizes)
 
-    first = crowded.filter("doc <> low").select(F.col("low").alias("u"), F.col("doc").alias("v"))
-    edges = linked(first)
-    for last in (False, True):
+    def still_open(edges: DataFrame) -> DataFrame:
+        """Rows of the buckets that hold several components, with ``first``: is it the leader's?"""
         roots = components(edges, scratch)
-        placed = crowded.join(roots.withColumnRenamed("node", "doc"), "doc", "left").select(
-            "bucket", "doc", "n", F.coalesce("root", "doc").alias("root")
+        placed = crowded.join(roots.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
+            "root", F.coalesce("root", "doc")
         )
-        mixed = (
-            placed.groupBy("bucket")
-            .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("doc").alias("leader"))
-            .filter("low < high")
+        lead = placed.groupBy("bucket").agg(
+            F.max_by("root", "rank").alias("main"), F.min("root").alias("low"), F.max("root").alias("high")
         )
-        open_ = scratch.keep(placed.join(mixed.select("bucket", "leader"), "bucket"))
-        if open_.isEmpty():
-            break
-        if not last:
-            heads = open_.filter("doc = leader").select(
-                "bucket", F.col("doc").alias("u"), F.col("n").alias("n_u"), F.col("root").alias("root_u")
-            )
-            pairs = open_.select("bucket", F.col("doc").alias("v"), F.col("n").alias("n_v"), F.col("root").alias("root_v")).join(heads, "bucket")
-        else:
-            sized = open_.groupBy("bucket", "root").agg(F.count("*").alias("size"))
-            order = Window.partitionBy("bucket").orderBy(F.desc("size"), "root")
-            main = sized.withColumn("at", F.row_number().over(order)).filter("at = 1").select("bucket", F.col("root").alias("main"))
-            rest = open_.join(main, "bucket").filter("root <> main").select(
-                "bucket", F.col("doc").alias("u"), F.col("n").alias("n_u"), F.col("root").alias("root_u")
-            )
-            pairs = open_.select("bucket", F.col("doc").alias("v"), F.col("n").alias("n_v"), F.col("root").alias("root_v")).join(rest, "bucket")
-        found = linked(possible(pairs.filter("root_u <> root_v")))
+        mixed = lead.filter("low < high").select("bucket", "main")
+        return scratch.keep(placed.join(mixed, "bucket").withColumn("first", F.col("root") == F.col("main")))
+
+    def more(edges: DataFrame, pairs: DataFrame) -> DataFrame:
+        found = linked(pairs)
         grown = scratch.keep(edges.union(found))
-        scratch.free(edges, found, open_)
-        edges = grown
-    roots = components(edges, scratch)
-    links = (
-        edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        .select(F.explode(F.array("u", "v")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
+        scratch.free(edges, found)
+        return grown
+
+    edges = linked(led(crowded.withColumn("root", F.col("doc"))))
+    rest = still_open(edges)
+    edges = more(edges, led(rest.filter(~F.col("first"))))
+    scratch.free(rest)
+    rest = still_open(edges)
+    few = rest.filter(F.col("size") <= SMALL)
+    one = few.filter(~F.col("first")).select(
+        "bucket", F.col("doc").alias("u"), F.col("n").alias("n_u"), F.col("root").alias("root_u")
     )
+    two = few.select("bucket", F.col("doc").alias("v"), F.col("n").alias("n_v"), F.col("root").alias("root_v"))
+    direct = possible(two.join(one, "bucket")).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    many = scratch.keep(rest.filter(F.col("size") > SMALL).select("doc", "root").distinct())
+    rare = rare_pairs(held.join(many.hint("merge"), "doc", "left_semi"), many, size, threshold)
+    edges = more(edges, direct.union(rare))
+    scratch.free(rest)
+    roots = components(edges, scratch)
     # an id with several texts ties their classes together
     own = alike.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
         "doc", "rep", F.coalesce("root", "rep").alias("root")
@@ -344,16 +427,14 @@ def near_duplicates(
     tied = components(own.join(several.select("doc", F.col("u").alias("to")), "doc").select(F.col("root").alias("u"), F.col("to").alias("v")), scratch)
     classes = (
         own.join(tied.select(F.col("node").alias("root"), F.col("root").alias("end")), "root", "left")
-        .join(links, "rep", "left")
         .groupBy("doc")
-        .agg(F.min(F.coalesce("end", "root")).alias("class_id"), F.max("n_links").alias("n_links"))
+        .agg(F.min(F.coalesce("end", "root")).alias("class_id"))
     )
     every = signed.groupBy("doc").agg(F.max("n_shingles").alias("n_shingles"))
     return every.join(classes, "doc", "left").select(
         F.col("doc").alias("doc_id"),
         F.coalesce("class_id", "doc").alias("class_id"),
         "n_shingles",
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
 
 

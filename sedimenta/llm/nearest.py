@@ -260,8 +260,8 @@ def nearest(
     def all_of(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
-    left = probes.join(pieces, "list").select("id", "vector", "list", dealt("query_pieces").alias("q"), all_of("row_pieces").alias("p"))
-    right = posted.join(pieces, "list").select("id", "vector", "list", all_of("query_pieces").alias("q"), dealt("row_pieces").alias("p"))
+    left = probes.join(F.broadcast(pieces), "list").select("id", "vector", "list", dealt("query_pieces").alias("q"), all_of("row_pieces").alias("p"))
+    right = posted.join(F.broadcast(pieces), "list").select("id", "vector", "list", all_of("query_pieces").alias("q"), dealt("row_pieces").alias("p"))
     key = ["list", "q", "p"]
     found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(
         _search(k), "query_id long, vec_id long, score double"
