@@ -53,6 +53,15 @@ class Scratch:
             _, path = self.paths.pop(id(table), (None, None))
             if path:
                 storage.remove_tree(self.spark, path)
+        self.settle()
+
+    def settle(self) -> None:
+        """Let go of the shuffle files of finished jobs.
+
+        Spark deletes them once the driver has collected the plans that made them, and
+        the driver may not collect for long; a written table does not need them.
+        """
+        self.spark._jvm.System.gc()
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

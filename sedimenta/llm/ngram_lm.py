@@ -185,6 +185,7 @@ def score_texts(
     )
     asked = dealt.groupBy("chunk").applyInArrow(_ask(order, bucket_bits), _ASKED)
     answers = scratch.keep(asked.groupBy("n", "bucket").applyInArrow(_answer, _ANSWERED))
+    scratch.settle()
     scored = scratch.keep(
         dealt.groupBy("chunk")
         .cogroup(answers.groupBy("chunk"))
