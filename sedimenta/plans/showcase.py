@@ -18,7 +18,7 @@ from sedimenta.operators.dimensions import left_lookup, members_of_lists
 from sedimenta.plans import curated, enrichment, ingestion
 from sedimenta.schemas import RECORD_DDL
 from sedimenta.session import scratch_path, use_engine_settings
-from sedimenta.streaming.upserts import stream_upsert
+from sedimenta.streaming.upserts import stream_enrichment, stream_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -468,20 +468,37 @@ def _(spark, sf):
 
 @query("q28_stream_upsert")
 def _(spark, sf):
+    """All events, then a second run of the stream with new values for a fifth of them."""
     events = table(spark, sf, "events")
-    stream = spark.readStream.schema(events.schema).parquet(f"{sf}/events*.parquet")
-    target = scratch_path(spark, "events")
-    stream_upsert(
-        stream, target, ["event_id"], scratch_path(spark, "stream"),
-        buckets=8, bucket_by=["event_id"],
-    ).awaitTermination()
+    landing, target = scratch_path(spark, "landing"), scratch_path(spark, "events")
+    checkpoint = scratch_path(spark, "stream")
+    changed = events.filter("event_id % 5 = 0").withColumn("value", F.lit(-1.0))
+    for batch in (events, changed):
+        batch.write.mode("append").parquet(landing)
+        stream_upsert(
+            spark.readStream.schema(events.schema).parquet(landing), target, ["event_id"],
+            checkpoint, buckets=8, bucket_by=["event_id"],
+        ).awaitTermination()
     return sd.read_table(spark, target)
 
 
+@query("q28_stream_enrichment")
+def _(spark, sf):
+    """Two polls of landed JSON and an empty document, followed by the events job."""
+    root, target = scratch_path(spark, "raw"), scratch_path(spark, "events")
+    checkpoint = scratch_path(spark, "stream")
+    for poll in (1, 2):
+        land_poll(spark, sf, root, "events", poll)
+        stream_enrichment(
+            spark, "events", f"{root}/events", target, checkpoint, buckets=8
+        ).awaitTermination()
+    return ntz(sd.read_table(spark, target), *enrichment.JOBS["events"].timestamps)
+
+
 @query("q34_overwrite_snapshot")
 def _(spark, sf):
     path = scratch_path(spark, "orders")
-    sd.overwrite_snapshot(old_orders(spark, sf), path)
+    sd.overwrite_snapshot(table(spark, sf, "orders").select(*ORDER_COLUMNS), path)
     sd.overwrite_snapshot(
         sd.read_table(spark, path).withColumn("o_year", F.year("o_orderdate")), path
     )
@@ -498,6 +515,28 @@ def _(spark, sf):
     return sd.read_table(spark, path)
 
 
+@query("q35_load_incremental_typed")
+def _(spark, sf):
+    """Batches whose keys are narrower than the table's meet the same slices."""
+    path = scratch_path(spark, "orders")
+    layout = {"buckets": 8, "bucket_by": ["o_orderkey"]}
+    sd.load_incremental(old_orders(spark, sf), path, ["o_orderkey"], **layout)
+    narrow = new_orders(spark, sf).withColumns(
+        {c: F.col(c).cast("int") for c in ("o_orderkey", "o_custkey")}
+    )
+    sd.load_incremental(narrow, path, ["o_orderkey"])
+    return sd.read_table(spark, path)
+
+
+@query("q35_load_over_parquet")
+def _(spark, sf):
+    """A folder of plain Parquet becomes the table's first version."""
+    path = scratch_path(spark, "orders")
+    old_orders(spark, sf).write.parquet(path)
+    sd.load_incremental(new_orders(spark, sf), path, ["o_orderkey"], buckets=8)
+    return sd.read_table(spark, path)
+
+
 @query("q36_land_and_read")
 def _(spark, sf):
     path = scratch_path(spark, "landing")
@@ -851,6 +890,79 @@ def land_documents(root: str, documents: DataFrame, source: str) -> None:
     documents.write.json(f"{root}/{source}")
 
 
+# What the second poll changes of every record whose number is divisible by seven:
+# the field with the number, and the field that gets another value.
+SECOND_POLL = {
+    "dataElement-values": ("dataElement", "value"),
+    "events": ("event", "orgUnit"),
+    "trackedentityinstances": ("trackedEntityInstance", "orgUnit"),
+}
+
+
+def land_poll(spark, sf, root: str, name: str, poll: int) -> None:
+    """Land all documents of a job, or at the second poll those changed and an empty one."""
+    job = enrichment.JOBS[name]
+    documents = RAW[name](spark, sf)
+    if poll == 2:
+        number, changed = SECOND_POLL[name]
+        late = F.lit("2030-01-01T00:00:00.000+0000")
+        documents = documents.filter(
+            F.exists(job.root, lambda r: r[number].cast("long") % 7 == 0)
+        ).select(
+            F.transform(
+                job.root,
+                lambda r: r.withField(changed, F.lit("changed")).withField("lastUpdated", late),
+            ).alias(job.root)
+        )
+        empty = spark.range(1).select(F.array().cast("array<string>").alias(job.root))
+        land_documents(root, empty, f"{job.source}/empty")
+    land_documents(root, documents, f"{job.source}/poll{poll}" if job.keys else job.source)
+
+
+def _register_landed(name: str) -> None:
+    job = enrichment.JOBS[name]
+
+    @query("j_landed_" + name.replace("-", "_"))
+    def _(spark, sf):
+        root = scratch_path(spark, "raw")
+        for poll in (1, 2) if job.keys else (1,):
+            land_poll(spark, sf, root, name, poll)
+            options = {"buckets": 8} if job.keys else {}
+            enrichment.run_enrichment(spark, name, root, f"{root}/flat", **options)
+        return ntz(sd.read_table(spark, f"{root}/flat/{name}"), *job.timestamps)
+
+
+for _name in enrichment.JOBS:
+    _register_landed(_name)
+
+
+@query("j_landed_with_bad_document")
+def _(spark, sf):
+    """Documents cut short are set aside and counted; the others make the table."""
+    root, job = scratch_path(spark, "raw"), enrichment.JOBS["categories"]
+    land_documents(root, raw_categories(spark, sf), job.source)
+    cut = table(spark, sf, "nation").select(
+        F.format_string('{"categories":[{"id":"%s"', F.col("n_name"))
+    )
+    cut.write.mode("append").text(f"{root}/{job.source}")
+    enrichment.run_enrichment(spark, job.name, root, f"{root}/flat", unreadable="skip")
+    aside = sd.unreadable_documents(spark, f"{root}/{job.source}", job.schema())
+    counted = aside.agg(F.count("*").alias("set_aside"))
+    return sd.read_table(spark, f"{root}/flat/categories").join(counted)
+
+
+@query("j_landing_drift")
+def _(spark, sf):
+    """Fields that landed undeclared, and declared ones that did not land."""
+    root = scratch_path(spark, "raw")
+    record = F.struct(F.col("c_mktsegment").alias("id"), F.col("c_nationkey").alias("code"))
+    documents = table(spark, sf, "customer").select(F.array(record).alias("categories"))
+    land_documents(root, documents, enrichment.JOBS["categories"].source)
+    drift = ingestion.check_landing(spark, "categories", root)
+    rows = [(kind, field) for kind, fields in drift.items() for field in fields]
+    return spark.createDataFrame(rows, "kind string, field string")
+
+
 @query("j_landed_org_units")
 def _(spark, sf):
     root = scratch_path(spark, "raw")
@@ -903,6 +1015,26 @@ def planned_requests(spark, sf, folder: str) -> DataFrame:
     return ingestion.plan_extract(spark, folder, f"{root}/flat", keys, mark)
 
 
+@query("i_datavalues")
+def _(spark, sf):
+    """Assigned pairs of unit groups and data sets, of those that have landed."""
+    root = scratch_path(spark, "raw")
+    groups = ingestion.EXTRACTS["organisationUnitGroups"]
+    land_documents(
+        root, raw_organisation_unit_groups(spark, sf), f"{groups.folder}/{groups.file_name}"
+    )
+    sets = documents_of(
+        table(spark, sf, "nation").filter("n_regionkey <> 0"), "dataSets", {"id": F.col("n_nationkey")}
+    )
+    land_documents(root, sets, ingestion.DATA_SETS)
+    pairs = table(spark, sf, "embeddings").select(
+        text("vec_id").alias("organisationUnitGroup"), text("label").alias("dataSet")
+    )
+    keys = ingestion.extract_keys(spark, "dataElement-values", root, pairs)
+    mark = sd.high_watermark(table(spark, sf, "events"), "ts")
+    return ingestion.plan_extract(spark, "dataElement-values", f"{root}/flat", keys, mark)
+
+
 @query("i_events")
 def _(spark, sf):
     return planned_requests(spark, sf, "events")

@@ -185,9 +185,11 @@ ORACLE: dict[str, str] = {
             SELECT o_custkey, max(o_orderdate) AS newest FROM orders GROUP BY o_custkey)
             ON c_custkey = o_custkey""",
     "q26_id_list": "SELECT DISTINCT unnest(string_split(text, ' ')) AS id FROM documents",
-    "q28_stream_upsert": "SELECT * FROM events",
+    "q28_stream_upsert": """
+        SELECT * REPLACE (CASE WHEN event_id % 5 = 0 THEN -1 ELSE value END AS value)
+        FROM events""",
     "q34_overwrite_snapshot": f"""
-        SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM ({_ORDERS} WHERE {_OLD})""",
+        SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM ({_ORDERS})""",
     "q35_load_incremental": f"""
         SELECT * FROM ({_ORDERS} WHERE o_orderdate < TIMESTAMP '1996-01-01') UNION ALL
         SELECT * REPLACE ('X' AS o_orderstatus) FROM ({_ORDERS} WHERE {_NEW})""",
@@ -390,3 +392,44 @@ ORACLE["i_trackedentityinstances"] = f"""
            || '&ouMode=ALL&includeDeleted=true&fields=*&skipPaging=true' || {_SINCE}
            AS parameters
     FROM customer"""
+
+# Whole chains over landed documents.
+for _name in (
+    "categories", "categoryOptions", "categoryOptionGroups", "dataElementGroups",
+    "organisationUnitGroups", "dimension", "users", "dataelement", "orgunit",
+):
+    ORACLE[f"j_landed_{_name}"] = ORACLE[f"e_{_name}"]
+
+
+def _second_poll(sql: str, number: str, changed: str) -> str:
+    """The rows after a second poll that changes every seventh record."""
+    hit = f'CAST("{number}" AS BIGINT) % 7 = 0'
+    return f"""
+        SELECT * REPLACE (
+            CASE WHEN {hit} THEN 'changed' ELSE "{changed}" END AS "{changed}",
+            CASE WHEN {hit} THEN TIMESTAMP '2030-01-01 00:00:00' ELSE "lastUpdated" END
+                AS "lastUpdated")
+        FROM ({sql})"""
+
+
+ORACLE["j_landed_events"] = _second_poll(ORACLE["e_events"], "event", "orgUnit")
+ORACLE["q28_stream_enrichment"] = ORACLE["j_landed_events"]
+ORACLE["j_landed_trackedentityinstances"] = _second_poll(
+    ORACLE["e_trackedentityinstances"], "trackedEntityInstance", "orgUnit"
+)
+ORACLE["j_landed_dataElement_values"] = ORACLE["e_dataElement_values"].replace(
+    _VALUES, _second_poll(_VALUES, "dataElement_id", "value")
+)
+ORACLE["j_landed_with_bad_document"] = f"""
+    SELECT *, (SELECT count(*) FROM nation) AS set_aside FROM ({ORACLE['e_categories']})"""
+ORACLE["j_landing_drift"] = """
+    SELECT kind, 'categories.' || field AS field
+    FROM (VALUES ('unknown', 'code'), ('missing', 'dataDimensionType')) t(kind, field)"""
+ORACLE["q35_load_incremental_typed"] = ORACLE["q35_load_over_parquet"] = ORACLE["q21_upsert"]
+ORACLE["i_datavalues"] = f"""
+    SELECT CAST(vec_id AS VARCHAR) AS "organisationUnitGroup", CAST(label AS VARCHAR) AS "dataSet",
+           vec_id || '_' || label || '.json' AS file_name,
+           'orgUnitGroup=' || vec_id || '&dataSet=' || label || '&{_FIXED_ALL}'
+           || '&lastUpdated=' || (SELECT strftime(max(ts), '%Y-%m-%dT%H:%M:%S') FROM events)
+           AS parameters
+    FROM embeddings JOIN nation ON label = n_nationkey WHERE n_regionkey <> 0"""
