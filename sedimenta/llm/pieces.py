@@ -9,7 +9,7 @@ import public_tokenizers
 import regex
 
 #: Pieces a worker remembers; beyond that it starts anew, so memory is bounded.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 #: Longer pieces are not remembered.
 LONGEST = 64
 
