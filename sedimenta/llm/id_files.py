@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sedimenta.llm.common import SLICE_BYTES, quoted, slices, small_batches, text_of, utf8
+from sedimenta.llm.common import SLICE_BYTES, Scratch, quoted, slices, small_batches, text_of, utf8
 from sedimenta.llm.pieces import _ODD, Remembered
 
 #: Ids of a block, and of a frame (more only if one document has more).
@@ -292,7 +292,7 @@ def read_frame(data: bytes, n_ids: int) -> np.ndarray:
 
 
 _FRAME = "part int, frame int, doc_ids array<long>, sizes array<int>, n_ids long, data binary"
-_READ = "doc_id long, offset long, n_ids long, ids binary, part int, frame int"
+_READ = "doc_id long, start long, n_ids long, ids binary"
 
 
 def _encode_texts(path: str, shipped: bool):
@@ -409,13 +409,11 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(row["doc_ids"][a : a + k], pa.int64()),
-                        pa.array((ends - sizes)[a : a + k]),
+                        pa.array((row["first"] + ends - sizes)[a : a + k]),
                         pa.array(sizes[a : a + k]),
                         packed.slice(a, k),
-                        pa.array([row["part"]] * k, pa.int32()),
-                        pa.array([row["frame"]] * k, pa.int32()),
                     ],
-                    names=["doc_id", "offset", "n_ids", "ids", "part", "frame"],
+                    names=["doc_id", "start", "n_ids", "ids"],
                 )
 
 
@@ -432,10 +430,9 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     starts = sizes.withColumn("inner", F.coalesce(F.sum("n_ids").over(inner), F.lit(0))).join(
         parts.select("part", "before"), "part"
     ).select("part", "frame", (F.col("before") + F.col("inner")).alias("first"))
-    found = frames.mapInArrow(_documents, _READ)
-    return found.join(starts, ["part", "frame"]).select(
-        "doc_id", (F.col("first") + F.col("offset")).alias("start"), "n_ids", "ids"
-    )
+    # a row per frame, so a few for each GB; kept, so that Catalyst knows how small it is
+    kept = Scratch(spark, "starts").keep(starts)
+    return frames.join(kept, ["part", "frame"]).mapInArrow(_documents, _READ)
 
 
 def ids_crc32(ids: Column) -> Column:
