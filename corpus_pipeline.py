@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.llm import bpe, language_id, line_dedup, mixing, near_dup
-from sedimenta.llm.common import Scratch, fresh, quoted, small_batches, text_of
+from sedimenta.llm.common import Scratch, fresh, quoted, ready, text_of
 from sedimenta.llm.queries import RANKS
 
 #: SQL cannot express the first, third and last stage; tests compare with brute force.
@@ -54,7 +54,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, and the digest of what they decode to."""
-    small_batches(spark)
+    ready(spark)
     packed = docs.select("doc_id", "source", "lang", bpe.encode_text(F.col("text"), RANKS).alias("ids"))
     both = packed.withColumn("decoded", bpe.decode_ids(F.col("ids"), RANKS))
     return both.select(

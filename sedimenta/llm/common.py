@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import sedimenta
 from sedimenta.session import scratch_path
 from sedimenta.sources import storage
 
@@ -21,8 +25,21 @@ SLICE_BYTES = 1 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of texts small in this session, unless they are smaller already."""
+_SHIPPED: set[str] = set()
+
+
+def ready(spark: SparkSession) -> None:
+    """Before functions of this package run in tasks: send it to the executors, once for
+    each application, and keep Arrow batches small, unless they are smaller already."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(sedimenta.__file__).parent
+        archive = Path(tempfile.mkdtemp(prefix="sedimenta-")) / "sedimenta.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)
     if int(spark.conf.get(_BATCH_SETTING, "10000")) > BATCH_ROWS:
         spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sedimenta.llm.common import SLICE_BYTES, Scratch, quoted, slices, small_batches, text_of, utf8
+from sedimenta.llm.common import SLICE_BYTES, Scratch, quoted, ready, slices, text_of, utf8
 from sedimenta.llm.pieces import _ODD, Remembered
 
 #: Ids of a block, and of a frame (more only if one document has more).
@@ -387,7 +387,7 @@ def write_ids(
     machine or sent by ``SparkContext.addFile`` if ``shipped``; special tokens in a text are
     ordinary text. An empty table gives files without frames.
     """
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     rows = docs.select(quoted(id_col).cast("long").alias("id"), text_of(docs, text_col).alias("text"))
     tie = F.xxhash64("text")
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id", tie)
@@ -420,6 +420,7 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id``, ``start`` (ids of all documents before it), ``n_ids``, ``ids`` (packed,
     little-endian, 32 bits) of every document written below ``path``."""
+    ready(spark)
     frames = spark.read.schema(_FRAME).parquet(path)
     sizes = frames.select("part", "frame", "n_ids")
     # a row per part, so no more than tasks that wrote

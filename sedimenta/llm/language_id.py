@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import Scratch, fresh, quoted, small_batches, slices, text_of, utf8
+from sedimenta.llm.common import Scratch, fresh, quoted, ready, slices, text_of, utf8
 
 #: Trigrams are hashed to so many buckets; the model has one number for each and language.
 BUCKETS = 1 << 14
@@ -79,7 +79,7 @@ def fit_trigrams(
 
     The result has at most ``MAX_LANGUAGES`` x ``BUCKETS`` numbers whatever the input.
     """
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     labelled = docs.filter(quoted(declared_col).isin(languages)).select(
         quoted(declared_col).alias("language"), F.lower(text_of(docs, text_col)).alias("text")
     )
@@ -186,7 +186,7 @@ def identify_language(
         if name in docs.columns:
             raise ValueError(f"there is a column {name} already")
     spark = docs.sparkSession
-    small_batches(spark)
+    ready(spark)
     if languages is None:
         named = docs.select(quoted(declared_col)).filter(quoted(declared_col).isNotNull()).distinct()
         found = [r[0] for r in named.limit(MAX_LANGUAGES + 1).collect()]

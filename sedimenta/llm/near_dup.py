@@ -44,7 +44,7 @@ from sedimenta.llm.common import (
     quoted,
     shingles,
     slices,
-    small_batches,
+    ready,
     text_of,
     utf8,
     word_hashes,
@@ -331,7 +331,7 @@ def near_duplicates(
     their texts differ, it has the links of them all. Other columns are not read.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    ready(spark)
     scratch = Scratch(spark, "near")
     texts = docs.select(
         quoted(id_col).cast("long").alias("doc"), F.lower(text_of(docs, text_col)).alias("text")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sedimenta.llm.common import Scratch, quoted
+from sedimenta.llm.common import Scratch, quoted, ready
 from sedimenta.llm.vectors import best_of_rows, matrix, one_row_per_id, same_width
 
 #: Rows (those with the smallest id hashes) that the centroids are fitted to, at most.
@@ -228,6 +228,7 @@ def nearest(
     chosen for on the sample of at most ``SAMPLE`` rows.
     """
     spark = df.sparkSession
+    ready(spark)
     scratch = Scratch(spark, "nearest")
     vector = F.transform(quoted(vector_col), lambda x: x.cast("double"))
     rows = scratch.keep(

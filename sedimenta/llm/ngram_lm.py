@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import Scratch, mix, quoted, small_batches, text_of, utf8, word_hashes
+from sedimenta.llm.common import Scratch, mix, quoted, ready, text_of, utf8, word_hashes
 
 ORDER = 3
 #: What each step to a shorter context costs.
@@ -171,7 +171,7 @@ def score_texts(
     of one bucket share a count if 40 bits of their hashes agree: a few in a million.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    ready(spark)
     scratch = Scratch(spark, "lm")
     text = F.lower(text_of(docs, text_col))
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0

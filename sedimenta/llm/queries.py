@@ -18,7 +18,7 @@ from sedimenta.llm import (
     sharding,
     top_k,
 )
-from sedimenta.llm.common import Scratch, small_batches, text_of
+from sedimenta.llm.common import Scratch, ready, text_of
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -86,7 +86,7 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark)
+    ready(spark)
     docs = _table(spark, sf_dir, "documents")
     ids = docs.select("doc_id", bpe.encode_text(F.col("text"), RANKS).alias("ids"))
     both = ids.select("doc_id", "ids", bpe.decode_ids(F.col("ids"), RANKS).alias("decoded"))

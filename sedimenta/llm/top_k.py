@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sedimenta.llm.common import Scratch, quoted
+from sedimenta.llm.common import Scratch, quoted, ready
 from sedimenta.llm.vectors import best_of_rows, one_row_per_id, same_width, usable
 
 #: Rows of a block and queries of a group at most, on average.
@@ -98,6 +98,7 @@ def top_k(
     with zeros, so an empty one scores 0. Other columns are not read.
     """
     spark = df.sparkSession
+    ready(spark)
     vector = F.when(usable(quoted(vector_col)), whole_components(quoted(vector_col), scale))
     scratch = Scratch(spark, "topk")
     rows = scratch.keep(one_row_per_id(df, id_col, vector))
