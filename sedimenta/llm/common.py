@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import zipfile
 from collections.abc import Iterator, Sequence
 from pathlib import Path
@@ -70,15 +72,19 @@ class Scratch:
             _, path = self.paths.pop(id(table), (None, None))
             if path:
                 storage.remove_tree(self.spark, path)
-        self.settle()
+        self.spark._jvm.System.gc()
 
     def settle(self) -> None:
-        """Let go of the shuffle files of finished jobs.
+        """Let go of the shuffle files of finished jobs, before a job that needs the room.
 
         Spark deletes them once the driver has collected the plans that made them, and
-        the driver may not collect for long; a written table does not need them.
+        the driver may not collect for long; a written table does not need them. Plans
+        are held by Python's objects first, and the deletion runs beside the program.
         """
-        self.spark._jvm.System.gc()
+        for _ in range(2):
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(1)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

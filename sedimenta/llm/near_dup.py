@@ -42,9 +42,9 @@ from sedimenta.llm.common import (
     fresh,
     mix,
     quoted,
+    ready,
     shingles,
     slices,
-    ready,
     text_of,
     utf8,
     word_hashes,
