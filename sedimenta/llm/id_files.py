@@ -424,8 +424,9 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     frames = spark.read.schema(_FRAME).parquet(path)
     sizes = frames.select("part", "frame", "n_ids")
     # a row per part, so no more than tasks that wrote
+    outer = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("n")).withColumn(
-        "before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        "before", F.coalesce(F.sum("n").over(outer), F.lit(0))
     )
     inner = Window.partitionBy("part").orderBy("frame").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("inner", F.coalesce(F.sum("n_ids").over(inner), F.lit(0))).join(

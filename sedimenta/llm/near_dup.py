@@ -38,7 +38,6 @@ from pyspark.sql.window import Window
 
 from sedimenta.llm.common import (
     Scratch,
-    binary_array,
     fresh,
     mix,
     quoted,
@@ -373,13 +372,15 @@ def near_duplicates(
             both.select("u", "v", "text_u", "text_v").mapInArrow(_verify(size, threshold), "u long, v long")
         )
 
+    def sided(rows: DataFrame, side: str) -> DataFrame:
+        names = {"doc": side, "n": f"n_{side}", "root": f"root_{side}"}
+        return rows.select("bucket", *[F.col(c).alias(x) for c, x in names.items()])
+
     def led(rows: DataFrame) -> DataFrame:
         """Each member of another component with its bucket's leader, if sizes allow a link."""
         lead = rows.groupBy("bucket").agg(F.max_by("doc", "rank").alias("u"))
-        heads = rows.join(lead, "bucket").filter("doc = u").select(
-            "bucket", "u", F.col("n").alias("n_u"), F.col("root").alias("root_u")
-        )
-        return possible(rows.select("bucket", F.col("doc").alias("v"), F.col("n").alias("n_v"), F.col("root").alias("root_v")).join(heads.distinct(), "bucket"))
+        heads = sided(rows.join(lead, "bucket").filter("doc = u").drop("u"), "u")
+        return possible(sided(rows, "v").join(heads.distinct(), "bucket"))
 
     def possible(pairs: DataFrame) -> DataFrame:
         sizes = F.least("n_u", "n_v") >= F.greatest("n_u", "n_v") * threshold - 1e-9
@@ -409,11 +410,10 @@ def near_duplicates(
     scratch.free(rest)
     rest = still_open(edges)
     few = rest.filter(F.col("size") <= SMALL)
-    one = few.filter(~F.col("first")).select(
-        "bucket", F.col("doc").alias("u"), F.col("n").alias("n_u"), F.col("root").alias("root_u")
+    apart = sided(few.filter(~F.col("first")), "u")
+    direct = possible(sided(few, "v").join(apart, "bucket")).select(
+        F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")
     )
-    two = few.select("bucket", F.col("doc").alias("v"), F.col("n").alias("n_v"), F.col("root").alias("root_v"))
-    direct = possible(two.join(one, "bucket")).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     many = scratch.keep(rest.filter(F.col("size") > SMALL).select("doc", "root").distinct())
     rare = rare_pairs(held.join(many.hint("merge"), "doc", "left_semi"), many, size, threshold)
     edges = more(edges, direct.union(rare))
@@ -424,7 +424,8 @@ def near_duplicates(
         "doc", "rep", F.coalesce("root", "rep").alias("root")
     )
     several = own.groupBy("doc").agg(F.min("root").alias("u"), F.max("root").alias("v")).filter("u < v")
-    tied = components(own.join(several.select("doc", F.col("u").alias("to")), "doc").select(F.col("root").alias("u"), F.col("to").alias("v")), scratch)
+    ties = own.join(several.select("doc", F.col("u").alias("to")), "doc")
+    tied = components(ties.select(F.col("root").alias("u"), F.col("to").alias("v")), scratch)
     classes = (
         own.join(tied.select(F.col("node").alias("root"), F.col("root").alias("end")), "root", "left")
         .groupBy("doc")
@@ -438,7 +439,9 @@ def near_duplicates(
     )
 
 
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+def keep_one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings
+) -> DataFrame:
     """``docs`` without the rows whose class has a smaller id; rows without id stay.
 
     Of several rows with the id that stays, the one with the smallest text hash does.

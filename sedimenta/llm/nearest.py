@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sedimenta.llm.common import Scratch, quoted, ready
-from sedimenta.llm.vectors import best_of_rows, matrix, one_row_per_id, same_width
+from sedimenta.llm.vectors import matrix, one_row_per_id, same_width
 
 #: Rows (those with the smallest id hashes) that the centroids are fitted to, at most.
 SAMPLE = 8192
@@ -261,8 +261,12 @@ def nearest(
     def all_of(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
-    left = probes.join(F.broadcast(pieces), "list").select("id", "vector", "list", dealt("query_pieces").alias("q"), all_of("row_pieces").alias("p"))
-    right = posted.join(F.broadcast(pieces), "list").select("id", "vector", "list", all_of("query_pieces").alias("q"), dealt("row_pieces").alias("p"))
+    left = probes.join(F.broadcast(pieces), "list").select(
+        "id", "vector", "list", dealt("query_pieces").alias("q"), all_of("row_pieces").alias("p")
+    )
+    right = posted.join(F.broadcast(pieces), "list").select(
+        "id", "vector", "list", all_of("query_pieces").alias("q"), dealt("row_pieces").alias("p")
+    )
     key = ["list", "q", "p"]
     found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(
         _search(k), "query_id long, vec_id long, score double"

@@ -257,7 +257,8 @@ def reshard(
     hit = F.element_at(
         F.filter(block["to"], lambda t: (row >= t["start"]) & (row < t["start"] + t["n"])), 1
     )
-    placed = numbered.withColumn(at, F.struct(hit["shard"].alias("shard"), (hit["slot"] + row - hit["start"]).alias("slot")))
+    slot = (hit["slot"] + row - hit["start"]).alias("slot")
+    placed = numbered.withColumn(at, F.struct(hit["shard"].alias("shard"), slot))
     return (
         placed.select(
             *[quoted(c) for c in docs.columns],
