@@ -417,7 +417,7 @@ def near_duplicates(
     many = scratch.keep(rest.filter(F.col("size") > SMALL).select("doc", "root").distinct())
     rare = rare_pairs(held.join(many.hint("merge"), "doc", "left_semi"), many, size, threshold)
     edges = more(edges, direct.union(rare))
-    scratch.free(rest)
+    scratch.free(rest, many, crowded, held)
     roots = components(edges, scratch)
     # an id with several texts ties their classes together
     own = alike.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
