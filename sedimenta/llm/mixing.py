@@ -3,7 +3,8 @@
 Token weights are summed by (source, language, topic). Raking scales these cells in
 turn to the target shares of each marginal until all three hold; a document is kept
 with the probability that its cell was scaled by, so that the expected tokens of the
-sample have the target shares.
+sample have the target shares. Cells that would need a probability above 1 are kept whole
+and the others are raked to what is left, so no rare cell decides how much is kept.
 """
 
 from __future__ import annotations
@@ -18,6 +19,10 @@ from sedimenta.llm.common import Scratch, fresh, quoted, text_of
 
 #: Categories of one dimension that are told apart; the others, the smallest, are one.
 MAX_CATEGORIES = 64
+#: Rounds of raking at most.
+ROUNDS = 200
+#: Share of all tokens in cells that may miss the targets, as they are kept whole.
+SPARED = 0.01
 #: Category of NULLs, and of those beyond ``MAX_CATEGORIES`` or without a target.
 REST = "(rest)"
 
@@ -48,7 +53,7 @@ def tempered(totals: Mapping[str, float], power: float) -> dict[str, float]:
 
 
 def rake(
-    cells: np.ndarray, targets: list[np.ndarray], rounds: int = 200, tolerance: float = 1e-9
+    cells: np.ndarray, targets: list[np.ndarray], rounds: int = ROUNDS, tolerance: float = 1e-9
 ) -> np.ndarray:
     """``cells`` scaled to the ``targets``, one array of shares per axis.
 
@@ -58,37 +63,113 @@ def rake(
     """
     if not cells.sum():
         return cells.astype(float)
-    out = cells / cells.sum()
-    axes = range(cells.ndim)
-    others = [tuple(a for a in axes if a != axis) for axis in axes]
-    goals = []
-    for axis, goal in zip(axes, targets, strict=True):
-        goal = np.where(out.sum(axis=others[axis]) > 0, goal, 0.0)
-        if not goal.sum():
-            raise ValueError(f"no category of dimension {axis} has both weight and target")
-        goals.append(goal / goal.sum())
-    for _ in range(rounds):
-        for axis in axes:
-            now = out.sum(axis=others[axis])
-            ratio = np.divide(goals[axis], now, out=np.zeros_like(now), where=now > 0)
-            out = out * np.expand_dims(ratio, others[axis])
-        if all(np.abs(out.sum(axis=others[a]) - goals[a]).max() <= tolerance for a in axes):
-            break
+    at = np.nonzero(cells)
+    held = Cells(list(at), cells[at] / cells.sum())
+    goals = [held.goal(a, np.asarray(t, float), 1.0, bound=False) for a, t in enumerate(targets)]
+    held.solve(goals, range(cells.ndim), False, rounds, tolerance)
+    out = np.zeros(cells.shape)
+    out[at] = held.weight * held.factor
     return out
 
 
+class Cells:
+    """The cells as arrays: a code for each dimension, the ``weight`` (all add up to 1) and
+    the ``factor`` that raking gives them."""
+
+    def __init__(self, codes: list[np.ndarray], weight: np.ndarray):
+        self.codes, self.weight, self.factor = codes, weight, np.ones(len(weight))
+
+    def sums(self, axis: int, values: np.ndarray, size: int = 0) -> np.ndarray:
+        return np.bincount(self.codes[axis], values, size)
+
+    def goal(self, axis: int, shares: np.ndarray, whole: float, bound: bool) -> np.ndarray:
+        """``whole`` dealt to the categories in proportion to ``shares``, to none more than
+        it has if ``bound``; what that leaves goes to the others."""
+        has = self.sums(axis, self.weight, len(shares))
+        shares = np.where(has > 0, shares, 0.0)
+        if not shares.sum():
+            raise ValueError(f"no category of dimension {axis} has both weight and target")
+        full = np.zeros(len(shares), bool)
+        scale = whole / shares.sum()
+        while bound:
+            more = (shares * scale >= has) & (shares > 0)
+            if (more == full).all() or not shares[~more].sum():
+                full = more
+                break
+            full = more
+            scale = max(whole - has[full].sum(), 0.0) / shares[~full].sum()
+        return np.where(full, has, shares * scale)
+
+    def step(self, axis: int, goal: np.ndarray, bound: bool) -> float:
+        """Scale one dimension to its goal; how far it was off. If ``bound``, a cell counts
+        with a factor of 1 at most, and the scale of each category allows for that."""
+        code, size = self.codes[axis], len(goal)
+        plain = self.sums(axis, self.weight * self.factor, size)
+        scale = np.divide(goal, plain, out=np.zeros(size), where=plain > 0)
+        off = np.abs(self.sums(axis, self.weight * (np.minimum(self.factor, 1.0) if bound else self.factor), size) - goal)
+        # what a category keeps is concave in its scale, so Newton's steps rise to the goal
+        for _ in range(ROUNDS if bound else 0):
+            free = self.factor * scale[code] < 1
+            rest = self.sums(axis, self.weight * self.factor * free, size)
+            fixed = self.sums(axis, self.weight * ~free, size)
+            new = np.divide(goal - fixed, rest, out=scale.copy(), where=rest > 0)
+            if (new <= scale * (1 + 1e-14)).all():
+                break
+            scale = np.maximum(new, scale)
+        self.factor = np.minimum(self.factor * scale[code], 1e300)
+        return float(off.max())
+
+    def solve(self, goals: list[np.ndarray], order, bound: bool, rounds: int = ROUNDS, tolerance: float = 1e-9) -> None:
+        for _ in range(rounds):
+            if max([self.step(axis, goals[axis], bound) for axis in order]) <= tolerance:
+                break
+
+    def top(self, spared: float) -> float:
+        """The largest factor but for cells that have less than ``spared`` of the weight."""
+        order = np.argsort(-self.factor)
+        at = int(np.searchsorted(np.cumsum(self.weight[order]), spared, side="right"))
+        return float(self.factor[order[min(at, len(order) - 1)]])
+
+    def rescale(self, by: float) -> float:
+        """Multiply the factors; the share of the weight that is kept then."""
+        self.factor = self.factor * by
+        return float((self.weight * np.minimum(self.factor, 1.0)).sum())
+
+
+def draw_shares(cells: Cells, shares: list[np.ndarray], stated: list[int], kept: float | None) -> None:
+    """Rake ``cells`` so that the factors, cut at 1, are probabilities.
+
+    The share of the weight to keep is ``kept``. Without it, it is the largest at which the
+    ``stated`` dimensions hold or, if none is stated, the largest at which all hold but for
+    cells with ``SPARED`` of the weight: a rare cell that would need more than it has is
+    kept whole instead of making all others smaller.
+    """
+    every = range(len(shares))
+    chosen = stated or list(every)
+    goals = [cells.goal(a, shares[a], 1.0, bound=False) for a in every]
+    cells.solve(goals, chosen, False)
+    share = cells.rescale(1 / cells.top(0.0 if stated else SPARED))
+    if kept is not None:
+        cells.rescale(kept / share)
+        share = kept
+    # what was stated comes last, so it holds where the others contradict it
+    order = [a for a in every if a not in stated] + stated
+    cells.solve([cells.goal(a, shares[a], share, bound=True) for a in every], order, True)
+
+
 def calibrate(
     docs: DataFrame,
     weight: Column,
     dims: Mapping[str, Column],
     targets: Mapping[str, Mapping[str, float]] | None = None,
     power: float = 0.85,
+    kept: float | None = None,
 ) -> tuple[DataFrame, dict[str, dict[str, float]]]:
     """Cells with their ``probability``, and the targets.
 
     One aggregation gives the cells, at most ``MAX_CATEGORIES`` cubed; of every dimension
-    the heaviest categories are told apart, the rest share one. The largest probability
-    is 1: no other scale keeps more while the shares hold.
+    the heaviest categories are told apart, the rest share one. How much is kept is said
+    at ``draw_shares``.
     """
     spark = docs.sparkSession
     names = list(dims)
@@ -104,27 +185,26 @@ def calibrate(
             heavy = every.filter(F.col(d).isNotNull()).groupBy(d).agg(F.sum("w").alias("w"))
             known[d] = sorted(r[0] for r in heavy.orderBy(F.desc("w"), d).limit(MAX_CATEGORIES).collect())
     folded = [F.when(F.col(d).isin(known[d]), F.col(d)).otherwise(REST).alias(d) for d in names]
-    rows = every.groupBy(*folded).agg(F.sum("w").alias("w")).collect()
+    rows = [r for r in every.groupBy(*folded).agg(F.sum("w").alias("w")).collect() if r["w"]]
     scratch.free(every)
     keys = {d: [*known[d], *([REST] if REST not in known[d] else [])] for d in names}
     place = {d: {k: i for i, k in enumerate(keys[d])} for d in names}
-    cells = np.zeros([len(keys[d]) for d in names])
-    for row in rows:
-        cells[tuple(place[d][row[d]] for d in names)] += row["w"] or 0.0
-    goals = {}
+    stated = [axis for axis, d in enumerate(names) if targets and d in targets]
+    goals = {d: {k: float(v) for k, v in targets[d].items()} if a in stated else {} for a, d in enumerate(names)}
+    p = np.zeros(0)
+    if rows:
+        w = np.array([r["w"] for r in rows])
+        cells = Cells([np.array([place[d][r[d]] for r in rows]) for d in names], w / w.sum())
+        for axis, d in enumerate(names):
+            if axis not in stated:
+                now = cells.sums(axis, cells.weight, len(keys[d]))
+                goals[d] = tempered(dict(zip(keys[d], now.tolist(), strict=True)), power)
+        draw_shares(cells, [np.array([goals[d].get(k, 0.0) for k in keys[d]]) for d in names], stated, kept)
+        p = np.minimum(cells.factor, 1.0)
+    table = [(*[r[d] for d in names], x) for r, x in zip(rows, p.tolist(), strict=True)]
     for axis, d in enumerate(names):
-        if targets and d in targets:
-            goals[d] = {k: float(v) for k, v in targets[d].items()}
-        else:
-            now = cells.sum(axis=tuple(a for a in range(len(names)) if a != axis))
-            goals[d] = tempered(dict(zip(keys[d], now, strict=True)), power)
-    raked = rake(cells, [np.array([goals[d].get(k, 0.0) for k in keys[d]]) for d in names])
-    factor = np.divide(raked, cells, out=np.zeros_like(raked), where=cells > 0)
-    top = factor.max() if factor.size and factor.max() > 0 else 1.0
-    table = [
-        (*[keys[d][i] for d, i in zip(names, at, strict=True)], float(factor[tuple(at)] / top))
-        for at in np.argwhere(cells > 0)
-    ]
+        if axis not in stated:
+            goals[d] = {k: goals[d].get(k, 0.0) for k in keys[d]}
     schema = ", ".join([f"`{d}` string" for d in names] + ["probability double"])
     return spark.createDataFrame(table, schema), goals
 
@@ -139,6 +219,7 @@ def mix_sources(
     targets: Mapping[str, Mapping[str, float]] | None = None,
     power: float = 0.85,
     seed: int = 1,
+    kept: float | None = None,
 ) -> DataFrame:
     """``docs`` with ``topic``, ``tokens``, ``probability`` and ``sampled``.
 
@@ -149,7 +230,14 @@ def mix_sources(
     without tokens share the probability of their cell where it has any. The draw is a
     function of the id and ``seed``, so a rerun keeps the same documents and rows with
     one id fare alike; NULL ids are drawn by their text. An empty table gives an empty result.
+
+    ``kept`` is the share of the tokens to keep. Without it as many are kept as the given
+    targets allow; without targets, as many as the tempered shares allow when cells with
+    ``SPARED`` of the tokens may miss them. A category whose target is more than it has is
+    kept whole, and the others share the rest in proportion to their targets.
     """
+    if kept is not None and not 0 < kept <= 1:
+        raise ValueError("kept must be above 0 and at most 1")
     results = ("topic", "tokens", "probability", "sampled")
     for name in results:
         if name in docs.columns and not (name == "topic" and topic_col == name):
@@ -158,7 +246,7 @@ def mix_sources(
     topic = quoted(topic_col).cast("string") if topic_col else topic_of(text)
     dims = {"source": quoted(source_col), "language": quoted(language_col), "topic": topic}
     weight = token_weight(text)
-    cells, goals = calibrate(docs, weight, dims, targets, power)
+    cells, goals = calibrate(docs, weight, dims, targets, power, kept)
     inner = fresh(docs, "cell_source", "cell_language", "cell_topic", "cell_probability")
     known = {d: [k for k in goals[d] if k != REST] for d in dims}
     keyed = docs.withColumns(

@@ -62,3 +62,29 @@ def test_no_target_no_sample_and_edges(documents):
     assert mix_sources(documents((1, ""), (2, None))).filter("sampled").count() == 0
     with pytest.raises(ValueError):
         mix_sources(out)
+
+
+def test_one_rare_document_hardly_moves_the_kept_share(documents):
+    def kept(*more, **options):
+        rows = mix_sources(docs_of(documents).unionByName(documents(*more)), **options).collect()
+        mass = sum(r["tokens"] for r in rows if r["doc_id"] < 3000)
+        assert all(0 <= r["probability"] <= 1 for r in rows)
+        rare = [r["probability"] for r in rows if r["doc_id"] >= 3000]
+        return sum(r["tokens"] * r["probability"] for r in rows if r["doc_id"] < 3000) / mass, rare
+
+    ordinary = (3000, "w " * 19 + "w", "en", "hot")
+    usual, _ = kept(ordinary)
+    for lang in ("en", "new"):
+        share, rare = kept((3000, "w " * 19 + "w", lang, "rare"))
+        assert share == pytest.approx(usual, abs=0.01)
+        assert rare == [pytest.approx(1)]
+    assert kept(ordinary, kept=0.3)[0] == pytest.approx(0.3, abs=1e-3)
+    assert kept((3000, "w", "new", "rare"), kept=0.3) == (pytest.approx(0.3, abs=1e-3), [pytest.approx(1)])
+
+
+def test_whole_cells_leave_the_targets_of_the_others(documents):
+    # b has 1/5 of the tokens and is to be half of the 3/5 kept: all of it stays, a and c share the rest
+    docs = documents(*[(i, "w w", "en", "aaabc"[i % 5]) for i in range(100)])
+    rows = mix_sources(docs, targets={"source": {"a": 0.3, "b": 0.5, "c": 0.2}}, kept=0.6).collect()
+    got = {r["source"]: r["probability"] for r in rows}
+    assert got == pytest.approx({"a": 0.24 / 0.6, "b": 1.0, "c": 0.16 / 0.2})
