@@ -14,6 +14,7 @@ row of the file and holds whole documents.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -295,17 +296,23 @@ _FRAME = "part int, frame int, doc_ids array<long>, sizes array<int>, n_ids long
 _READ = "doc_id long, start long, n_ids long, ids binary"
 
 
-def _encode_texts(path: str, shipped: bool):
+def _encode_texts(path: str, shipped: bool, plain_special: bool):
     """Function from texts to packed ids, by the tokenizers library."""
-    return _library(SparkFiles.get(path.rpartition("/")[2]) if shipped else path)
+    return _library(SparkFiles.get(path.rpartition("/")[2]) if shipped else path, plain_special)
 
 
 @lru_cache(maxsize=2)
-def _library(path: str):
+def _library(path: str, plain_special: bool):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    if plain_special:
+        tokenizer.encode_special_tokens = True
+    # what the library looks for in a text before it splits it
+    added = [x for x in tokenizer.get_added_tokens_decoder().values() if not (plain_special and x.special)]
+    # a normalized token may be found where its content does not stand as it is
+    all_whole = any(x.normalized for x in added) and tokenizer.normalizer is not None
+    special = re.compile("|".join(re.escape(x.content) for x in added)) if added else None
 
     def whole(texts: list[str]) -> list[bytes]:
         found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -324,8 +331,8 @@ def _library(path: str):
     pieces = Remembered(apart)
 
     def run(texts: list[str]) -> list[bytes]:
-        # a text of unusual characters is left to the library as a whole
-        odd = [bool(_ODD.search(x)) for x in texts]
+        # a text of unusual characters, or with an added token, is left to the library as a whole
+        odd = [all_whole or bool(_ODD.search(x) or (special and special.search(x))) for x in texts]
         plain = iter(pieces.texts([x for x, o in zip(texts, odd, strict=True) if not o]))
         rest = iter(whole([x for x, o in zip(texts, odd, strict=True) if o]))
         return [next(rest) if o else next(plain) for o in odd]
@@ -333,9 +340,9 @@ def _library(path: str):
     return run
 
 
-def _frames(path: str, shipped: bool, end_id: int, frame_ids: int):
+def _frames(path: str, shipped: bool, end_id: int, frame_ids: int, plain_special: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encode_texts(path, shipped)
+        encode = _encode_texts(path, shipped, plain_special)
         part, frame = TaskContext.get().partitionId(), 0
         docs: list = []
         held: list[np.ndarray] = []
@@ -379,19 +386,20 @@ def write_ids(
     end_id: int = END_ID,
     shipped: bool = False,
     frame_ids: int = FRAME_IDS,
+    plain_special: bool = True,
 ) -> None:
     """Write the ids of every text (NULL: empty), each followed by ``end_id``, below ``path``.
 
     Documents are in ascending order of their ids (NULL first; of equal ids by the text's
     hash), over all files. ``tokenizer`` is a file of the tokenizers library, there on every
     machine or sent by ``SparkContext.addFile`` if ``shipped``; special tokens in a text are
-    ordinary text. An empty table gives files without frames.
+    ordinary text if ``plain_special``, else what the library's default makes of them. An empty table gives files without frames.
     """
     ready(docs.sparkSession)
     rows = docs.select(quoted(id_col).cast("long").alias("id"), text_of(docs, text_col).alias("text"))
     tie = F.xxhash64("text")
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id", tie)
-    frames = ordered.mapInArrow(_frames(tokenizer, shipped, end_id, frame_ids), _FRAME)
+    frames = ordered.mapInArrow(_frames(tokenizer, shipped, end_id, frame_ids, plain_special), _FRAME)
     frames.write.option("compression", "uncompressed").parquet(path)
 
 

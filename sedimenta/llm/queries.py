@@ -104,7 +104,7 @@ def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Scratch(spark, "ids").path()
-    id_files.write_ids(_table(spark, sf_dir, "documents"), path, TOKENIZER)
+    id_files.write_ids(_table(spark, sf_dir, "documents"), path, TOKENIZER, plain_special=False)
     return id_files.read_ids(spark, path).select(
         "doc_id",
         "start",

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from sedimenta.llm import id_files as f
-from sedimenta.llm.queries import TOKENIZER
+from sedimenta.llm.queries import TOKENIZER, op10_id_files
 
 
 @settings(max_examples=60, deadline=None)
@@ -77,3 +77,17 @@ def test_files(spark, documents, tmp_path):
 def test_empty(spark, documents, tmp_path):
     f.write_ids(documents((1, "a")).limit(0), str(tmp_path / "none"), TOKENIZER)
     assert f.read_ids(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_the_query_gives_what_the_library_gives_by_default(spark, documents, tmp_path):
+    library = Tokenizer.from_file(TOKENIZER)
+    texts = ["a <|endoftext|> b", "plain", "<|endoftext|>", None, "ünïcode<|endoftext|><|endoftext|>一", "<|endoftext |>", "after"]
+    documents(*enumerate(texts)).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(op10_id_files(spark, str(tmp_path)).collect())
+    start = 0
+    for r, text in zip(got, texts, strict=True):
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, f.END_ID]
+        assert (r["start"], r["n_tokens"]) == (start, len(ids))
+        assert r["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
+        start += len(ids)
+    assert got[0]["n_tokens"] == 5
