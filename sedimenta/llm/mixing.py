@@ -17,13 +17,13 @@ from pyspark.sql import functions as F
 
 from sedimenta.llm.common import Scratch, fresh, quoted, text_of
 
-#: Categories of one dimension that are told apart; the others, the smallest, are one.
-MAX_CATEGORIES = 64
+#: Cells that are raked on the driver, and that are sent to all tasks; more stay tables.
+DRIVER_CELLS, BROADCAST_CELLS = 1 << 20, 1 << 16
 #: Rounds of raking at most.
 ROUNDS = 200
 #: Share of all tokens in cells that may miss the targets, as they are kept whole.
 SPARED = 0.01
-#: Category of NULLs, and of those beyond ``MAX_CATEGORIES`` or without a target.
+#: Category of NULLs and values without a target, where there are targets.
 REST = "(rest)"
 
 
@@ -136,7 +136,7 @@ class Cells:
         return float((self.weight * np.minimum(self.factor, 1.0)).sum())
 
 
-def draw_shares(cells: Cells, shares: list[np.ndarray], stated: list[int], kept: float | None) -> None:
+def draw_shares(cells: Cells | SparkCells, shares: list, stated: list[int], kept: float | None) -> None:
     """Rake ``cells`` so that the factors, cut at 1, are probabilities.
 
     The share of the weight to keep is ``kept``. Without it, it is the largest at which the
@@ -157,56 +157,144 @@ def draw_shares(cells: Cells, shares: list[np.ndarray], stated: list[int], kept:
     cells.solve([cells.goal(a, shares[a], share, bound=True) for a in every], order, True)
 
 
+class SparkCells:
+    """``Cells`` as a table, for more than fit the driver: columns ``k0``, ``k1``... and ``w``.
+
+    Each step sums by one dimension, joins the categories' scales back and is written.
+    """
+
+    def __init__(self, table: DataFrame, scratch: Scratch):
+        self.scratch, self.whole = scratch, float(table.agg(F.sum("w")).first()[0])
+        self.table = scratch.keep(table.withColumns({"w": F.col("w") / self.whole, "f": F.lit(1.0)}))
+
+    def _replace(self, table: DataFrame) -> None:
+        old, self.table = self.table, self.scratch.keep(table)
+        self.scratch.free(old)
+
+    def shares(self, axis: int, targets: Mapping[str, float] | None, power: float) -> DataFrame:
+        """Categories with what they have and their shares, in no certain scale."""
+        sums = self.table.groupBy(f"k{axis}").agg(F.sum("w").alias("has"))
+        if targets is None:
+            return self.scratch.keep(sums.withColumn("share", F.pow("has", F.lit(power))))
+        given = self.table.sparkSession.createDataFrame([(f"={k}", float(v)) for k, v in targets.items()], f"k{axis} string, share double")
+        found = sums.join(given, f"k{axis}", "left")
+        return self.scratch.keep(found.withColumn("share", F.coalesce("share", F.lit(0.0))))
+
+    def goal(self, axis: int, shares: DataFrame, whole: float, bound: bool) -> DataFrame:
+        total = shares.agg(F.sum("share")).first()[0]
+        if not total:
+            raise ValueError(f"no category of dimension {axis} has both weight and target")
+        scale, full = whole / total, 0
+        while bound:
+            more = (F.col("share") * F.lit(scale) >= F.col("has")) & (F.col("share") > 0)
+            n, has, rest = shares.agg(
+                F.count_if(more), F.sum(F.when(more, F.col("has"))), F.sum(F.when(~more, F.col("share")))
+            ).first()
+            if n == full or not rest:
+                break
+            full, scale = n, max(whole - has, 0.0) / rest
+        goal = F.col("share") * F.lit(scale)
+        return shares.select(f"k{axis}", (F.least(goal, "has") if bound else goal).alias("goal"))
+
+    def step(self, axis: int, goal: DataFrame, bound: bool) -> float:
+        """One of Newton's steps for each category, not all; the rounds bring the others."""
+        mass, free = F.col("w") * F.col("f"), F.col("f") < 1
+        sums = self.table.groupBy(f"k{axis}").agg(
+            F.sum(mass).alias("plain"),
+            F.coalesce(F.sum(F.when(free, mass)), F.lit(0.0)).alias("free"),
+            F.coalesce(F.sum(F.when(~free, F.col("w"))), F.lit(0.0)).alias("fixed"),
+        )
+        from_zero = F.when(F.col("plain") > 0, F.col("goal") / F.col("plain")).otherwise(0.0)
+        off, by = F.abs(F.col("plain") - F.col("goal")), from_zero
+        if bound:
+            off = F.abs(F.col("fixed") + F.col("free") - F.col("goal"))
+            on = F.when(F.col("free") > 0, (F.col("goal") - F.col("fixed")) / F.col("free")).otherwise(1.0)
+            by = F.when(F.col("goal") > F.col("fixed"), on).when((F.col("goal") == F.col("fixed")) & (F.col("free") == 0), 1.0).otherwise(from_zero)
+        scales = self.scratch.keep(sums.join(goal, f"k{axis}").select(f"k{axis}", off.alias("off"), by.alias("by")))
+        worst = scales.agg(F.max("off")).first()[0]
+        scaled = self.table.join(scales.drop("off"), f"k{axis}")
+        self._replace(scaled.withColumn("f", F.least(F.col("f") * F.col("by"), F.lit(1e300))).drop("by"))
+        self.scratch.free(scales)
+        return float(worst)
+
+    def solve(self, goals: list[DataFrame], order, bound: bool, rounds: int = ROUNDS, tolerance: float = 1e-6) -> None:
+        Cells.solve(self, goals, order, bound, rounds, tolerance)
+
+    def top(self, spared: float) -> float:
+        low, high = self.table.filter("f > 0").agg(F.min("f"), F.max("f")).first()
+        above = 0.0
+        # ranges of factors, then of the range where the weight above passes ``spared``
+        for _ in range(8):
+            if spared <= 0 or high <= low:
+                break
+            wide = (high - low) / 1024
+            place = F.least(F.floor((F.col("f") - low) / wide), F.lit(1023))
+            inside = self.table.filter((F.col("f") >= low) & (F.col("f") <= high))
+            ranges = inside.groupBy(place.alias("at")).agg(F.sum("w"), F.min("f"), F.max("f")).collect()
+            for _, weight, first, last in sorted(ranges, reverse=True):
+                low, high = first, last
+                if above + weight > spared:
+                    break
+                above += weight
+        return float(high)
+
+    def rescale(self, by: float) -> float:
+        self._replace(self.table.withColumn("f", F.col("f") * F.lit(by)))
+        return float(self.table.agg(F.sum(F.col("w") * F.least("f", F.lit(1.0)))).first()[0])
+
+
+def category(value: Column, targets: Mapping[str, float] | None) -> Column:
+    """Key of a category: NULL is one of its own; with targets, what has none is ``REST``."""
+    value = value.cast("string")
+    if targets is None:
+        return F.coalesce(F.concat(F.lit("="), value), F.lit(""))
+    return F.concat(F.lit("="), F.when(value.isin(list(targets)), value).otherwise(REST))
+
+
 def calibrate(
     docs: DataFrame,
     weight: Column,
-    dims: Mapping[str, Column],
-    targets: Mapping[str, Mapping[str, float]] | None = None,
+    keys: list[Column],
+    targets: list[Mapping[str, float] | None],
     power: float = 0.85,
     kept: float | None = None,
-) -> tuple[DataFrame, dict[str, dict[str, float]]]:
-    """Cells with their ``probability``, and the targets.
+    driver_cells: int = DRIVER_CELLS,
+) -> tuple[DataFrame, int]:
+    """Cells (``k0``, ``k1``...) with their ``probability``, and how many there are.
 
-    One aggregation gives the cells, at most ``MAX_CATEGORIES`` cubed; of every dimension
-    the heaviest categories are told apart, the rest share one. How much is kept is said
-    at ``draw_shares``.
+    One aggregation gives the cells, with every category told apart. Up to
+    ``driver_cells`` are raked as arrays on the driver, more of them as a table, to a
+    tolerance of a millionth. How much is kept is said at ``draw_shares``.
     """
-    spark = docs.sparkSession
-    names = list(dims)
-    scratch = Scratch(spark, "cells")
-    every = scratch.keep(
-        docs.groupBy(*[dims[d].cast("string").alias(d) for d in names]).agg(F.sum(weight).cast("double").alias("w"))
-    )
-    known = {}
-    for d in names:
-        if targets and d in targets:
-            known[d] = sorted(targets[d])
-        else:
-            heavy = every.filter(F.col(d).isNotNull()).groupBy(d).agg(F.sum("w").alias("w"))
-            known[d] = sorted(r[0] for r in heavy.orderBy(F.desc("w"), d).limit(MAX_CATEGORIES).collect())
-    folded = [F.when(F.col(d).isin(known[d]), F.col(d)).otherwise(REST).alias(d) for d in names]
-    rows = [r for r in every.groupBy(*folded).agg(F.sum("w").alias("w")).collect() if r["w"]]
-    scratch.free(every)
-    keys = {d: [*known[d], *([REST] if REST not in known[d] else [])] for d in names}
-    place = {d: {k: i for i, k in enumerate(keys[d])} for d in names}
-    stated = [axis for axis, d in enumerate(names) if targets and d in targets]
-    goals = {d: {k: float(v) for k, v in targets[d].items()} if a in stated else {} for a, d in enumerate(names)}
-    p = np.zeros(0)
-    if rows:
-        w = np.array([r["w"] for r in rows])
-        cells = Cells([np.array([place[d][r[d]] for r in rows]) for d in names], w / w.sum())
-        for axis, d in enumerate(names):
-            if axis not in stated:
-                now = cells.sums(axis, cells.weight, len(keys[d]))
-                goals[d] = tempered(dict(zip(keys[d], now.tolist(), strict=True)), power)
-        draw_shares(cells, [np.array([goals[d].get(k, 0.0) for k in keys[d]]) for d in names], stated, kept)
-        p = np.minimum(cells.factor, 1.0)
-    table = [(*[r[d] for d in names], x) for r, x in zip(rows, p.tolist(), strict=True)]
-    for axis, d in enumerate(names):
-        if axis not in stated:
-            goals[d] = {k: goals[d].get(k, 0.0) for k in keys[d]}
-    schema = ", ".join([f"`{d}` string" for d in names] + ["probability double"])
-    return spark.createDataFrame(table, schema), goals
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "cells")
+    names = [f"k{axis}" for axis in range(len(keys))]
+    sums = docs.groupBy(*[k.alias(n) for n, k in zip(names, keys, strict=True)]).agg(F.sum(weight).cast("double").alias("w"))
+    every = scratch.keep(sums.filter("w > 0"))
+    n = every.count()
+    stated = [axis for axis, given in enumerate(targets) if given is not None]
+    if not n:
+        return every.select(*names, F.lit(0.0).alias("probability")), 0
+    if n <= driver_cells:
+        rows = every.toArrow().combine_chunks()
+        codes = [rows[name].combine_chunks().dictionary_encode() for name in names]
+        w = rows["w"].to_numpy()
+        cells = Cells([c.indices.to_numpy() for c in codes], w / w.sum())
+        shares = []
+        for axis, given in enumerate(targets):
+            found = codes[axis].dictionary.to_pylist()
+            has = cells.sums(axis, cells.weight)
+            shares.append(has**power if given is None else np.array([float(given.get(k[1:], 0.0)) for k in found]))
+        draw_shares(cells, shares, stated, kept)
+        out = spark.createDataFrame(rows.drop_columns("w").append_column("probability", [np.minimum(cells.factor, 1.0)]))
+    else:
+        cells = SparkCells(every, scratch)
+        shares = [cells.shares(axis, given, power) for axis, given in enumerate(targets)]
+        draw_shares(cells, shares, stated, kept)
+        out = cells.table.select(*names, F.least("f", F.lit(1.0)).alias("probability"))
+    # written, so that Catalyst knows how small it is
+    result = scratch.keep(out)
+    scratch.free(*[t for t, _ in list(scratch.paths.values()) if t is not result])
+    return result, n
 
 
 def mix_sources(
@@ -220,6 +308,7 @@ def mix_sources(
     power: float = 0.85,
     seed: int = 1,
     kept: float | None = None,
+    driver_cells: int = DRIVER_CELLS,
 ) -> DataFrame:
     """``docs`` with ``topic``, ``tokens``, ``probability`` and ``sampled``.
 
@@ -246,17 +335,13 @@ def mix_sources(
     topic = quoted(topic_col).cast("string") if topic_col else topic_of(text)
     dims = {"source": quoted(source_col), "language": quoted(language_col), "topic": topic}
     weight = token_weight(text)
-    cells, goals = calibrate(docs, weight, dims, targets, power, kept)
+    given = [dict(targets[d]) if targets and d in targets else None for d in dims]
+    keys = [category(value, shares) for value, shares in zip(dims.values(), given, strict=True)]
+    cells, n = calibrate(docs, weight, keys, given, power, kept, driver_cells)
     inner = fresh(docs, "cell_source", "cell_language", "cell_topic", "cell_probability")
-    known = {d: [k for k in goals[d] if k != REST] for d in dims}
-    keyed = docs.withColumns(
-        {
-            name: F.when(dims[d].cast("string").isin(known[d]), dims[d].cast("string")).otherwise(REST)
-            for name, d in zip(inner, dims, strict=False)
-        }
-    )
-    # MAX_CATEGORIES cubed rows at most, which the driver has just made
-    joined = keyed.join(F.broadcast(cells.toDF(*inner)), inner[:3], "left")
+    keyed = docs.withColumns(dict(zip(inner, keys, strict=False)))
+    cells = cells.toDF(*inner)
+    joined = keyed.join(F.broadcast(cells) if n <= BROADCAST_CELLS else cells, inner[:3], "left")
     draw = F.conv(F.substring(F.md5(F.concat(F.coalesce(quoted(id_col).cast("string"), text), F.lit(f":{seed}"))), 1, 8), 16, 10)
     share = F.coalesce(quoted(inner[3]), F.lit(0.0))
     return joined.select(

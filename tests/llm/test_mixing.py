@@ -88,3 +88,30 @@ def test_whole_cells_leave_the_targets_of_the_others(documents):
     rows = mix_sources(docs, targets={"source": {"a": 0.3, "b": 0.5, "c": 0.2}}, kept=0.6).collect()
     got = {r["source"]: r["probability"] for r in rows}
     assert got == pytest.approx({"a": 0.24 / 0.6, "b": 1.0, "c": 0.16 / 0.2})
+
+
+def many_sources(documents):
+    rng = random.Random(5)
+    names = [f"s{i:03}" for i in range(100)]
+    picked = [*names, *rng.choices(names, [1 / (i + 1) for i in range(100)], k=1400)]
+    rows = [(i, "w " * rng.randint(1, 30) + "w", rng.choice(["en", "fr"]), s) for i, s in enumerate(picked)]
+    return documents(*rows, (1500, "w w", None, None))
+
+
+def test_every_source_has_its_own_target(documents):
+    rows = mix_sources(many_sources(documents), kept=0.4).collect()
+    has, got = {}, {}
+    for r in rows:
+        has[r["source"]] = has.get(r["source"], 0) + r["tokens"]
+        got[r["source"]] = got.get(r["source"], 0) + r["tokens"] * r["probability"]
+    assert len(has) == 101
+    part = [s for s in has if got[s] < has[s] * 0.99]
+    ratios = [got[s] / has[s] ** 0.85 for s in part]
+    assert len(part) > 64 and max(ratios) == pytest.approx(min(ratios), rel=1e-4)
+
+
+def test_cells_as_a_table_give_the_same(documents):
+    docs = docs_of(documents, 300).unionByName(documents((300, "w " * 3 + "w", "en", "rare"), (301, "", "en", None)))
+    few = {r["doc_id"]: r["probability"] for r in mix_sources(docs).collect()}
+    many = {r["doc_id"]: r["probability"] for r in mix_sources(docs, driver_cells=0).collect()}
+    assert many == pytest.approx(few, abs=1e-4) and few[300] == pytest.approx(1) and few[301] == 0
