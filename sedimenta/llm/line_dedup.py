@@ -4,10 +4,9 @@ Lines are hashed. From each line on, the shortest run of lines with at least
 ``min_words`` words is a window; the smallest line hash in a window is its
 fingerprint. Equal windows choose the same line, so every repeated run of
 ``min_words`` words or more shares a fingerprint with its first occurrence.
-Fingerprints seen at one place only are dropped after one narrow aggregation. The
-places of the others are joined, each match is extended to the lines before and
-behind the fingerprint by the keys of the windows that chose it, and all lines of a
-window that occurred earlier go. Earlier means: smaller doc_id, then smaller line.
+Windows whose fingerprint is at one place only are dropped after one narrow aggregation.
+The others are compared as whole windows, by two keys of all their lines, and all lines
+of a window that occurred earlier go. Earlier means: smaller doc_id, then smaller line.
 """
 
 from __future__ import annotations
