@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.llm import (
     bpe,
+    fill_in_middle,
     id_files,
     language_id,
     line_dedup,
@@ -15,7 +16,9 @@ from sedimenta.llm import (
     near_dup,
     nearest,
     ngram_lm,
+    prefix_trie,
     sharding,
+    sim_hash,
     top_k,
 )
 from sedimenta.llm.common import Scratch, ready, text_of
@@ -113,6 +116,31 @@ def op10_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sim_hash.simhash_components(_table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = fill_in_middle.fill_in_middle(docs)
+    whole = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return cut.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(whole, 256).alias("restored_sha256"),
+    )
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "trie")
+    numbered = scratch.keep(prefix_trie.numbered_turns(_table(spark, sf_dir, "conversations")))
+    return prefix_trie.prefix_trie(*prefix_trie.spliced(numbered, scratch), scratch)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -126,6 +154,9 @@ QUERIES = {
         op8_byte_bpe,
         op9_nearest,
         op10_id_files,
+        op11_simhash,
+        op12_fill_in_middle,
+        op13_prefix_trie,
         language_id_pages,
     )
 }
@@ -133,4 +164,6 @@ QUERIES = {
 ORACLE = {
     "op1_line_dedup": line_dedup.SQL.format(docs="documents", min_words=25),
     "op3_top_k": top_k.SQL.format(scale=64, every=20, k=20),
+    "op12_fill_in_middle": fill_in_middle.SQL.format(docs="documents"),
+    "op13_prefix_trie": prefix_trie.SQL.format(conversations="conversations"),
 }
