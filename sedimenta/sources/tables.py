@@ -1,15 +1,18 @@
 """Tables addressed by path: versioned Parquet snapshots, upserts, curated output.
 
 A table folder holds ``snapshot=<id>/slice=<label>/*.parquet`` and, per version,
-a small JSON file in ``_commits`` that says in which snapshot each slice's
+a small JSON file in ``_commits`` that says in which snapshots each slice's
 current rows lie. A version exists once its commit file does, so readers never
 see half a write, and a job that dies leaves the table as it was. There is one
 writer per table at a time; a second one loses at the commit and must run again.
 
 A slice is a set of keys: rows with the same values in ``partition_by`` (which
-must be key columns), in the same of ``buckets`` hash buckets, or both. An upsert
-reads and rewrites only the slices its batch touches, and it fails before the
-commit if it should have written any other.
+must be key columns), in the same of ``buckets`` hash buckets, or both. A batch is
+written once, as a run on top of the slices it touches, and readers take each key
+from the last run that holds it. Runs are put together as soon as what comes after
+them is half their size, so what a small batch costs depends on the batch and on the
+logarithm of the table. An upsert fails before the commit if it should have written a
+slice that it has not read.
 """
 
 from __future__ import annotations
@@ -18,28 +21,55 @@ import json
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from datetime import date, datetime
+from decimal import Decimal
+from typing import NamedTuple
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType, TimestampType
-
-from sedimenta.operators.upsert import duplicate_keys, latest_per_key, upsert
-from sedimenta.session import has_shuffle, scratch_path
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DateType,
+    DecimalType,
+    IntegralType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
+
+from sedimenta.operators.lattice import common_schema, to_schema, widened
+from sedimenta.operators.upsert import any_null, duplicate_keys, latest_per_key, upsert
+from sedimenta.session import has_shuffle
 from sedimenta.sources import storage
 
-SLICE = "slice"
+SLICE, SNAPSHOT = "slice", "snapshot"
 WHOLE = "all"
+#: A layer that is not so many times as large as all later ones is put together with them.
+LAYER_STEP = 2
+
+
+class Layer(NamedTuple):
+    """The rows of a slice in one snapshot; how many there are is -1 if nobody counted."""
+
+    at: str
+    rows: int = -1
 
 
 @dataclass(frozen=True)
 class Snapshot:
+    """A version. The layers of a slice are ordered from its oldest rows to its last run."""
+
     version: int
     schema: StructType
     partition_by: tuple[str, ...]
     bucket_by: tuple[str, ...]
     buckets: int
-    slices: Mapping[str, str]
+    slices: Mapping[str, tuple[Layer, ...]]
+    keys: tuple[str, ...] = ()
+    null_safe: bool = False
 
     def to_json(self) -> str:
         return json.dumps(
@@ -50,6 +80,8 @@ class Snapshot:
                 "bucket_by": self.bucket_by,
                 "buckets": self.buckets,
                 "slices": dict(self.slices),
+                "keys": self.keys,
+                "null_safe": self.null_safe,
             }
         )
 
@@ -62,7 +94,12 @@ class Snapshot:
             tuple(raw["partition_by"]),
             tuple(raw["bucket_by"]),
             raw["buckets"],
-            raw["slices"],
+            {
+                name: (Layer(held),) if isinstance(held, str) else tuple(Layer(*x) for x in held)
+                for name, held in raw["slices"].items()
+            },
+            tuple(raw.get("keys", ())),
+            raw.get("null_safe", False),
         )
 
     @property
@@ -140,28 +177,63 @@ def read_table(
                 reader = reader.option("versionAsOf", version)
             df = reader.load(path)
         else:
-            df = spark.read.parquet(path)
+            df = _plain_parquet(spark, path)
         return df.filter(_only_condition(only)) if only else df
-    if not only:
-        return _scan(spark, path, snapshot, snapshot.slices).select(*snapshot.schema.names)
-    chosen = snapshot.slices
-    if _names_slices(snapshot, only):
-        (column,) = snapshot.partition_by
-        labels = {f"p-{'' if v is None else v}" for v in only[column]}
-        chosen = {
-            name: at
-            for name, at in snapshot.slices.items()
-            if snapshot.partition_label(unquote(name.partition("=")[2])) in labels
-        }
-    df = _scan(spark, path, snapshot, chosen).select(*snapshot.schema.names)
-    return df.filter(_only_condition(only))
+    chosen = _named_slices(spark, snapshot, only or {})
+    df = _rows(spark, path, snapshot, chosen).select(*snapshot.schema.names)
+    return df.filter(_only_condition(only)) if only else df
 
 
-def _names_slices(snapshot: Snapshot, only: Mapping[str, Sequence]) -> bool:
-    """Do the given values spell out slice labels? Text and whole numbers do."""
+def _plain_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """The root's own files; what a first version that was never committed left stays out."""
+    names = storage.child_names(spark, path)
+    if not any(n.startswith(f"{SNAPSHOT}=") for n in names):
+        return spark.read.parquet(path)
+    own = [f"{path}/{n}" for n in names if not n.startswith(("_", ".", f"{SNAPSHOT}="))]
+    return spark.read.option("basePath", path).parquet(*own)
+
+
+#: Values of these Python types are compared with columns of these types as they are.
+_COMPARED_AS_TYPED: tuple[tuple[tuple[type, ...], tuple[type[DataType], ...]], ...] = (
+    ((str,), (StringType,)),
+    ((bool,), (BooleanType,)),
+    ((int,), (IntegralType, DecimalType)),
+    ((Decimal,), (DecimalType,)),
+    ((datetime,), (TimestampType, TimestampNTZType)),
+    ((date,), (DateType,)),
+)
+
+
+def _named_slices(
+    spark: SparkSession, snapshot: Snapshot, only: Mapping[str, Sequence]
+) -> Mapping[str, tuple[Layer, ...]]:
+    """The slices that rows with the given values can lie in.
+
+    The values become the column's type and get their labels as rows do. Where a value is
+    compared with the column by another type (a number with text, anything with a
+    fraction, whose zeros have two names) no slice is left out.
+    """
     if len(snapshot.partition_by) != 1 or snapshot.partition_by[0] not in only:
-        return False
-    return all(v is None or type(v) in (str, int) for v in only[snapshot.partition_by[0]])
+        return snapshot.slices
+    (column,) = snapshot.partition_by
+    kind, values = snapshot.schema[column].dataType, list(only[column])
+    for value in values:
+        fits = [k for types, k in _COMPARED_AS_TYPED if type(value) in types]
+        if value is not None and not (fits and isinstance(kind, fits[0])):
+            return snapshot.slices
+    given = [F.lit(v).try_cast(kind) for v in values if v is not None]
+    rows = spark.range(1).select(F.explode(F.array(*given, F.lit(None).cast(kind))).alias(column))
+    alone = replace(snapshot, buckets=1)
+    labels = {
+        label for value, label in rows.select(column, alone.slice_label()).collect() if value is not None
+    }
+    if None in values:
+        labels |= {"p-"}
+    return {
+        name: layers
+        for name, layers in snapshot.slices.items()
+        if snapshot.partition_label(unquote(name.partition("=")[2])) in labels
+    }
 
 
 def table_view(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -182,14 +254,61 @@ def _only_condition(only: Mapping[str, Sequence]) -> Column:
     return condition
 
 
-def _scan(spark, path, snapshot, slices) -> DataFrame:
-    schema = StructType([*snapshot.schema.fields]).add(SLICE, StringType())
-    if not slices:
+def _scan(
+    spark: SparkSession,
+    path: str,
+    snapshot: Snapshot,
+    slices: Mapping[str, Sequence[Layer]],
+) -> DataFrame:
+    """All rows of the given layers, with the snapshot that each one lies in."""
+    schema = StructType([*snapshot.schema.fields]).add(SLICE, StringType()).add(SNAPSHOT, StringType())
+    folders = [f"{path}/{SNAPSHOT}={x.at}/{name}" for name, layers in slices.items() for x in layers]
+    if not folders:
         return spark.createDataFrame([], schema)
-    folders = [f"{path}/snapshot={at}/{name}" for name, at in slices.items()]
-    return (
-        spark.read.schema(schema).option("basePath", path).parquet(*folders).drop("snapshot")
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
+
+def _rows(
+    spark: SparkSession,
+    path: str,
+    snapshot: Snapshot,
+    slices: Mapping[str, Sequence[Layer]],
+) -> DataFrame:
+    """The rows of the given slices: of a key, those of the last layer that holds it."""
+    names = snapshot.schema.names
+    single = {name: layers for name, layers in slices.items() if len(layers) == 1}
+    layered = {name: layers for name, layers in slices.items() if len(layers) > 1}
+    alone = _scan(spark, path, snapshot, single).select(*names)
+    if not layered:
+        return alone
+    oldest = _scan(spark, path, snapshot, {name: x[:1] for name, x in layered.items()})
+    runs = _scan(spark, path, snapshot, {name: x[1:] for name, x in layered.items()})
+    if any(len(x) > 2 for x in layered.values()):
+        runs = _last_run_per_key(runs, snapshot)
+    merged = upsert(
+        oldest.select(*names),
+        runs.select(*names),
+        snapshot.keys,
+        null_safe=snapshot.null_safe,
+        on_duplicate="allow",
     )
+    return alone.unionByName(merged) if single else merged
+
+
+def _last_run_per_key(runs: DataFrame, snapshot: Snapshot) -> DataFrame:
+    """Rows of each key's last run; a NULL in a key matches nothing, unless it is said to."""
+    keys = list(snapshot.keys)
+    turn = F.substring_index(SNAPSHOT, "-", 1).cast("long")
+    window = Window.partitionBy(F.xxhash64(*keys), *keys)
+
+    def last(df: DataFrame) -> DataFrame:
+        ranked = df.withColumn("_turn", turn).withColumn("_last", F.max("_turn").over(window))
+        return ranked.filter("_turn = _last").select(*snapshot.schema.names)
+
+    if snapshot.null_safe:
+        return last(runs)
+    loose = runs.filter(any_null(keys)).select(*snapshot.schema.names)
+    return last(runs.filter(~any_null(keys))).unionByName(loose)
 
 
 # -- writing ---------------------------------------------------------------
@@ -230,16 +349,21 @@ def load_incremental(
     partition_by: Sequence[str] = (),
     buckets: int = 1,
     bucket_by: Sequence[str] = (),
+    merge_schema: bool = False,
 ) -> int | None:
     """First run: write the table. Later runs: upsert ``df`` into it.
 
-    Returns the new version, or None if the batch was empty. The batch is
-    written once, sliced as the table is. From there on its size is known, and
-    it is joined only to the slices it touches.
+    Returns the new version, or None if the batch was empty. The batch is written
+    once, sliced as the table is, and becomes a run on top of the slices it touches.
+    Only where a slice's last layers are hardly larger than what the batch brings are
+    these rewritten together with it. With ``newer_only`` the rows that are replaced
+    have to be read, so all touched slices are.
 
     A batch whose types differ from the table's is cast first; a value that does
-    not survive the cast fails the load. A table of another format at ``path`` is
-    taken over: its rows become the first version.
+    not survive the cast fails the load. With ``merge_schema`` columns (and fields of
+    structs) that one side lacks are NULL there, and types become the narrowest that
+    holds both; the table is rewritten only if one of its types has to change. A table
+    of another format at ``path`` is taken over: its rows become the first version.
     """
     if on_duplicate not in ("error", "latest", "allow"):
         raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
@@ -263,38 +387,87 @@ def load_incremental(
         current = snapshot_of(spark, path)
     if current is None:
         layout = _layout(df, 1, partition_by, buckets, bucket_by or keys)
-        folder = path
     else:
+        if merge_schema:
+            current = _with_schema(spark, path, current, common_schema(current.schema, df.schema))
+            df = to_schema(df, current.schema)
         if sorted(current.schema.names) != sorted(df.columns):
             raise ValueError(f"batch columns differ from those of {path}")
         if not set(current.partition_by) | set(current.bucket_by) <= set(keys):
             raise ValueError(f"the slices of {path} are not made from the key columns")
+        if (list(current.keys), current.null_safe) != (keys, null_safe) and any(
+            len(layers) > 1 for layers in current.slices.values()
+        ):
+            compact_table(spark, path)
+            current = snapshot_of(spark, path)
         df = _as_typed(df, current.schema)
         layout = replace(current, slices={}, version=current.version + 1)
-        folder = scratch_path(spark, "batch", near=path)
-    staged = _write(df.select(*layout.schema.names), folder, layout)
-    batch = _scan(spark, folder, staged, staged.slices).select(*layout.schema.names)
+    layout = replace(layout, keys=tuple(keys), null_safe=null_safe)
+    made: list[str] = []
     try:
+        staged = _write(df.select(*layout.schema.names), path, layout, made, counted=True)
+        batch = _rows(spark, path, staged, staged.slices)
         if on_duplicate == "error":
             _fail_on_duplicates(batch, keys, null_safe)
         if not staged.slices:
+            _remove_snapshots(spark, path, made)
             return None
         if current is None:
             return _commit(spark, path, staged)
-        touched = {name: at for name, at in current.slices.items() if name in staged.slices}
-        held = _scan(spark, path, current, touched).select(*layout.schema.names)
-        merged = upsert(
-            held, batch, keys, null_safe=null_safe, on_duplicate="allow", newer_only=newer_only
-        )
-        written = _write(merged, path, layout, gathered=not has_shuffle(merged))
-        strays = set(written.slices) - set(staged.slices)
-        if strays:
-            raise RuntimeError(f"the upsert would replace slices it has not read: {strays}")
-        slices = {**current.slices, **written.slices}
-        return _commit(spark, path, replace(written, slices=slices))
-    finally:
-        if current is not None:
-            storage.remove_tree(spark, folder)
+        held = {name: current.slices.get(name, ()) for name in staged.slices}
+        first = {
+            name: 0 if newer_only else _first_to_merge(layers, staged.slices[name][0].rows)
+            for name, layers in held.items()
+        }
+        joined = {name: held[name][first[name] :] for name in held if held[name][first[name] :]}
+        slices = {**current.slices, **{name: held[name] + staged.slices[name] for name in held}}
+        if joined:
+            if newer_only:
+                before = _rows(spark, path, replace(current, keys=layout.keys), joined)
+                met = _rows(spark, path, staged, {name: staged.slices[name] for name in joined})
+                merged = upsert(
+                    before, met, keys, null_safe=null_safe, on_duplicate="allow", newer_only=newer_only
+                )
+            else:
+                both = {name: layers + staged.slices[name] for name, layers in joined.items()}
+                merged = _rows(spark, path, layout, both)
+            written = _write(
+                merged, path, layout, made, gathered=not has_shuffle(merged), counted=True
+            )
+            strays = set(written.slices) - set(joined)
+            if strays:
+                raise RuntimeError(f"the upsert would replace slices it has not read: {strays}")
+            slices |= {name: held[name][: first[name]] + written.slices[name] for name in joined}
+        version = _commit(spark, path, replace(layout, slices=slices))
+    except BaseException:
+        _remove_snapshots(spark, path, made)
+        raise
+    if set(joined) == set(staged.slices):  # nothing reads the batch as it was written
+        _remove_snapshots(spark, path, made[:1])
+    return version
+
+
+def _first_to_merge(layers: Sequence[Layer], rows: int) -> int:
+    """From which layer on a slice is rewritten with ``rows`` new ones: those that are less
+    than ``LAYER_STEP`` times what comes after them. So a slice has no more layers than
+    its rows are powers of that step, and a row is rewritten about as often."""
+    first = len(layers)
+    while first and layers[first - 1].rows <= LAYER_STEP * rows:
+        first -= 1
+        rows += max(layers[first].rows, 0)
+    return first
+
+
+def _with_schema(
+    spark: SparkSession, path: str, current: Snapshot, schema: StructType
+) -> Snapshot:
+    """The table's newest version under a schema that also holds a batch's rows."""
+    if widened(current.schema, schema):
+        rows = to_schema(_rows(spark, path, current, current.slices), schema)
+        layout = replace(current, schema=schema, slices={}, version=current.version + 1)
+        _commit(spark, path, _write(rows, path, layout))
+        return snapshot_of(spark, path)
+    return replace(current, schema=schema)
 
 
 def _as_typed(df: DataFrame, schema: StructType) -> DataFrame:
@@ -317,11 +490,11 @@ def _as_typed(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def compact_table(spark: SparkSession, path: str) -> int:
-    """Rewrite the table in its own layout, joining up the small files of past batches."""
+    """Rewrite the table in its own layout, joining up the runs and small files of past batches."""
     current = snapshot_of(spark, path)
-    df = _scan(spark, path, current, current.slices).select(*current.schema.names)
+    df = _rows(spark, path, current, current.slices)
     layout = replace(current, slices={}, version=current.version + 1)
-    return _commit(spark, path, _write(df, path, layout))
+    return _commit(spark, path, _write(df, path, layout, counted=True))
 
 
 def expire_snapshots(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
@@ -329,12 +502,15 @@ def expire_snapshots(spark: SparkSession, path: str, keep: int = 2) -> list[int]
     known = versions(spark, path)
     old, kept = known[:-keep], known[-keep:]
     used = {
-        (at, name) for v in kept for name, at in snapshot_of(spark, path, v).slices.items()
+        (x.at, name)
+        for v in kept
+        for name, layers in snapshot_of(spark, path, v).slices.items()
+        for x in layers
     }
     for version in old:
         storage.remove_tree(spark, _commit_file(path, version))
     for folder in storage.child_names(spark, path):
-        at = folder.partition("snapshot=")[2]
+        at = folder.partition(f"{SNAPSHOT}=")[2]
         if not at or int(at.partition("-")[0]) > known[-1]:
             continue  # not a snapshot, or one that is being written
         names = storage.child_names(spark, f"{path}/{folder}")
@@ -357,7 +533,7 @@ def _fail_on_duplicates(batch: DataFrame, keys: list[str], null_safe: bool) -> N
 def _layout(df, version, partition_by, buckets, bucket_by) -> Snapshot:
     if buckets > 1 and not bucket_by:
         raise ValueError("buckets need bucket_by")
-    for name in (SLICE, "snapshot"):
+    for name in (SLICE, SNAPSHOT):
         if name in df.columns:
             raise ValueError(f"the column name {name!r} is taken by the table layout")
     return Snapshot(
@@ -365,21 +541,42 @@ def _layout(df, version, partition_by, buckets, bucket_by) -> Snapshot:
     )
 
 
-def _write(df: DataFrame, path: str, snapshot: Snapshot, gathered: bool = False) -> Snapshot:
-    """Write a version's files.
+def _write(
+    df: DataFrame,
+    path: str,
+    snapshot: Snapshot,
+    made: list[str] | None = None,
+    gathered: bool = False,
+    counted: bool = False,
+) -> Snapshot:
+    """Write a version's files; ``made`` learns the snapshot's name before it is written.
 
     The rebalance brings a slice's rows together; AQE then splits a large slice
     over many tasks. It is left out where the rows come ``gathered``, straight
-    from a scan of files that each belong to one slice.
+    from a scan of files that each belong to one slice. Rows are counted from the
+    footers of the files.
     """
+    spark = df.sparkSession
     at = f"{snapshot.version}-{uuid.uuid4().hex[:12]}"
-    folder = f"{path}/snapshot={at}"
+    if made is not None:
+        made.append(at)
+    folder = f"{path}/{SNAPSHOT}={at}"
     labelled = df.withColumn(SLICE, snapshot.slice_label())
     if snapshot.sliced and not gathered:
         labelled = labelled.hint("rebalance", SLICE)
     labelled.write.partitionBy(SLICE).parquet(folder)
-    names = [n for n in storage.child_names(df.sparkSession, folder) if "=" in n]
-    return replace(snapshot, slices={name: at for name in names})
+    names = [n for n in storage.child_names(spark, folder) if "=" in n]
+    rows: dict[str, int] = {}
+    if counted and names:
+        files = spark.read.schema(StructType().add(SLICE, StringType())).parquet(folder)
+        rows = dict(files.groupBy(SLICE).count().collect())
+    layers = {n: Layer(at, rows.get(unquote(n.partition("=")[2]), -1)) for n in names}
+    return replace(snapshot, slices={name: (layer,) for name, layer in layers.items()})
+
+
+def _remove_snapshots(spark: SparkSession, path: str, made: Sequence[str]) -> None:
+    for at in made:
+        storage.remove_tree(spark, f"{path}/{SNAPSHOT}={at}")
 
 
 def _commit(spark: SparkSession, path: str, snapshot: Snapshot) -> int:
