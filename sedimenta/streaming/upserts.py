@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from sedimenta.plans.enrichment import JOBS, enrich, load
 from sedimenta.sources import storage
 from sedimenta.sources.landing import read_landing
-from sedimenta.sources.tables import load_incremental
+from sedimenta.sources.tables import load_incremental, read_table, table_exists
 
 
 def stream_upsert(
@@ -74,9 +74,11 @@ def stream_enrichment(
     )
 
     def merge(batch: DataFrame, _: int) -> None:
+        if not available_now:
+            _fail_on_replaced(spark, landing, ledger)
         rows = enrich(job, batch, on_duplicate=options.get("on_duplicate"))
         load(job, rows, target, **options)
-        batch.select(*_FILE).distinct().write.mode("append").parquet(ledger)
+        load_incremental(batch.select(*_FILE).distinct(), ledger, _FILE[:1], on_duplicate="allow")
 
     return _start(documents, merge, checkpoint, available_now)
 
@@ -85,14 +87,20 @@ _FILE = ("file_path", "file_modification_time")
 
 
 def _fail_on_replaced(spark: SparkSession, landing: str, ledger: str) -> None:
-    if not storage.exists(spark, ledger) or not storage.exists(spark, landing):
+    """Compare the folder's listing with the ledger, a keyed table with a row for each file.
+
+    A file that replaced another is newer than the oldest one taken; the rest of the
+    listing does not reach the join.
+    """
+    if not table_exists(spark, ledger) or not storage.exists(spark, landing):
         return
-    taken = spark.read.schema("file_path string, file_modification_time timestamp").parquet(ledger)
-    last = taken.groupBy("file_path").agg(F.max("file_modification_time").alias("taken"))
+    taken = read_table(spark, ledger).withColumnRenamed("file_modification_time", "taken")
     # only the listing is read, not the files
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing)
     now = files.select(*[f"_metadata.{c}" for c in _FILE])
-    changed = now.join(last, "file_path").filter("file_modification_time > taken")
+    oldest = taken.agg(F.min("taken"))
+    recent = now.filter(F.col("file_modification_time") > oldest.scalar())
+    changed = recent.join(taken, "file_path").filter("file_modification_time > taken")
     example = changed.select("file_path").head(1)
     if example:
         raise ValueError(f"replaced under its own name since the stream took it: {example[0][0]}")

@@ -200,6 +200,30 @@ def test_a_replaced_file_stops_the_stream(spark, landing, tmp_path, rows):
         run()
 
 
+def test_a_running_stream_sees_a_replaced_file(spark, landing, tmp_path, rows):
+    def event(i, value):
+        return {"events": [{"event": i, "lastUpdated": "2024-01-01T00:00:00", "dataValues": [{"dataElement": "d", "value": value}]}]}
+
+    root = landing("events/u1_1.json", event("1", "a"))
+    target, checkpoint = str(tmp_path / "t"), str(tmp_path / "c")
+    query = stream_enrichment(spark, "events", f"{root}/events", target, checkpoint, available_now=False)
+    try:
+        query.processAllAvailable()
+        landing("events/u1_2.json", event("2", "b"))
+        query.processAllAvailable()
+        assert rows(sd.read_table(spark, target), "event") == [("1",), ("2",)]
+        landing("events/u1_1.json", event("3", "lost"))
+        later = time.time() - 1
+        os.utime(tmp_path / "raw/events/u1_1.json", (later + 60, later + 60))
+        landing("events/u1_3.json", event("4", "d"))
+        with pytest.raises(Exception, match="u1_1.json"):
+            query.processAllAvailable()
+    finally:
+        query.stop()
+    ledger = sd.read_table(spark, f"{checkpoint}-files")
+    assert ledger.count() == 2
+
+
 # -- small ones -------------------------------------------------------------------
 
 

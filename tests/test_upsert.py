@@ -189,6 +189,28 @@ def test_request_plan(spark, rows):
     ]
 
 
+def test_a_request_needs_all_its_keys(spark, rows):
+    keys = spark.createDataFrame([("g1", "d1"), ("g2", None), (None, None)], "g STRING, d STRING")
+    names = {"g": "group", "d": "set"}
+    with pytest.raises(Exception, match="needs every key of g, d"):
+        sd.request_plan(keys, names).collect()
+    with pytest.raises(Exception, match="needs every key"):
+        sd.request_plan(keys, names).select("file_name").collect()
+    assert rows(sd.request_plan(keys, names, nulls="skip"), "file_name") == [("g1_d1.json",)]
+    with pytest.raises(ValueError, match="nulls"):
+        sd.request_plan(keys, names, nulls="keep")
+
+
+def test_different_keys_never_share_a_file(spark, rows):
+    parts = ["a", "a_b", "b", "b_c", "c", "_", "", "a%5Fb", "%", "a/b", "a&x=1"]
+    keys = spark.createDataFrame([(g, d) for g in parts for d in parts], "g STRING, d STRING")
+    for poll in (None, "1", "b"):
+        plan = sd.request_plan(keys, {"g": "group", "d": "set"}, poll=poll)
+        names = [r[0] for r in rows(plan, "file_name")]
+        assert len(set(names)) == len(parts) ** 2 and not any("/" in n for n in names)
+        assert len({r[0] for r in rows(plan, "parameters")}) == len(parts) ** 2
+
+
 def test_merge_into_needs_a_row_level_table(spark, target):
     target.write.mode("overwrite").format("parquet").saveAsTable("merge_target")
     try:
