@@ -15,6 +15,7 @@ from sedimenta.operators.dimensions import (
     dimension_members_2hop,
     members_of_lists,
 )
+from sedimenta.operators.star import Link, star_report
 from sedimenta.session import freed_scratch, scratch_path
 from sedimenta.sources import storage
 from sedimenta.sources.tables import read_table, write_curated
@@ -155,6 +156,9 @@ FACT_LINKS = {
         "id": ["dataelement"],
     },
 }
+_FACT = "DataElement Data Values"
+#: Places after the point of the values that a report adds up.
+VALUE_PLACES = 6
 
 
 def curate(name: str, tables: Mapping[str, DataFrame], strategy: str = "auto") -> DataFrame:
@@ -162,6 +166,37 @@ def curate(name: str, tables: Mapping[str, DataFrame], strategy: str = "auto") -
     return JOBS[name].build(tables, strategy)
 
 
+def star(
+    spark: SparkSession,
+    curated_root: str,
+    names: Sequence[str],
+    by: Sequence[str] = ("period",),
+    sharing: str = "each",
+) -> DataFrame:
+    """Data values by the groups of several curated dimensions, as ``star_report`` counts them.
+
+    ``names`` are those of dimensions. ``n_facts`` counts values, ``value`` adds up those
+    that are numbers, as decimals with ``VALUE_PLACES`` places. What :func:`run_dimensions`
+    and the values' own job have written is read.
+    """
+    wanted = [JOBS[name] for name in names]
+    folders = {
+        sink: (key, member)
+        for key, members in FACT_LINKS.items()
+        for member, sinks in members.items()
+        for sink in sinks
+    }
+    unknown = [d.name for d in wanted if not isinstance(d, Dimension)]
+    if unknown:
+        raise ValueError(f"no dimension with groups: {', '.join(unknown)}")
+    links = {
+        d.sink: Link(spark.read.parquet(f"{curated_root}/{d.sink}"), *folders[d.sink]) for d in wanted
+    }
+    fact = spark.read.parquet(f"{curated_root}/{JOBS[_FACT].sink}")
+    number = F.col("value").try_cast(f"decimal(28,{VALUE_PLACES})")
+    return star_report(fact.withColumn("value", number), links, ["value"], by, sharing)
+
+
 def run_curated(
     spark: SparkSession, name: str, enriched_root: str, curated_root: str, strategy: str = "auto"
 ) -> str:
