@@ -257,8 +257,23 @@ def rare_pairs(texts: DataFrame, roots: DataFrame, size: int, threshold: float)
         F.col("at") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1
     )
     placed = early.join(roots, "doc").select("token", "doc", "n", "at", "root")
+    # tokens of the very same texts bring up the same pairs: one of them stands for all,
+    # at the first place that any of them has in each text
+    mark = F.xxhash64("doc")
+    holders = placed.groupBy("token").agg(
+        F.bit_xor(mark).alias("set_a"),
+        F.bit_xor(F.xxhash64(mark, F.lit(1))).alias("set_b"),
+        F.min("root").alias("low"),
+        F.max("root").alias("high"),
+    )
+    mixed = holders.filter("low < high").select("token", "set_a", "set_b")
+    posted = (
+        placed.join(mixed.hint("merge"), "token")
+        .groupBy("set_a", "set_b", "doc")
+        .agg(F.min("n").alias("n"), F.min("at").alias("at"), F.min("root").alias("root"))
+    )
     left, right = (
-        placed.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("doc", "n", "at", "root")])
+        posted.select("set_a", "set_b", *[F.col(c).alias(f"{c}_{side}") for c in ("doc", "n", "at", "root")])
         for side in "uv"
     )
     rest = 1 + F.least(F.col("n_u") - F.col("at_u"), F.col("n_v") - F.col("at_v"))
@@ -269,7 +284,8 @@ def rare_pairs(texts: DataFrame, roots: DataFrame, size: int, threshold: float)
         & (F.least("n_u", "n_v") >= F.greatest("n_u", "n_v") * threshold - 1e-9)
         & (rest >= whole * (threshold / (1 + threshold)) - 1e-9)
     )
-    pairs = left.hint("merge").join(right, (left["token"] == right["token"]) & possible)
+    same = (left["set_a"] == right["set_a"]) & (left["set_b"] == right["set_b"])
+    pairs = left.hint("merge").join(right, same & possible)
     return pairs.select(F.col("doc_u").alias("u"), F.col("doc_v").alias("v")).distinct()
 
 
