@@ -42,7 +42,8 @@ def ready(spark: SparkSession) -> None:
                 out.write(file, file.relative_to(package.parent))
         context.addPyFile(str(archive))
         _SHIPPED.add(context.applicationId)
-    if int(spark.conf.get(_BATCH_SETTING, "10000")) > BATCH_ROWS:
+    held = int(spark.conf.get(_BATCH_SETTING, "10000"))
+    if not 0 < held <= BATCH_ROWS:  # 0 or less sets no limit
         spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
 
 
@@ -128,12 +129,15 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``limit`` bytes; a longer text stands alone."""
+def slices(
+    offsets: np.ndarray, limit: int = SLICE_BYTES, most: int | None = None
+) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``limit`` bytes, and of ``most`` texts at the most; a longer
+    text stands alone."""
     first, n = 0, len(offsets) - 1
     while first < n:
         last = int(np.searchsorted(offsets, offsets[first] + limit, side="right")) - 1
-        last = min(max(last, first + 1), n)
+        last = min(max(last, first + 1), n, n if most is None else first + most)
         yield first, last
         first = last
 

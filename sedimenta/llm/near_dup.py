@@ -58,7 +58,7 @@ THRESHOLD = 0.8
 SMALL = 16
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-#: Bits that number the texts of one slice.
+#: Bits that number the texts of one slice, which has no more texts than they can.
 TEXT_BITS = 14
 #: Bytes of text that are signed together.
 SIGN_BYTES = 4 << 20
@@ -140,12 +140,12 @@ def bag_minhash(
 def _sign(size: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8(batch.column(1))
+            data, offsets = utf8(batch.column(2))
             n = batch.num_rows
             n_shingles = np.zeros(n, np.int64)
             digest = np.zeros((n, 2), np.uint64)
             keys = np.zeros((n, bands), np.uint64)
-            for a, b in slices(offsets, SIGN_BYTES):
+            for a, b in slices(offsets, SIGN_BYTES, 1 << TEXT_BITS):
                 part = offsets[a : b + 1] - offsets[a]
                 text, shingle, weight = multisets(data[offsets[a] : offsets[b]], part, size)
                 if not len(text):
@@ -166,18 +166,19 @@ def _sign(size: int, bands: int, rows: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array(n_shingles),
                     pa.array(digest[:, 0].view(np.int64)),
                     pa.array(digest[:, 1].view(np.int64)),
                     pa.ListArray.from_arrays(places, pa.array(keys.ravel().view(np.int64))),
                 ],
-                names=["doc", "n_shingles", "digest_a", "digest_b", "bands"],
+                names=["doc", "part", "n_shingles", "digest_a", "digest_b", "bands"],
             )
 
     return run
 
 
-_SIGNED = "doc long, n_shingles long, digest_a long, digest_b long, bands array<long>"
+_SIGNED = "doc long, part long, n_shingles long, digest_a long, digest_b long, bands array<long>"
 
 
 # --- verification -------------------------------------------------------------------
@@ -205,7 +206,7 @@ def _verify(size: int, threshold: float):
         for batch in batches:
             left, right = utf8(batch.column(2)), utf8(batch.column(3))
             found = np.zeros(batch.num_rows, bool)
-            for a, b in slices(left[1] + right[1]):
+            for a, b in slices(left[1] + right[1], most=1 << TEXT_BITS):
                 one, two = (
                     (data[at[a] : at[b]], at[a : b + 1] - at[a]) for data, at in (left, right)
                 )
@@ -224,7 +225,7 @@ def _tokens(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(1))
-            for a, b in slices(offsets):
+            for a, b in slices(offsets, most=1 << TEXT_BITS):
                 part = offsets[a : b + 1] - offsets[a]
                 text, shingle, weight = multisets(data[offsets[a] : offsets[b]], part, size)
                 total = np.bincount(text, weight, b - a).astype(np.int32)
@@ -328,40 +329,32 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 # --- the operator -------------------------------------------------------------------
 
 
-def near_duplicates(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
+def row_classes(
+    texts: DataFrame,
+    scratch: Scratch,
     size: int = SHINGLE,
     threshold: float = THRESHOLD,
     bands: int = BANDS,
     rows: int = ROWS,
-) -> DataFrame:
-    """One row per id: ``doc_id``, ``class_id`` (the smallest id that links lead to, itself if
-    there is none) and ``n_shingles``.
+) -> tuple[DataFrame, DataFrame]:
+    """Classes of texts, whatever their ids are.
 
-    Texts are compared in lower case by words (letters and digits). A text of fewer words
-    than ``size`` is one shingle; a text without words (NULL, empty) is in no class but
-    its own. Rows with a NULL id take no part. Rows with one id are one document: if
-    their texts differ, it has the links of them all. Other columns are not read.
+    ``texts`` has ``doc``, ``part`` (a hash of the text, to tell the texts of one id apart)
+    and ``text``. Gives ``doc``, ``part``, ``root`` of every text with words, where equal
+    roots are one class, and the signed rows (with ``n_shingles``), both as written tables.
     """
-    spark = docs.sparkSession
-    ready(spark)
-    scratch = Scratch(spark, "near")
-    texts = docs.select(
-        quoted(id_col).cast("long").alias("doc"), F.lower(text_of(docs, text_col)).alias("text")
-    ).filter("doc IS NOT NULL")
     signed = scratch.keep(texts.mapInArrow(_sign(size, bands, rows), _SIGNED))
     worded = signed.filter("n_shingles > 0")
     exact = ["digest_a", "digest_b"]
-    reps = worded.groupBy(*exact).agg(F.min("doc").alias("rep"))
-    alike = scratch.keep(worded.select("doc", *exact).join(reps, exact).select("doc", "rep").distinct())
+    # a node is a multiset of shingles; one of the texts that have it stands for it
+    firsts = worded.groupBy(*exact).agg(F.min_by("part", "doc").alias("part"), F.min("doc").alias("doc"))
+    reps = scratch.keep(firsts.withColumn("node", F.monotonically_increasing_id()))
+    alike = scratch.keep(worded.join(reps.select(*exact, "node"), exact).select("doc", "part", "node").distinct())
 
     # one row per representative and band
-    chosen = alike.filter("doc = rep").select("doc").distinct()
-    banded = signed.filter("n_shingles > 0").join(chosen, "doc", "left_semi")
+    banded = worded.join(reps.select("doc", "part", "node"), ["doc", "part"])
     buckets = scratch.keep(
-        banded.select("doc", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
+        banded.select(F.col("node").alias("doc"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
         .distinct()
     )
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
@@ -375,9 +368,12 @@ def near_duplicates(
     )
     scratch.free(buckets)
     # whole texts are moved once, and kept for those that share a bucket with another
-    held = scratch.keep(
-        texts.join(crowded.select("doc").distinct().hint("merge"), "doc", "left_semi")
-    )
+    met = crowded.select(F.col("doc").alias("node")).distinct()
+    wanted = reps.join(met, "node", "left_semi").select("doc", "part", "node")
+    whole = texts.join(wanted.hint("merge"), ["doc", "part"]).select(F.col("node").alias("doc"), "text")
+    again = signed.groupBy("doc", "part").count().filter("count > 1")
+    held = scratch.keep(whole.dropDuplicates(["doc"]) if again.limit(1).count() else whole)
+    scratch.free(reps)
 
     def linked(pairs: DataFrame) -> DataFrame:
         """The pairs of representatives that are as similar as asked."""
@@ -435,18 +431,44 @@ def near_duplicates(
     edges = more(edges, direct.union(rare))
     scratch.free(rest, many, crowded, held)
     roots = components(edges, scratch)
+    own = alike.join(roots, "node", "left").select("doc", "part", F.coalesce("root", "node").alias("root"))
+    out = scratch.keep(own)
+    scratch.free(alike, edges)
+    return out, signed
+
+
+def _parts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.lower(text_of(docs, text_col))
+    return docs.select(
+        quoted(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("part"), text.alias("text")
+    ).filter("doc IS NOT NULL")
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings
+) -> DataFrame:
+    """One row per id: ``doc_id``, ``class_id`` (the smallest id that links lead to, itself if
+    there is none) and ``n_shingles``.
+
+    Texts are compared in lower case by words (letters and digits). A text of fewer words
+    than ``size`` is one shingle; a text without words (NULL, empty) is in no class but
+    its own. Very long texts are compared whole. Rows with a NULL id take no part. Rows
+    with one id are one document: if their texts differ, it has the links of them all.
+    Other columns are not read. ``settings`` are those of :func:`row_classes`.
+    """
+    ready(docs.sparkSession)
+    scratch = Scratch(docs.sparkSession, "near")
+    own, signed = row_classes(_parts(docs, id_col, text_col), scratch, **settings)
     # an id with several texts ties their classes together
-    own = alike.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "doc", "rep", F.coalesce("root", "rep").alias("root")
-    )
     several = own.groupBy("doc").agg(F.min("root").alias("u"), F.max("root").alias("v")).filter("u < v")
     ties = own.join(several.select("doc", F.col("u").alias("to")), "doc")
     tied = components(ties.select(F.col("root").alias("u"), F.col("to").alias("v")), scratch)
-    classes = (
-        own.join(tied.select(F.col("node").alias("root"), F.col("root").alias("end")), "root", "left")
-        .groupBy("doc")
-        .agg(F.min(F.coalesce("end", "root")).alias("class_id"))
-    )
+    ends = own.join(
+        tied.select(F.col("node").alias("root"), F.col("root").alias("end")), "root", "left"
+    ).select("doc", F.coalesce("end", "root").alias("end")).distinct()
+    ended = scratch.keep(ends)
+    least = scratch.keep(ended.groupBy("end").agg(F.min("doc").alias("class_id")))
+    classes = ended.join(least, "end").select("doc", "class_id")
     every = signed.groupBy("doc").agg(F.max("n_shingles").alias("n_shingles"))
     return every.join(classes, "doc", "left").select(
         F.col("doc").alias("doc_id"),
@@ -458,15 +480,29 @@ def near_duplicates(
 def keep_one_of_each(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings
 ) -> DataFrame:
-    """``docs`` without the rows whose class has a smaller id; rows without id stay.
+    """``docs`` with one row of each class of texts, that of the smallest id.
 
-    Of several rows with the id that stays, the one with the smallest text hash does.
+    Rows are told apart by id and text, so of an id with unrelated texts each text stays
+    unless it is a near copy of another row's. Rows that repeat id and text are one row,
+    also where the text has no words; other texts without words and rows with a NULL id
+    all stay.
     """
-    classes = near_duplicates(docs, id_col, text_col, **settings)
-    doc, turn = fresh(docs, "doc", "turn")
-    gone = classes.filter("doc_id <> class_id").select(F.col("doc_id").alias(doc))
-    stay = docs.withColumn(doc, quoted(id_col).cast("long")).join(gone.hint("merge"), doc, "left_anti")
-    order = Window.partitionBy(quoted(doc)).orderBy(F.xxhash64(text_of(docs, text_col)))
+    ready(docs.sparkSession)
+    scratch = Scratch(docs.sparkSession, "near")
+    own, signed = row_classes(_parts(docs, id_col, text_col), scratch, **settings)
+    scratch.free(signed)
+    firsts = own.groupBy("root").agg(F.min_by("part", "doc").alias("kept_part"), F.min("doc").alias("kept"))
+    first = (F.col("doc") == F.col("kept")) & (F.col("part") == F.col("kept_part"))
+    doc, part, turn = fresh(docs, "doc", "part", "turn")
+    firsts = scratch.keep(firsts)
+    later = own.join(firsts, "root").filter(~first)
+    gone = scratch.keep(later.select(F.col("doc").alias(doc), F.col("part").alias(part)).distinct())
+    scratch.free(own, firsts)
+    named = docs.withColumn(doc, quoted(id_col).cast("long")).withColumn(
+        part, F.xxhash64(F.lower(text_of(docs, text_col)))
+    )
+    stay = named.join(gone.hint("merge"), [doc, part], "left_anti")
+    order = Window.partitionBy(quoted(doc), quoted(part)).orderBy(F.xxhash64(text_of(docs, text_col)))
     ranked = stay.filter(quoted(doc).isNotNull()).withColumn(turn, F.row_number().over(order))
     columns = [quoted(c) for c in docs.columns]
     return ranked.filter(quoted(turn) == 1).select(*columns).unionByName(

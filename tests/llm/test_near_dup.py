@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 
-from sedimenta.llm.common import utf8, word_hashes
+from sedimenta.llm.common import slices, utf8, word_hashes
 from sedimenta.llm.near_dup import bag_minhash, components, keep_one_of_each, near_duplicates, similarities
 from sedimenta.llm.common import Scratch
 
@@ -124,3 +124,44 @@ def test_one_id_with_two_texts_ties_their_classes(documents):
     one, two = "a b c d e f g h", "q r s t u v w x"
     docs = documents((1, one), (2, two), (3, one), (3, two))
     assert classes(near_duplicates(docs)) == {1: 1, 2: 1, 3: 1}
+
+
+def test_an_id_with_unrelated_texts_loses_none(documents):
+    one, two = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    docs = documents((1, one), (1, two), (2, one), (3, two), (4, two + " more"), (5, "!"), (5, "?"), (5, "?"), (None, one))
+    kept = sorted(((r["doc_id"], r["text"]) for r in keep_one_of_each(docs).collect()), key=repr)
+    assert kept == sorted([(1, one), (1, two), (5, "!"), (5, "?"), (None, one)], key=repr)
+    assert classes(near_duplicates(docs)) == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5}
+
+
+def test_a_repeated_row_is_no_hot_spot(documents):
+    text = " ".join(f"w{i}" for i in range(80))
+    docs = documents(*[(7, text)] * 400, (8, text + " end"), (9, "apart"))
+    assert classes(near_duplicates(docs)) == {7: 7, 8: 7, 9: 9}
+    assert sorted(r["doc_id"] for r in keep_one_of_each(docs).collect()) == [7, 9]
+
+
+def test_many_short_texts_in_a_batch_without_limit(spark):
+    """More texts in a slice than their number has bits for."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    docs = spark.range(40_000).selectExpr("id AS doc_id", "concat('w', id) AS text").coalesce(1)
+    try:
+        for limit in ("0", "100000"):
+            spark.conf.set(setting, limit)
+            found = near_duplicates(docs)
+            assert found.filter("n_shingles <> 1 OR class_id <> doc_id").count() == 0
+            assert found.count() == 40_000
+        data, offsets = utf8(pa.array([f"w{i}" for i in range(40_000)]))
+        assert all(b - a <= 1 << 14 for a, b in slices(offsets, most=1 << 14))
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_very_long_texts_are_compared_whole(documents):
+    rng = random.Random(6)
+    words = [f"w{rng.randrange(3000)}" for _ in range(120_000)]
+    other = words[:60_000] + [f"x{i}" for i in range(60_000)]
+    near = [w if i % 100 else "changed" for i, w in enumerate(words)]
+    docs = documents((1, " ".join(words)), (2, " ".join(other)), (3, " ".join(near)))
+    assert classes(near_duplicates(docs)) == {1: 1, 2: 2, 3: 1}
