@@ -1,12 +1,20 @@
 """Repeated runs of lines, found by winnowing; DataFrame functions only.
 
 Lines are hashed. From each line on, the shortest run of lines with at least
-``min_words`` words is a window; the smallest line hash in a window is its
-fingerprint. Equal windows choose the same line, so every repeated run of
-``min_words`` words or more shares a fingerprint with its first occurrence.
-Windows whose fingerprint is at one place only are dropped after one narrow aggregation.
-The others are compared as whole windows, by two keys of all their lines, and all lines
-of a window that occurred earlier go. Earlier means: smaller doc_id, then smaller line.
+``min_words`` words is a window, and so is the shortest such run that ends at a line; the
+smallest line hash in a window is its fingerprint. Equal windows choose the same line, so
+every repeated run of ``min_words`` words or more shares a fingerprint with its earlier
+occurrence, and windows whose fingerprint is at one place only are dropped after one narrow
+aggregation.
+
+The places of a fingerprint are joined to the first place of the same window (told apart
+by two keys of all its lines), and a match is extended both ways by the windows that
+reach on from its lines, forwards and backwards. That takes in exactly the maximal runs of
+``min_words`` words or more that occur earlier, whichever earlier place each is at: a line
+of such a run lies in the window from itself on, or in the one that ends at it, or else
+both sides of it are short and it lies in the window from the run's first line on; all of
+these are inside the run, so they occurred earlier too. Conversely a window that occurred
+earlier is part of such a run. Earlier means: smaller doc_id, then smaller line.
 """
 
 from __future__ import annotations
@@ -19,6 +27,8 @@ from sedimenta.llm.common import Scratch, fresh, quoted, text_of
 #: What is taken off both ends of a line before it is compared.
 BLANK = " \t\r"
 _LAST_ID = (1 << 63) - 1
+#: A window as a number: its first line times this, and its lines.
+_SPAN = 1 << 32
 
 
 def _lines(text: Column) -> Column:
@@ -34,7 +44,11 @@ def _words(line: Column) -> Column:
 
 
 def _windows(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """A row per window: document, first line, number of lines, fingerprint, keys."""
+    """A row per window: document, first line, number of lines, fingerprint, keys.
+
+    A window is written as one number, its first line and how many lines it has, so that
+    one which is both kinds is one row.
+    """
     text = text_of(docs, text_col)
     bare = F.filter(F.transform(_lines(text), _bare), lambda x: x != "")
     base = docs.select(
@@ -50,9 +64,8 @@ def _windows(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> Dat
         ).alias("lines"),
     )
 
-    def reach(lines: Column, i: Column) -> Column:
-        """Lines of the window that begins at ``i``; 0 if the rest is too short."""
-        rest = F.slice(lines, i + 1, F.lit(min_words))
+    def reach(rest: Column) -> Column:
+        """How many of the lines make up a window; 0 if all are too few."""
         zero = F.struct(F.lit(0).alias("w"), F.lit(0).alias("k"))
         return F.aggregate(
             rest,
@@ -63,17 +76,26 @@ def _windows(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> Dat
             lambda acc: F.when(acc["w"] >= min_words, acc["k"]).otherwise(0),
         )
 
-    spans = base.select(
+    def onward(x: Column, i: Column) -> Column:
+        rest = F.slice(F.col("lines"), i + 1, F.lit(min_words))
+        n = F.when(x["w"] >= min_words, 1).otherwise(reach(rest))
+        return F.when(n > 0, i.cast("long") * _SPAN + n)
+
+    def backward(x: Column, i: Column) -> Column:
+        start = F.greatest(i - min_words + 1, F.lit(0))
+        rest = F.reverse(F.slice(F.col("lines"), start + 1, i - start + 1))
+        n = F.when(x["w"] >= min_words, 1).otherwise(reach(rest))
+        return F.when(n > 0, (i - n + 1).cast("long") * _SPAN + n)
+
+    both = F.array_union(F.transform("lines", onward), F.transform("lines", backward))
+    spans = base.select("doc", "content", "lines", F.explode(both).alias("span")).filter("span IS NOT NULL")
+    spans = spans.select(
         "doc",
         "content",
         "lines",
-        F.posexplode(
-            F.transform(
-                F.col("lines"),
-                lambda x, i: F.when(x["w"] >= min_words, 1).otherwise(reach(F.col("lines"), i)),
-            )
-        ).alias("first", "n"),
-    ).filter("n > 0")
+        F.shiftright("span", 32).cast("int").alias("first"),
+        F.pmod("span", F.lit(_SPAN)).cast("int").alias("n"),
+    )
     part = F.slice("lines", F.col("first") + 1, F.col("n"))
     chosen = spans.withColumns(
         {
@@ -107,12 +129,14 @@ def drop_repeated_lines(
 ) -> DataFrame:
     """``docs`` without the later occurrences of repeated runs of lines.
 
-    All columns stay; ``text_col`` loses lines and ``removed`` says how many. Lines are
+    Of every run of at least ``min_words`` words that occurs at an earlier place too, and
+    is as long as the two places agree, all lines go. All columns stay; ``text_col`` loses lines and ``removed`` says how many. Lines are
     compared without blanks at their ends; blank lines are never counted nor removed.
     A NULL text stays NULL, and an empty one empty; a text all of whose lines go is
     empty. A document without id comes after all others. Rows with one id and one text
     are the same document and are treated alike. A run shorter than ``min_words`` words
-    stays, however often it occurs; words are counted by single spaces. An extra column
+    stays, however often it occurs; words are counted by single spaces. Very long texts
+    are compared whole; a task holds one text's lines at a time. An extra column
     with the name of an inner one does no harm; one named ``removed`` is an error.
     """
     if removed in docs.columns:
@@ -126,15 +150,18 @@ def drop_repeated_lines(
         .filter("low < high")
         .select("mark")
     )
-    matched = scratch.keep(windows.join(shared, "mark", "left_semi").drop("mark", "anchor"))
+    matched = scratch.keep(windows.join(shared, "mark", "left_semi").drop("anchor"))
     scratch.free(windows)
+    same = ["mark", "key_a", "key_b"]
     firsts = (
-        matched.groupBy("key_a", "key_b")
+        matched.groupBy(*same)
         .agg(F.min(_order()).alias("low"), F.max(_order()).alias("high"))
         .filter("low < high")
         .drop("high")
     )
-    later = matched.join(firsts, ["key_a", "key_b"]).filter(_order() > F.col("low"))
+    # written, so that a hot window's places are split over the tasks of the join
+    firsts = scratch.keep(firsts)
+    later = matched.join(firsts, same).filter(_order() > F.col("low"))
     doc, content, spans, lines, places, gone = fresh(
         docs, "doc", "content", "spans", "lines", "places", "gone"
     )
@@ -143,7 +170,7 @@ def drop_repeated_lines(
         .agg(F.collect_set(F.struct("first", "n")).alias("spans"))
         .toDF(doc, content, spans)
     )
-    scratch.free(matched)
+    scratch.free(matched, firsts)
     text = text_of(docs, text_col)
     # by shuffle at every size: the table of repeats grows with the input
     joined = docs.withColumns(
@@ -182,7 +209,8 @@ def drop_repeated_lines(
     )
 
 
-#: The same in DuckDB's SQL, for a table ``{docs}``; every window is compared whole.
+#: The same in DuckDB's SQL, for a table ``{docs}``: runs that are repeated, from the shortest
+#: ones on that are long enough, whichever of their ends these begin at.
 SQL = """
 WITH split AS (
   SELECT doc_id, text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -201,6 +229,10 @@ WITH split AS (
   SELECT a.doc_id, a.i, b.i AS last
   FROM summed a ASOF JOIN summed b
     ON a.doc_id = b.doc_id AND a.upto - a.w + {min_words} <= b.upto
+  UNION
+  SELECT b.doc_id, a.i, b.i AS last
+  FROM summed b ASOF JOIN summed a
+    ON a.doc_id = b.doc_id AND b.upto - {min_words} >= a.upto - a.w
 ), keys AS (
   SELECT s.doc_id, s.i, s.last, string_agg(c.line, chr(10) ORDER BY c.i) AS content
   FROM spans s JOIN counted c ON c.doc_id = s.doc_id AND c.i BETWEEN s.i AND s.last

@@ -6,29 +6,28 @@ from sedimenta.llm.line_dedup import BLANK, drop_repeated_lines
 
 
 def brute(docs: list[tuple[int, str | None]], min_words: int) -> dict[int, tuple[str | None, int]]:
-    """Every window of every document against all earlier ones."""
-    seen, gone = set(), {}
-    lines_of = {}
-    for i, text in sorted(docs):
-        lines = (text or "").split("\n")
-        places = [p for p, x in enumerate(lines) if x.strip(BLANK)]
-        bare = [lines[p].strip(BLANK) for p in places]
-        lines_of[i] = lines
-        lost = set()
-        for a in range(len(bare)):
-            words, b = 0, a
-            while b < len(bare) and words < min_words:
-                words += bare[b].count(" ") + 1
-                b += 1
-            if words < min_words:
-                continue
-            key = tuple(bare[a:b])
-            if key in seen:
-                lost |= set(range(a, b))
-            seen.add(key)
-        gone[i] = {places[p] for p in lost}
+    """All runs of equal lines between any two places, as long as they go on; the later one goes."""
+    order = sorted(docs)
+    lines = {i: (text or "").split("\n") for i, text in order}
+    places = {i: [p for p, x in enumerate(v) if x.strip(BLANK)] for i, v in lines.items()}
+    bare = {i: [lines[i][p].strip(BLANK) for p in v] for i, v in places.items()}
+    where = {}
+    for i, v in bare.items():
+        for p, x in enumerate(v):
+            where.setdefault(x, []).append((i, p))
+    gone = {i: set() for i in bare}
+    for i, v in bare.items():
+        for p, x in enumerate(v):
+            for j, q in where[x]:
+                if (j, q) >= (i, p) or (p and q and v[p - 1] == bare[j][q - 1]):
+                    continue  # not earlier, or inside a run that began before
+                n = 0
+                while p + n < len(v) and q + n < len(bare[j]) and v[p + n] == bare[j][q + n]:
+                    n += 1
+                if sum(y.count(" ") + 1 for y in v[p : p + n]) >= min_words:
+                    gone[i] |= {places[i][p + k] for k in range(n)}
     return {
-        i: (text if not gone[i] else "\n".join(x for p, x in enumerate(lines_of[i]) if p not in gone[i]), len(gone[i]))
+        i: (text if not gone[i] else "\n".join(x for p, x in enumerate(lines[i]) if p not in gone[i]), len(gone[i]))
         for i, text in docs
     }
 
@@ -84,3 +83,38 @@ def test_a_very_long_text(documents):
     lines = [f"line {i} " + "word " * 10 + "x" for i in range(4000)]
     out = result(drop_repeated_lines(documents((1, "\n".join(lines)), (2, "\n".join([*lines[:2000], "new"])))))
     assert out[1][1] == 0 and out[2] == ("new", 2000)
+
+
+def test_short_lines_at_the_ends_of_a_match_go_too(documents):
+    long_line = " ".join(f"w{i}" for i in range(30))
+    three = "\n".join(" ".join(f"{x}{i}" for i in range(10)) for x in "abc")
+    docs = documents(
+        (1, f"{long_line}\nshort tail line here"),
+        (2, f"{long_line}\nshort tail line here"),
+        (3, f"{three}\nx y z"),
+        (4, f"{three}\nx y z"),
+        (5, f"head\n{long_line}\nother tail"),
+        (6, f"head\n{long_line}\nother tail\nx y z"),
+    )
+    assert result(drop_repeated_lines(docs)) == {
+        1: (f"{long_line}\nshort tail line here", 0),
+        2: ("", 2),
+        3: (f"{three}\nx y z", 0),
+        4: ("", 4),
+        5: ("head\nother tail", 1),
+        6: ("x y z", 3),
+    }
+
+
+def test_the_longest_of_several_earlier_places_counts(documents):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(26)) for x in "abc")
+    rows = [(1, f"{a}\n{b}"), (2, f"{b}\nt1 t2"), (3, f"s1 s2\n{a}"), (4, f"s1 s2\n{a}\n{b}\nt1 t2\n{c}")]
+    got = result(drop_repeated_lines(documents(*rows)))
+    assert got == brute(rows, 25) and got[4] == (c, 4)
+
+
+def test_a_hot_window(documents):
+    line = " ".join(f"w{i}" for i in range(25))
+    rows = [(i, f"own{i}\n{line}\nend") for i in range(300)]
+    got = result(drop_repeated_lines(documents(*rows)))
+    assert got == brute(rows, 25) and got[299] == ("own299", 2)
