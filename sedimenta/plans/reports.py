@@ -11,18 +11,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 import sedimenta as sd
+from sedimenta.operators.counting import counted, refresh_members
+from sedimenta.operators.coverage import gaps, islands
 from sedimenta.operators.difference import row_difference, snapshot_difference, with_deletions
+from sedimenta.operators.factorised import factorise
+from sedimenta.operators.heavy import heavy_join
 from sedimenta.operators.hierarchy import hierarchy, roll_up
 from sedimenta.operators.membership import (
-    count_members,
     list_bitmaps,
     member_numbers,
     members_matching,
+    members_of,
     overlaps,
 )
 from sedimenta.operators.star import Link, star_report
-from sedimenta.plans.showcase import ntz, query, table, text
+from sedimenta.plans.enrichment import JOBS
+from sedimenta.plans.showcase import (
+    land_documents,
+    nested_documents,
+    ntz,
+    query,
+    raw_category_options,
+    table,
+    text,
+)
 from sedimenta.session import scratch_path, stage
+from sedimenta.sources.drift import landing_drift
 
 # -- a star over two bridges ---------------------------------------------------
 
@@ -87,14 +101,18 @@ def _(spark, sf):
 
 @query("q40_list_questions")
 def _(spark, sf):
-    bitmaps = stage(document_bitmaps(spark, sf), "bitmaps")
+    lists = document_lists(spark, sf)
+    numbers = member_numbers(lists, "doc_id")
+    bitmaps = stage(list_bitmaps(lists, numbers, "list", "doc_id"), "bitmaps")
     questions = {
         "good English": {"all_of": ["en", "quality 1"], "none_of": ["toxic 1"]},
         "src0 or src1, not German": {"any_of": ["src0", "src1"], "none_of": ["de"]},
         "toxic French or Spanish": {"all_of": ["toxic 1"], "any_of": ["fr", "es"]},
     }
     answers = [
-        count_members(members_matching(bitmaps, **q)).select(F.lit(name).alias("question"), "n_members")
+        members_of(members_matching(bitmaps, **q), numbers).select(
+            F.lit(name).alias("question"), F.col("member").alias("doc_id")
+        )
         for name, q in questions.items()
     ]
     return answers[0].unionAll(answers[1]).unionAll(answers[2])
@@ -206,3 +224,98 @@ def _(spark, sf):
     marked = labels.filter("toxic = 1").select("doc_id", "toxic", F.lit("seen").alias("note"))
     sd.load_incremental(marked, path, ["doc_id"], merge_schema=True)
     return sd.read_table(spark, path)
+
+
+# -- what has been fetched ----------------------------------------------------------
+
+
+def fetched(spark, sf) -> DataFrame:
+    """Every document as a fetch of its source: from its number on, as far as its size."""
+    return table(spark, sf, "documents").select(
+        F.col("source").alias("unit"),
+        F.col("doc_id").alias("start"),
+        (F.col("doc_id") + F.col("n_chars") % 40).alias("end"),
+    )
+
+
+def covered(spark, sf) -> DataFrame:
+    return islands(fetched(spark, sf), ["unit"], span=F.floor(F.col("start") / 1000))
+
+
+@query("q44_coverage_islands")
+def _(spark, sf):
+    return covered(spark, sf)
+
+
+@query("q44_coverage_gaps")
+def _(spark, sf):
+    """What each source still lacks of all numbers from its own smallest to 100 past the largest."""
+    wanted = fetched(spark, sf).groupBy("unit").agg(
+        F.min("start").alias("start"), (F.max("start") + 100).alias("end")
+    )
+    return gaps(wanted, covered(spark, sf), ["unit"])
+
+
+# -- nested records as tables ---------------------------------------------------------
+
+
+@query("q45_factorised_lines")
+def _(spark, sf):
+    """One of two sibling arrays rejoined to its records; the other multiplies nothing."""
+    return factorise(nested_documents(spark, sf)).product(["doc_lines"])
+
+
+@query("q45_factorised_counts")
+def _(spark, sf):
+    parts = factorise(nested_documents(spark, sf)).tables
+    root = parts[""].select("_row", "doc_doc_id")
+    for name in ("doc_lines", "doc_contacts"):
+        sizes = parts[name].groupBy(F.col("_parent").alias("_row")).agg(F.count(F.lit(1)).alias(name))
+        root = root.join(sizes, "_row", "left").na.fill(0, [name])
+    return root.drop("_row")
+
+
+@query("q46_landing_drift_types")
+def _(spark, sf):
+    """Fields of other types than declared, undeclared ones and absent ones, from one scan."""
+    root, job = scratch_path(spark, "raw"), JOBS["categoryOptions"]
+    renamed = raw_category_options(spark, sf).select(
+        F.transform(
+            "categoryOptions",
+            lambda r: r.withField("code", F.length(r["name"])).withField("id", F.struct(r["id"])).dropFields("name"),
+        ).alias("categoryOptions")
+    )
+    land_documents(root, renamed, job.source)
+    return landing_drift(spark, f"{root}/{job.source}", job.schema())
+
+
+# -- dimensions that follow their inputs ------------------------------------------------
+
+
+@query("q47_refresh_members")
+def _(spark, sf):
+    """English documents by their marks, after src0 left the list and toxic ones got groups."""
+    lists = table(spark, sf, "documents").select(
+        F.lit("t").alias("dimensionType"), F.col("lang").alias("id"), F.col("lang").alias("name"),
+        F.col("doc_id").alias("items_id"), "source",
+    )
+    marks = table(spark, sf, "labels").select(
+        F.col("doc_id").alias("id"), F.concat(F.lit("quality "), text("quality")).alias("name"),
+        (F.col("doc_id") * 10 + F.col("toxic")).alias("member"), "toxic",
+    )
+    items = (lists.drop("source"), lists.filter("source <> 'src0'").drop("source"))
+    groups = (marks.filter("toxic = 0").drop("toxic"), marks.drop("toxic"))
+
+    def build(part, near):
+        return sd.dimension_members(part, near, "en", "member")
+
+    view = stage(counted(build(items[0], groups[0])), "members")
+    return refresh_members(view, build, items, groups)
+
+
+@query("q48_heavy_join")
+def _(spark, sf):
+    """Every document with the languages of its source, of which one has a third of all."""
+    docs = table(spark, sf, "documents").select("doc_id", "source")
+    languages = table(spark, sf, "documents").select(F.col("source").alias("of"), F.col("lang").alias("other")).distinct()
+    return heavy_join(docs, languages, "source", "of").select("doc_id", "source", "other")

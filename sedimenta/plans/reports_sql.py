@@ -65,6 +65,16 @@ _OLD = """SELECT doc_id, text, lang, source, CASE WHEN source = 'src0' THEN -1 E
           FROM documents WHERE lang <> 'fr'"""
 _NEW = "SELECT doc_id, text, lang, source, n_chars FROM documents WHERE lang <> 'es'"
 
+_ISLANDS = """
+    WITH f AS (SELECT source AS unit, doc_id AS s, doc_id + n_chars % 40 AS e FROM documents),
+    marked AS (
+        SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY unit ORDER BY s, e
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh
+        FROM f WHERE e > s
+    ), numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY unit ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS g FROM marked),
+    islands AS (SELECT unit, min(s) AS s, max(e) AS e, count(*) AS n FROM numbered GROUP BY unit, g)
+"""
+
 ORACLE: dict[str, str] = {
     "q39_star_each": f"""
         {_STAR}
@@ -102,13 +112,13 @@ ORACLE: dict[str, str] = {
         LEFT JOIN pairs p ON p.list = a.list AND p.other = b.list""",
     "q40_list_questions": f"""
         {_LISTS}, members AS (SELECT doc_id, list(list) AS l FROM lists GROUP BY doc_id)
-        SELECT 'good English' AS question, count(*) AS n_members FROM members
+        SELECT 'good English' AS question, doc_id FROM members
         WHERE list_has_all(l, ['en', 'quality 1']) AND NOT list_contains(l, 'toxic 1')
         UNION ALL
-        SELECT 'src0 or src1, not German', count(*) FROM members
+        SELECT 'src0 or src1, not German', doc_id FROM members
         WHERE list_has_any(l, ['src0', 'src1']) AND NOT list_contains(l, 'de')
         UNION ALL
-        SELECT 'toxic French or Spanish', count(*) FROM members
+        SELECT 'toxic French or Spanish', doc_id FROM members
         WHERE list_contains(l, 'toxic 1') AND list_has_any(l, ['fr', 'es'])""",
     "q41_hierarchy_closure": f"{_TREE} SELECT id, ancestor, distance FROM closure",
     "q41_hierarchy_roll_up": f"""
@@ -148,4 +158,34 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, CASE WHEN toxic = 1 THEN NULL ELSE quality END AS quality,
                CASE WHEN toxic = 1 THEN toxic END AS toxic, CASE WHEN toxic = 1 THEN 'seen' END AS note
         FROM labels""",
+    "q44_coverage_islands": f"""
+        {_ISLANDS} SELECT unit, s AS start, e AS "end", n AS n_fetches FROM islands""",
+    "q44_coverage_gaps": f"""
+        {_ISLANDS}, wanted AS (SELECT unit, min(s) AS a, max(s) + 100 AS b FROM f GROUP BY unit),
+        edges AS (
+            SELECT unit, e AS s, lead(s) OVER (PARTITION BY unit ORDER BY s) AS e FROM islands
+            UNION ALL SELECT unit, a, (SELECT min(s) FROM islands i WHERE i.unit = w.unit) FROM wanted w)
+        SELECT unit, s AS start, coalesce(least(e, b), b) AS "end"
+        FROM edges JOIN wanted USING (unit) WHERE s < coalesce(least(e, b), b)""",
+    "q45_factorised_lines": """
+        SELECT doc_id AS doc_doc_id, lang AS doc_meta_lang, source AS doc_meta_source,
+               unnest(string_split(text, chr(10))) AS doc_lines
+        FROM documents""",
+    "q45_factorised_counts": """
+        SELECT doc_id AS doc_doc_id, len(string_split(text, chr(10))) AS doc_lines,
+               len(list_filter(string_split(text, ' '), lambda w: contains(w, '@'))) AS doc_contacts
+        FROM documents""",
+    "q46_landing_drift_types": """
+        SELECT 'categoryOptions[].' || field AS path, kind, declared, landed FROM (VALUES
+            ('id', 'other type', 'string', 'struct<id:string>'),
+            ('name', 'absent', 'string', NULL),
+            ('code', 'undeclared', NULL, 'bigint')) AS v (field, kind, declared, landed)""",
+    "q47_refresh_members": """
+        SELECT CASE WHEN l.doc_id IS NOT NULL THEN 'quality ' || quality END AS name,
+               l.doc_id * 10 + l.toxic AS member, count(*) AS n_reasons
+        FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+        WHERE d.lang = 'en' AND d.source <> 'src0' GROUP BY ALL""",
+    "q48_heavy_join": """
+        SELECT d.doc_id, d.source, o.lang AS other
+        FROM documents d JOIN (SELECT DISTINCT source, lang FROM documents) o ON d.source = o.source""",
 }
