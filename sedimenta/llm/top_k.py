@@ -24,6 +24,8 @@ from sedimenta.llm.vectors import best_of_rows, one_row_per_id, same_width, usab
 BLOCK, GROUP = 8192, 2048
 #: Rows that are scored between two looks at the threshold.
 STEP = 512
+#: Doubles hold all whole numbers below this.
+EXACT = 2**53
 
 
 def threshold_search(
@@ -70,6 +72,8 @@ def _search(k: int):
         if not queries.num_rows or not rows.num_rows:
             return pa.table([pa.array([], pa.int64())] * 3, names=names)
         q, x = same_width(queries["vector"], rows["vector"])
+        if np.abs(q).sum(axis=1).max() * np.abs(x).max(initial=0) >= EXACT:
+            raise ValueError("inner products of 2**53 or more would not be exact: use a smaller scale")
         found = threshold_search(x, rows["id"].to_numpy(), q, queries["id"].to_numpy(), k)
         return pa.table([pa.array(found[0]), pa.array(found[1]), pa.array(found[2].astype(np.int64))], names=names)
 
@@ -77,8 +81,15 @@ def _search(k: int):
 
 
 def whole_components(vector: Column, scale: float) -> Column:
-    """Each component x as the whole number floor(scale * x), x as double."""
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long"))
+    """Each component x as the whole number floor(scale * x), x as double; one that doubles
+    do not hold exactly fails the job."""
+
+    def whole(x: Column) -> Column:
+        value = x.cast("double") * scale
+        message = F.concat(F.lit("a component is too large to be scored exactly: "), x.cast("string"))
+        return F.when(F.abs(value) >= EXACT, F.raise_error(message).cast("long")).otherwise(F.floor(value).cast("long"))
+
+    return F.transform(vector, whole)
 
 
 def top_k(
@@ -95,7 +106,8 @@ def top_k(
 
     Vectors that are NULL or hold NULL or non-finite components take no part, nor do NULL
     ids; of rows with one id the smallest vector counts. Shorter vectors are filled up
-    with zeros, so an empty one scores 0. Other columns are not read.
+    with zeros, so an empty one scores 0. Scores are exact: where a component, or the
+    products of a block, could reach 2**53 the job fails. Other columns are not read.
     """
     spark = df.sparkSession
     ready(spark)

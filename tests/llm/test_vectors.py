@@ -53,6 +53,16 @@ def test_top_k_edges(spark):
     assert top_k(table(spark, []), F.col("vec_id") % 20 == 0).collect() == []
 
 
+def test_top_k_refuses_what_it_cannot_add_up(spark):
+    rows = [(0, [1e30, 2]), (20, [1, 2])]
+    with pytest.raises(Exception, match="too large to be scored exactly"):
+        top_k(table(spark, rows), F.col("vec_id") % 20 == 0).collect()
+    with pytest.raises(Exception, match="would not be exact"):
+        top_k(table(spark, [(0, [1e8, 2]), (20, [1e8, 2])]), F.col("vec_id") % 20 == 0).collect()
+    high = [(0, [1e4, -1e4]), (20, [1e4, 3]), (21, [-1e4, 1e4])]
+    assert rows_of(top_k(table(spark, high), F.col("vec_id") % 20 == 0)) == brute(high, lambda i: i % 20 == 0, 20, inner)
+
+
 def test_the_threshold_stops_early_and_is_exact():
     rng = np.random.default_rng(2)
     rows = np.floor(rng.normal(size=(6000, 3)) * 60) * np.where(rng.random(6000) < 0.02, 6, 1)[:, None]
