@@ -161,6 +161,14 @@ def without_keys(
     return kept.unionByName(keyless)
 
 
+def with_keys(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = False
+) -> DataFrame:
+    """Target rows whose key occurs in the source."""
+    right = source.select(*[F.col(k).alias(f"_s_{k}") for k in keys])
+    return target.join(right, same_key(keys, null_safe), "left_semi").select(*target.columns)
+
+
 def _not_stale(target, source, asked, keys, column, null_safe):
     """Source rows without a newer row of the same key in the target."""
     marks = asked.select(

@@ -37,6 +37,7 @@ from sedimenta.plans.showcase import (
 )
 from sedimenta.session import scratch_path, stage
 from sedimenta.sources.drift import landing_drift
+from sedimenta.streaming.upserts import stream_latest
 
 # -- a star over two bridges ---------------------------------------------------
 
@@ -319,3 +320,24 @@ def _(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "source")
     languages = table(spark, sf, "documents").select(F.col("source").alias("of"), F.col("lang").alias("other")).distinct()
     return heavy_join(docs, languages, "source", "of").select("doc_id", "source", "other")
+
+
+# -- polls that overlap -------------------------------------------------------------------
+
+
+@query("q49_stream_latest")
+def _(spark, sf):
+    """Three polls that share a tenth of their rows, the newest versions in the middle one."""
+    seen = table(spark, sf, "documents").select(
+        "source", "n_chars", "doc_id", "lang", (F.col("doc_id") % 3).alias("version")
+    )
+    landing, target = scratch_path(spark, "landing"), scratch_path(spark, "documents")
+    checkpoint = scratch_path(spark, "stream")
+    for version in (0, 2, 1):
+        poll = seen.filter((F.col("version") == version) | (F.col("doc_id") % 10 == 0))
+        poll.write.mode("append").parquet(landing)
+        stream_latest(
+            spark.readStream.schema(seen.schema).parquet(landing), target, ["source", "n_chars"],
+            checkpoint, version="version", buckets=8, bucket_by=["source", "n_chars"],
+        ).awaitTermination()
+    return sd.read_table(spark, target)

@@ -188,4 +188,8 @@ ORACLE: dict[str, str] = {
     "q48_heavy_join": """
         SELECT d.doc_id, d.source, o.lang AS other
         FROM documents d JOIN (SELECT DISTINCT source, lang FROM documents) o ON d.source = o.source""",
+    "q49_stream_latest": """
+        SELECT source, n_chars, doc_id, lang, doc_id % 3 AS version FROM documents
+        QUALIFY row_number() OVER (
+            PARTITION BY source, n_chars ORDER BY version DESC, doc_id, lang) = 1""",
 }

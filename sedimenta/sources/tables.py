@@ -9,7 +9,8 @@ writer per table at a time; a second one loses at the commit and must run again.
 A slice is a set of keys: rows with the same values in ``partition_by`` (which
 must be key columns), in the same of ``buckets`` hash buckets, or both. A batch is
 written once, as a run on top of the slices it touches, and readers take each key
-from the last run that holds it. Runs are put together as soon as what comes after
+from the last run that holds it, or, where the table is kept ``latest_by`` a column, its
+greatest row by that column from whichever run. Runs are put together as soon as what comes after
 them is half their size, so what a small batch costs depends on the batch and on the
 logarithm of the table. An upsert fails before the commit if it should have written a
 slice that it has not read.
@@ -41,7 +42,13 @@ from pyspark.sql.types import (
 )
 
 from sedimenta.operators.lattice import common_schema, to_schema, widened
-from sedimenta.operators.upsert import any_null, duplicate_keys, latest_per_key, upsert
+from sedimenta.operators.upsert import (
+    any_null,
+    duplicate_keys,
+    latest_per_key,
+    upsert,
+    with_keys,
+)
 from sedimenta.session import has_shuffle
 from sedimenta.sources import storage
 
@@ -70,6 +77,7 @@ class Snapshot:
     slices: Mapping[str, tuple[Layer, ...]]
     keys: tuple[str, ...] = ()
     null_safe: bool = False
+    latest_by: str | None = None
 
     def to_json(self) -> str:
         return json.dumps(
@@ -82,6 +90,7 @@ class Snapshot:
                 "slices": dict(self.slices),
                 "keys": self.keys,
                 "null_safe": self.null_safe,
+                "latest_by": self.latest_by,
             }
         )
 
@@ -100,6 +109,7 @@ class Snapshot:
             },
             tuple(raw.get("keys", ())),
             raw.get("null_safe", False),
+            raw.get("latest_by"),
         )
 
     @property
@@ -274,7 +284,8 @@ def _rows(
     snapshot: Snapshot,
     slices: Mapping[str, Sequence[Layer]],
 ) -> DataFrame:
-    """The rows of the given slices: of a key, those of the last layer that holds it."""
+    """The rows of the given slices: of a key, those of the last layer that holds it, or
+    the latest by the table's column for that."""
     names = snapshot.schema.names
     single = {name: layers for name, layers in slices.items() if len(layers) == 1}
     layered = {name: layers for name, layers in slices.items() if len(layers) > 1}
@@ -283,7 +294,14 @@ def _rows(
         return alone
     oldest = _scan(spark, path, snapshot, {name: x[:1] for name, x in layered.items()})
     runs = _scan(spark, path, snapshot, {name: x[1:] for name, x in layered.items()})
-    if any(len(x) > 2 for x in layered.values()):
+    if snapshot.latest_by:
+        # rows of the oldest layer take part in the choice only if a run holds their key
+        met = with_keys(oldest, runs, snapshot.keys, snapshot.null_safe)
+        rivals = runs.select(*names).unionByName(met.select(*names))
+        runs = latest_per_key(
+            rivals, snapshot.keys, snapshot.latest_by, null_safe=snapshot.null_safe
+        )
+    elif any(len(x) > 2 for x in layered.values()):
         runs = _last_run_per_key(runs, snapshot)
     merged = upsert(
         oldest.select(*names),
@@ -346,6 +364,7 @@ def load_incremental(
     on_duplicate: str = "error",
     null_safe: bool = False,
     newer_only: str | None = None,
+    latest_by: str | None = None,
     partition_by: Sequence[str] = (),
     buckets: int = 1,
     bucket_by: Sequence[str] = (),
@@ -359,6 +378,12 @@ def load_incremental(
     these rewritten together with it. With ``newer_only`` the rows that are replaced
     have to be read, so all touched slices are.
 
+    With ``latest_by`` a key's row is the greatest by that column of all that ever came
+    (ties by the other columns, as ``latest_per_key`` has them), so the order in which
+    batches arrive does not matter, and a late or repeated row changes nothing. Nothing
+    is read to write a batch: readers choose among the runs. The first load with it
+    takes the table as it is.
+
     A batch whose types differ from the table's is cast first; a value that does
     not survive the cast fails the load. With ``merge_schema`` columns (and fields of
     structs) that one side lacks are NULL there, and types become the narrowest that
@@ -371,7 +396,12 @@ def load_incremental(
     keys = list(keys)
     if not set(partition_by) <= set(keys) or not set(bucket_by) <= set(keys):
         raise ValueError("slices must be made from key columns")
-    if on_duplicate == "latest":
+    if latest_by:
+        if newer_only or order_by or on_duplicate == "latest":
+            raise ValueError("latest_by decides between rows of one key by itself")
+        on_duplicate = "allow"
+        df = latest_per_key(df, keys, latest_by, null_safe=null_safe)
+    elif on_duplicate == "latest":
         if order_by is None:
             raise ValueError("on_duplicate='latest' needs order_by")
         df = latest_per_key(df, keys, order_by, null_safe=null_safe)
@@ -395,14 +425,15 @@ def load_incremental(
             raise ValueError(f"batch columns differ from those of {path}")
         if not set(current.partition_by) | set(current.bucket_by) <= set(keys):
             raise ValueError(f"the slices of {path} are not made from the key columns")
-        if (list(current.keys), current.null_safe) != (keys, null_safe) and any(
+        rule = (list(current.keys), current.null_safe, current.latest_by)
+        if rule != (keys, null_safe, latest_by) and any(
             len(layers) > 1 for layers in current.slices.values()
         ):
             compact_table(spark, path)
             current = snapshot_of(spark, path)
         df = _as_typed(df, current.schema)
         layout = replace(current, slices={}, version=current.version + 1)
-    layout = replace(layout, keys=tuple(keys), null_safe=null_safe)
+    layout = replace(layout, keys=tuple(keys), null_safe=null_safe, latest_by=latest_by)
     made: list[str] = []
     try:
         staged = _write(df.select(*layout.schema.names), path, layout, made, counted=True)

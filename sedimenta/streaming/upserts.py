@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from sedimenta.operators.difference import row_digest
 from sedimenta.plans.enrichment import JOBS, enrich, load
 from sedimenta.sources import storage
 from sedimenta.sources.landing import read_landing
 from sedimenta.sources.tables import load_incremental, read_table, table_exists
 
+#: Columns that ``stream_latest`` adds while rows pass through its state.
+ARRIVED, DIGEST = "_arrived", "_digest"
+
 
 def stream_upsert(
     stream: DataFrame,
@@ -40,6 +44,55 @@ def stream_upsert(
     return _start(stream, merge, checkpoint, available_now)
 
 
+def stream_latest(
+    stream: DataFrame,
+    target: str,
+    keys: Sequence[str],
+    checkpoint: str,
+    *,
+    version: str,
+    remember: str = "1 day",
+    available_now: bool = True,
+    **options,
+) -> StreamingQuery:
+    """Keep the latest row of every key, by ``version``, from polls that overlap.
+
+    Polls ask for everything that changed since some time ago, so most of what they bring
+    was there before. A row whose equal (in all columns) arrived less than ``remember``
+    ago is dropped by a digest of 128 bits in the stream's state, before it costs anything
+    further; a poll that brings nothing new writes nothing. The state holds the digests of
+    one to two such spans and no more. What it no longer knows goes on to the table, which
+    is kept ``latest_by`` the version: the outcome is that of one batch with all rows,
+    whatever the order, delay and repetition of their arrival.
+
+    The watermark follows the time of arrival. Were it to follow ``version``, Spark would
+    drop rows that come later than ``remember``; so none is dropped but repeats. Rows with
+    a NULL version yield to others; NULL keys match each other (``null_safe=False``: they
+    match nothing). Equal rows meet in one task of a poll.
+    """
+    taken = {c.lower() for c in stream.columns} & {ARRIVED, DIGEST}
+    if taken:
+        raise ValueError(f"columns of the stream's own: {', '.join(sorted(taken))}")
+    options.setdefault("null_safe", True)
+    marked = stream.withColumns(
+        {ARRIVED: F.current_timestamp(), DIGEST: row_digest(stream, stream.columns)}
+    )
+    once = marked.withWatermark(ARRIVED, remember).dropDuplicatesWithinWatermark([DIGEST])
+
+    def merge(batch: DataFrame, _: int) -> None:
+        if options["null_safe"]:
+            load_incremental(batch, target, keys, latest_by=version, **options)
+            return
+        # rows with and without a whole key go their own ways: the state is gone through once
+        held = batch.persist()
+        try:
+            load_incremental(held, target, keys, latest_by=version, **options)
+        finally:
+            held.unpersist()
+
+    return _start(once.drop(ARRIVED, DIGEST), merge, checkpoint, available_now)
+
+
 def stream_enrichment(
     spark: SparkSession,
     name: str,
