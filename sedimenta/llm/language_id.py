@@ -10,6 +10,7 @@ every language has a uniform trigram model.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +22,9 @@ from sedimenta.llm.common import Scratch, fresh, quoted, ready, slices, text_of,
 
 #: Trigrams are hashed to so many buckets; the model has one number for each and language.
 BUCKETS = 1 << 14
-#: More declared languages than this are an error, as the model is held in memory.
-MAX_LANGUAGES = 64
+#: So many declared languages, those declared most often, have a model, which is held in
+#: memory (128 KB each). ISO 639-1 names 183; what lies beyond are stray labels.
+MAX_LANGUAGES = 256
 
 _CLASS = np.zeros(256, np.uint32)
 _CLASS[97:123] = np.arange(1, 27)
@@ -72,16 +74,28 @@ def _count_trigrams(languages: list[str]):
     return run
 
 
+def language_label(declared: Column) -> Column:
+    """A declaration without case, region and script: ``en`` for ``EN``, ``en-GB``, ``en_us``;
+    NULL if nothing is left of it."""
+    return F.nullif(F.trim(F.split(F.lower(declared.cast("string")), "[-_]")[0]), F.lit(""))
+
+
+def declared_most(docs: DataFrame, declared: Column, most: int) -> list[str]:
+    """The labels that are declared most often, ties by name; at most ``most``."""
+    counts = docs.select(declared.alias("label")).filter("label IS NOT NULL").groupBy("label").count()
+    return sorted(r["label"] for r in counts.orderBy(F.desc("count"), "label").limit(most).collect())
+
+
 def fit_trigrams(
-    docs: DataFrame, text_col: str, declared_col: str, languages: list[str], alpha: float = 0.5
+    docs: DataFrame, text_col: str, declared: Column, languages: list[str], alpha: float = 0.5
 ) -> np.ndarray:
     """Log-likelihoods, languages by buckets, from every text with one of the languages.
 
-    The result has at most ``MAX_LANGUAGES`` x ``BUCKETS`` numbers whatever the input.
+    The result has ``BUCKETS`` numbers for each language whatever the input.
     """
     ready(docs.sparkSession)
-    labelled = docs.filter(quoted(declared_col).isin(languages)).select(
-        quoted(declared_col).alias("language"), F.lower(text_of(docs, text_col)).alias("text")
+    labelled = docs.filter(declared.isin(languages)).select(
+        declared.alias("language"), F.lower(text_of(docs, text_col)).alias("text")
     )
     counts = (
         labelled.mapInArrow(_count_trigrams(languages), "language int, bucket int, n long")
@@ -166,6 +180,7 @@ def identify_language(
     host_col: str = "source",
     suffix_col: str | None = None,
     languages: list[str] | None = None,
+    max_languages: int = MAX_LANGUAGES,
     trust: float = 0.9,
     smoothing: float = 20.0,
     text_weight: float = 50.0,
@@ -174,40 +189,41 @@ def identify_language(
 ) -> DataFrame:
     """``docs`` with ``language``, ``probability`` and ``accepted``.
 
-    ``languages`` are those declared anywhere, unless given. ``trust`` is the probability
-    that a declaration is right; a missing or unknown one is no evidence. A text of n
+    Declarations count without case and region (``language_label``). ``languages`` are those
+    declared anywhere, unless given; of more than ``max_languages`` those declared most often,
+    and other labels are unknown declarations. ``trust`` is the probability that a declaration
+    is right; a missing or unknown one is no evidence. A text of n
     trigrams counts as ``n * text_weight / (n + text_weight)`` independent ones. A row is
     rejected (``accepted`` false) if its text has no trigram of letters (NULL and empty
     texts too), if it is unlike every language, or if the best has less than
     ``min_probability``; its ``language`` is NULL then. No row is dropped; NULL hosts
-    are one host. Result columns must not be there already; other names may clash.
+    are one host. Texts are gone through whole, a mebibyte or a text at a time. Result columns must not be there already; other names may clash.
     """
     for name in ("language", "probability", "accepted"):
         if name in docs.columns:
             raise ValueError(f"there is a column {name} already")
     spark = docs.sparkSession
     ready(spark)
+    declared = language_label(quoted(declared_col))
     if languages is None:
-        named = docs.select(quoted(declared_col)).filter(quoted(declared_col).isNotNull()).distinct()
-        found = [r[0] for r in named.limit(MAX_LANGUAGES + 1).collect()]
-        if len(found) > MAX_LANGUAGES:
-            raise ValueError(f"more than {MAX_LANGUAGES} declared languages: name those wanted")
-        languages = sorted(found)
+        languages = declared_most(docs, declared, max_languages)
+    else:
+        languages = sorted({re.split("[-_]", x.lower())[0].strip(" ") for x in languages} - {""})
     if not languages:
         return docs.withColumns(
             {"language": F.lit(None).cast("string"), "probability": F.lit(0.0), "accepted": F.lit(False)}
         )
-    model = fit_trigrams(docs, text_col, declared_col, languages)
+    model = fit_trigrams(docs, text_col, declared, languages)
     host_name, prior_name, score_name, sum_name = fresh(docs, "host", "prior", "score", "sums")
     host = F.coalesce(quoted(host_col).cast("string"), F.lit(""))
     suffix = F.coalesce(quoted(suffix_col).cast("string"), F.lit("")) if suffix_col else F.lit("")
     scratch = Scratch(spark, "hosts")
-    priors = scratch.keep(host_priors(docs, host, suffix, quoted(declared_col), languages, smoothing))
+    priors = scratch.keep(host_priors(docs, host, suffix, declared, languages, smoothing))
     scored = docs.withColumns(
         {host_name: host, score_name: text_scores(model)(F.lower(text_of(docs, text_col)))}
     )
     joined = scored.join(priors.toDF(host_name, prior_name), host_name, "left")
-    score, declared = quoted(score_name), quoted(declared_col)
+    score = quoted(score_name)
     n = F.get(score, F.lit(len(languages)))
     scale = text_weight / (n + text_weight)
     other = math.log((1 - trust) / max(len(languages) - 1, 1)) if trust < 1 else -50.0

@@ -126,3 +126,30 @@ def test_priors_are_smoothed_from_host_to_suffix_to_all(spark):
     fr = tuple((n + 5 * p) / 15 for n, p in zip((2, 8), base))
     assert got["a.fr"] == pytest.approx([(0 + 5 * fr[0]) / 13, (8 + 5 * fr[1]) / 13])
     assert all(sum(p) == pytest.approx(1) for p in got.values())
+
+
+def test_declarations_count_without_case_and_region(spark, documents):
+    rows, _ = corpus(60, 5)
+    forms = {"en": ["EN", "en-GB", "en_us", " en"], "fr": ["fr", "FR-ca"], "de": ["de", "De_at"]}
+    mixed = [(i, t, forms[x][i % len(forms[x])], h) for i, t, x, h in rows]
+    def found(docs, **options):
+        out = li.identify_language(docs, **options).collect()
+        return {r["doc_id"]: (r["language"], round(r["probability"], 9), r["accepted"]) for r in out}
+
+    want = found(documents(*rows))
+    assert found(documents(*mixed)) == want
+    assert found(documents(*mixed), languages=["EN-gb", "en", "FR", "de"]) == want
+    labels = spark.createDataFrame([("",), (" ",), ("-x",), (None,), ("zh-Hant",)], "l string")
+    assert [r[0] for r in labels.select(li.language_label(F.col("l"))).collect()] == [None, None, None, None, "zh"]
+
+
+def test_many_labels_stop_nothing(documents):
+    """Seventy stray labels, one row each, beside three languages."""
+    rows, true = corpus(120, 6, 0.0)
+    stray = [(1000 + i, text(random.Random(i), "en"), f"x{chr(97 + i // 26)}{chr(97 + i % 26)}", "h") for i in range(70)]
+    every = li.identify_language(documents(*rows, *stray)).collect()
+    assert len(every) == 190
+    assert all(r["language"] == true[r["doc_id"]] for r in every if r["doc_id"] < 1000)
+    few = li.identify_language(documents(*rows, *stray), max_languages=3).collect()
+    assert {r["language"] for r in few} == {"en", "fr", "de"}
+    assert all(r["language"] == "en" for r in few if r["doc_id"] >= 1000)
