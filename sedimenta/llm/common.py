@@ -99,6 +99,23 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def refuse_taken(df: DataFrame, *names: str) -> None:
+    """Columns of a result must not be there already; case makes no difference, as in Spark."""
+    taken = {c.lower() for c in df.columns}
+    for name in names:
+        if name.lower() in taken:
+            raise ValueError(f"there is a column {name} already")
+
+
+def aside(df: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns of these names under fresh ones, and what each column is called now."""
+    held = {n.lower() for n in names}
+    clashing = [c for c in df.columns if c.lower() in held]
+    now = dict(zip(clashing, fresh(df, *clashing), strict=True))
+    called = {c: now.get(c, c) for c in df.columns}
+    return (df.select(*[quoted(c).alias(called[c]) for c in df.columns]) if now else df), called
+
+
 def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import Scratch, fresh, quoted, ready, slices, text_of, utf8
+from sedimenta.llm.common import Scratch, fresh, quoted, ready, refuse_taken, slices, text_of, utf8
 
 #: Trigrams are hashed to so many buckets; the model has one number for each and language.
 BUCKETS = 1 << 14
@@ -26,6 +26,9 @@ BUCKETS = 1 << 14
 #: memory (128 KB each). ISO 639-1 names 183; what lies beyond are stray labels.
 MAX_LANGUAGES = 256
 
+#: Columns that the result has beside those of the input.
+RESULTS = ("language", "probability", "accepted")
+
 _CLASS = np.zeros(256, np.uint32)
 _CLASS[97:123] = np.arange(1, 27)
 _CLASS[65:91] = np.arange(1, 27)
@@ -199,9 +202,7 @@ def identify_language(
     ``min_probability``; its ``language`` is NULL then. No row is dropped; NULL hosts
     are one host. Texts are gone through whole, a mebibyte or a text at a time. Result columns must not be there already; other names may clash.
     """
-    for name in ("language", "probability", "accepted"):
-        if name in docs.columns:
-            raise ValueError(f"there is a column {name} already")
+    refuse_taken(docs, *RESULTS)
     spark = docs.sparkSession
     ready(spark)
     declared = language_label(quoted(declared_col))

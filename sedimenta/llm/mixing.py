@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import Scratch, fresh, quoted, text_of
+from sedimenta.llm.common import Scratch, fresh, quoted, refuse_taken, text_of
 
 #: Cells that are raked on the driver, and that are sent to all tasks; more stay tables.
 DRIVER_CELLS, BROADCAST_CELLS = 1 << 20, 1 << 16
@@ -27,6 +27,10 @@ SPARED = 0.01
 REST = "(rest)"
 
 
+#: Columns that the result has beside those of the input.
+RESULTS = ("topic", "tokens", "probability", "sampled")
+
+
 def token_weight(text: Column) -> Column:
     """Tokens of a text, counted by single spaces; none in an empty one."""
     return F.when(text == "", 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1)
@@ -319,6 +323,7 @@ def mix_sources(
     without tokens share the probability of their cell where it has any. The draw is a
     function of the id and ``seed``, so a rerun keeps the same documents and rows with
     one id fare alike; NULL ids are drawn by their text. An empty table gives an empty result.
+    A very long text weighs what it holds; its cell is raked like others.
 
     ``kept`` is the share of the tokens to keep. Without it as many are kept as the given
     targets allow; without targets, as many as the tempered shares allow when cells with
@@ -327,10 +332,7 @@ def mix_sources(
     """
     if kept is not None and not 0 < kept <= 1:
         raise ValueError("kept must be above 0 and at most 1")
-    results = ("topic", "tokens", "probability", "sampled")
-    for name in results:
-        if name in docs.columns and not (name == "topic" and topic_col == name):
-            raise ValueError(f"there is a column {name} already")
+    refuse_taken(docs, *[x for x in RESULTS if x != "topic" or topic_col != x])
     text = text_of(docs, text_col)
     topic = quoted(topic_col).cast("string") if topic_col else topic_of(text)
     dims = {"source": quoted(source_col), "language": quoted(language_col), "topic": topic}

@@ -167,7 +167,8 @@ def score_texts(
     a context shorter by one word; in the end its count over all words. Contexts do not
     reach over the beginning of a text. Counts are of all texts, in lower case, of words of
     letters and digits. A text without words (NULL, empty) has NULL for both scores. NULL
-    ids and repeated rows are scored like others; other columns are not read. Two n-grams
+    ids and repeated rows are scored like others; other columns are not read. A text is scored
+    whole, in one task, however long it is. Two n-grams
     of one bucket share a count if 40 bits of their hashes agree: a few in a million.
     """
     spark = docs.sparkSession

@@ -21,7 +21,7 @@ from sedimenta.llm import (
     sim_hash,
     top_k,
 )
-from sedimenta.llm.common import Scratch, ready, text_of
+from sedimenta.llm.common import Scratch, aside, ready, text_of
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -45,7 +45,8 @@ def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = language_id.identify_language(_table(spark, sf_dir, "documents"))
+    docs, _ = aside(_table(spark, sf_dir, "documents"), *language_id.RESULTS)
+    found = language_id.identify_language(docs)
     return found.select("doc_id", F.col("lang").alias("declared"), "language", "probability", "accepted")
 
 
@@ -64,7 +65,7 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    docs, _ = aside(_table(spark, sf_dir, "documents"), *sharding.RESULTS)
     placed, plan = sharding.reshard(docs, SHARDS, sharding.old_shard_of(F.col("doc_id"), OLD_SHARDS))
     files = sharding.rewrite_shards(placed, plan, Scratch(spark, "shards").path())
     return files.select(
@@ -79,7 +80,8 @@ def op5_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(_table(spark, sf_dir, "documents")).select(
+    docs, _ = aside(_table(spark, sf_dir, "documents"), *mixing.RESULTS)
+    return mixing.mix_sources(docs).select(
         "doc_id", "source", "lang", "topic", "tokens", "probability", "sampled"
     )
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sedimenta.llm.common import Scratch, fresh, quoted, text_of
+from sedimenta.llm.common import Scratch, fresh, quoted, refuse_taken, text_of
 
 #: Bytes that every row has besides its text.
 ROW_BYTES = 16
@@ -188,6 +188,10 @@ def plan_transfers(blocks: Sequence[Block], room: Sequence[int]) -> tuple[list[T
 # --- rows ---------------------------------------------------------------------------
 
 
+#: Columns that the result has beside those of the input.
+RESULTS = ("size", "shard", "slot")
+
+
 def row_bytes(text: Column) -> Column:
     """UTF-8 bytes of the text (NULL: none) plus ``ROW_BYTES``."""
     return F.octet_length(F.coalesce(text, F.lit(""))).cast("long") + ROW_BYTES
@@ -209,12 +213,11 @@ def reshard(
 
     New shards hold numbers of rows at most one apart, slots are gapless from 0, and the
     bytes that change shards are the fewest: of each old shard the smallest rows move.
-    Old shards are few whole numbers, as they are files of one table. NULL ids and texts
+    Old shards are few whole numbers, as they are files of one table. Only the size of a text
+    is looked at, however long it is. NULL ids and texts
     and repeated rows are rows like any others. An empty table gives empty shards.
     """
-    for name in ("size", "shard", "slot"):
-        if name in docs.columns:
-            raise ValueError(f"there is a column {name} already")
+    refuse_taken(docs, *RESULTS)
     old, part, kind, places, turn, at = fresh(docs, "old", "part", "kind", "places", "turn", "at")
     size = row_bytes(quoted(text_col))
     rows = docs.withColumns({old: F.coalesce(old_shard.cast("int"), F.lit(0)), "size": size})
