@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.llm import bpe, language_id, line_dedup, mixing, near_dup
-from sedimenta.llm.common import Scratch, fresh, quoted, ready, text_of
+from sedimenta.llm.common import Scratch, aside, fresh, quoted, ready, text_of
 from sedimenta.llm.queries import RANKS
 
 #: SQL cannot express the first, third and last stage; tests compare with brute force.
@@ -21,8 +21,11 @@ ORACLE_SQL = None
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; ``lang`` is what was found, not what was declared."""
-    found = language_id.identify_language(docs).filter("accepted")
-    return found.select(*[F.col("language").alias(c) if c == "lang" else quoted(c) for c in docs.columns])
+    named, now = aside(docs, *language_id.RESULTS)
+    found = language_id.identify_language(named).filter("accepted")
+    return found.select(
+        *[F.col("language").alias(c) if c == "lang" else quoted(now[c]).alias(c) for c in docs.columns]
+    )
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +52,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by the weights of their source, language and topic."""
-    return mixing.mix_sources(docs).filter("sampled").select(*[quoted(c) for c in docs.columns])
+    named, now = aside(docs, *mixing.RESULTS)
+    drawn = mixing.mix_sources(named).filter("sampled")
+    return drawn.select(*[quoted(now[c]).alias(c) for c in docs.columns])
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
