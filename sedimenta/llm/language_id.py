@@ -152,15 +152,17 @@ def markup_language(html: Column) -> Column:
 
 
 def host_priors(
-    docs: DataFrame, host: Column, suffix: Column, declared: Column, languages: list[str], weight: float
+    docs: DataFrame, host: Column, suffix: Column | None, declared: Column, languages: list[str], weight: float
 ) -> DataFrame:
     """``host``, ``prior`` (one probability per language): host, suffix and all rows
-    as levels, each smoothed by ``weight`` rows of the level above."""
+    as levels, each smoothed by ``weight`` rows of the level above. Without suffixes all
+    hosts have the same one."""
     n = len(languages)
     count = [F.sum(F.when(declared == x, 1).otherwise(0)).alias(f"n{i}") for i, x in enumerate(languages)]
-    hosts = docs.groupBy(host.alias("host"), suffix.alias("suffix")).agg(*count)
+    level = [] if suffix is None else [suffix.alias("suffix")]
+    hosts = docs.groupBy(host.alias("host"), *level).agg(*count)
     sums = [F.sum(f"n{i}").alias(f"s{i}") for i in range(n)]
-    suffixes = hosts.groupBy("suffix").agg(*sums)
+    suffixes = hosts.groupBy(*["suffix" for _ in level]).agg(*sums)
     everything = suffixes.agg(*[F.sum(f"s{i}") for i in range(n)]).first()
     whole = [(x or 0) + 1.0 for x in everything]
     base = [x / sum(whole) for x in whole]
@@ -169,6 +171,10 @@ def host_priors(
         size = sum((F.col(x) for x in names), F.lit(0))
         return [(F.col(x) + weight * p) / (size + weight) for x, p in zip(names, parent, strict=True)]
 
+    if suffix is None:
+        known = [x or 0 for x in everything]
+        one = [F.lit((x + weight * p) / (sum(known) + weight)) for x, p in zip(known, base, strict=True)]
+        return hosts.select("host", F.array(*smooth([f"n{i}" for i in range(n)], one)).alias("prior"))
     by_suffix = suffixes.select(
         "suffix", F.array(*smooth([f"s{i}" for i in range(n)], [F.lit(p) for p in base])).alias("up")
     )
@@ -217,7 +223,7 @@ def identify_language(
     model = fit_trigrams(docs, text_col, declared, languages)
     host_name, prior_name, score_name, sum_name = fresh(docs, "host", "prior", "score", "sums")
     host = F.coalesce(quoted(host_col).cast("string"), F.lit(""))
-    suffix = F.coalesce(quoted(suffix_col).cast("string"), F.lit("")) if suffix_col else F.lit("")
+    suffix = F.coalesce(quoted(suffix_col).cast("string"), F.lit("")) if suffix_col else None
     scratch = Scratch(spark, "hosts")
     priors = scratch.keep(host_priors(docs, host, suffix, declared, languages, smoothing))
     scored = docs.withColumns(

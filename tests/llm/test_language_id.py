@@ -153,3 +153,12 @@ def test_many_labels_stop_nothing(documents):
     few = li.identify_language(documents(*rows, *stray), max_languages=3).collect()
     assert {r["language"] for r in few} == {"en", "fr", "de"}
     assert all(r["language"] == "en" for r in few if r["doc_id"] >= 1000)
+
+
+def test_without_suffixes_all_hosts_share_one(spark):
+    df = spark.createDataFrame([("a", "fr")] * 8 + [("b", "en")] * 2 + [("c", None)], "h string, l string")
+    def found(suffix):
+        rows = li.host_priors(df, F.col("h"), suffix, F.col("l"), ["en", "fr"], 5.0)
+        return {r["host"]: [round(x, 12) for x in r["prior"]] for r in rows.collect()}
+
+    assert found(None) == found(F.lit("")) and len(found(None)) == 3
