@@ -1,10 +1,11 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sedimenta.llm.nearest import fit_index, nearest, unit
+from sedimenta.llm.nearest import BOUNDARY, COPIES, _lists_of, _probe, fit_index, nearest, unit
 from sedimenta.llm.top_k import threshold_search, top_k
 
 SCHEMA = "vec_id long, embedding array<float>, id string, list int, vector string"
@@ -123,3 +124,26 @@ def test_the_walk_sees_the_nearest_centroids():
     assert (far.argmin(axis=1) == true).mean() > 0.95
     size = np.bincount((sample @ index.centroids.T).argmax(axis=1), minlength=len(index.centroids))
     assert size.max() < 6 * size.mean()
+
+
+def test_few_rows_are_scored_where_the_vectors_have_structure(spark):
+    """Rows around 300 centres: the lists read hold less than a fifth of the table."""
+    rng = np.random.default_rng(6)
+    centres = unit(rng.normal(size=(300, 16)))
+    data = unit(centres[rng.integers(0, 300, 9000)] + rng.normal(size=(9000, 16)) * 0.05)
+    index = fit_index(data[:4000], len(data), 5)
+    held = _lists_of(index.near(data, 2 * COPIES, BOUNDARY))
+    sizes = held.sum(axis=0)
+    asked = np.arange(0, 9000, 50)
+    batch = pa.RecordBatch.from_arrays([pa.array(asked), pa.array(data[asked].tolist())], names=["id", "vector"])
+    (probed,) = _probe(index, sizes, 5)(iter([batch]))
+    query, list_ = probed.column(0).to_numpy(), probed.column(2).to_numpy()
+    scored = sizes[list_].sum() / len(asked)
+    score = data[asked] @ data.T
+    score[np.arange(len(asked)), asked] = -np.inf
+    hits = 0
+    for i, q in enumerate(asked):
+        read = held[:, list_[query == q]].any(axis=1)
+        hits += read[np.argsort(-score[i])[:5]].sum()
+    assert hits >= 0.9 * 5 * len(asked)
+    assert scored < 9000 / 5, scored
