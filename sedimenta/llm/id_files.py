@@ -1,15 +1,16 @@
 """Token ids in compressed files: an adaptive context-mixing range coder.
 
-An id is predicted by the last two ids, by the last one, and without any (the id that has
-had the majority). Each order says how probable it is that its prediction holds, by how
-often it held lately, and the three are mixed by weights that follow how well each did.
-What is coded first is which prediction holds, if any; an id that nobody predicted is
-coded by its number of bits (adaptive) and then those bits.
-
-A block is a fixed number of ids. Model and coder are reset in each, and its checksum is
-verified when it is read. Blocks do not depend on each other, so all blocks of a frame go
-through the coder side by side, one id of each at a time, as numpy vectors. A frame is a
-row of the file and holds whole documents.
+An id is predicted by the last two ids, by the last one, and without any. Order 2 is learned
+within the block: a table of what followed two ids, each entry with how often it held. Order 1
+has the id that mostly follows in the frame, order 0 the shares of all ids in the frame. Each
+order gives the next id a probability, by how often it held lately, and the three are mixed
+by weights that follow how well each did. One step of the coder says which of the longer
+orders is right, or which id it is by order 0.
+
+A block is a fixed number of ids. Model and coder are reset in each, to a start that the frame
+has once (its ids' shares and followers), and its checksum is verified when it is read. Blocks
+do not depend on each other, so all blocks of a frame go through the coder side by side, one
+id of each at a time, as numpy vectors. A frame is a row of the file and holds whole documents.
 """
 
 from __future__ import annotations
@@ -31,227 +32,247 @@ from sedimenta.llm.pieces import _ODD, Remembered
 
 #: Ids of a block, and of a frame (more only if one document has more).
 BLOCK_IDS, FRAME_IDS = 2048, 1 << 22
-#: Entries of a block's tables of predictions, as a power of two.
+#: Entries of a block's table of predictions, as a power of two.
 TABLE_BITS = 11
 END_ID = 2
 
-_TOP, _BOTTOM = np.uint64(1 << 48), np.uint64((1 << 40) - 1)
-_16, _48, _0 = np.uint64(16), np.uint64(48), np.uint64(0)
-_SCALE_BITS = np.uint64(12)
-_CLASSES = 17
-_REFRESH = 16
+_32, _LOW = np.uint64(32), np.uint64((1 << 32) - 1)
+#: Shares of a step are of 2**28: 12 bits for the prediction that holds, 16 for an id by itself.
+_STEP_BITS = np.uint64(28)
+_ORDER_BITS = 16
+#: How much better than order 0 one hit may make a longer order look.
+_GAIN = 300
+
+
+class _Start:
+    """What every block of a frame begins with: ids are numbered by their place in ``ids``,
+    have a share of 65536 each, and one that mostly follows, with how often it does in 256."""
+
+    def __init__(self, ids: np.ndarray, share: np.ndarray, follower: np.ndarray, often: np.ndarray):
+        self.ids, self.share, self.follower, self.often = ids, share, follower, often
+        self.width = share.astype(np.int32)
+        self.edge = np.concatenate([[0], np.cumsum(share)]).astype(np.int32)
+        self.at = np.repeat(np.arange(len(ids), dtype=np.int32), share)
+        self.next = follower.astype(np.int32)
+        self.sure = (often.astype(np.float32) + np.float32(0.5)) / np.float32(256)
+        self.gain = np.minimum(np.float32(1 << _ORDER_BITS) / self.width, np.float32(_GAIN)).astype(np.float32)
+
+    def packed(self) -> bytes:
+        numbers = np.concatenate([np.diff(self.ids, prepend=0), self.share - 1, self.follower])
+        return zlib.compress(numbers.astype("<u2").tobytes() + self.often.astype(np.uint8).tobytes(), 6)
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> _Start:
+        raw = zlib.decompress(data)
+        n = len(raw) // 7
+        gaps, share, follower = np.frombuffer(raw, "<u2", 3 * n).astype(np.int64).reshape(3, n)
+        return cls(np.cumsum(gaps), share + 1, follower, np.frombuffer(raw, np.uint8, n, 6 * n))
+
+    @classmethod
+    def blank(cls) -> _Start:
+        """All ids alike, and nothing known of what follows."""
+        n = 1 << _ORDER_BITS
+        zeros = np.zeros(n, np.int64)
+        return cls(np.arange(n), np.ones(n, np.int64), zeros, zeros)
+
+    @classmethod
+    def fitted(cls, ids: np.ndarray) -> _Start:
+        """By the counts of ``ids`` and of their pairs; of equal counts the smaller id follows."""
+        counts = np.bincount(ids, minlength=1 << _ORDER_BITS)
+        known = np.flatnonzero(counts)
+        count, n = counts[known], len(known)
+        share = count * ((1 << _ORDER_BITS) - n) // len(ids) + 1
+        share[count.argmax()] += (1 << _ORDER_BITS) - share.sum()
+        number = _numbers(known, ids).astype(np.uint32)
+        pairs = np.sort(number[:-1] * np.uint32(n) + number[1:])
+        first = np.flatnonzero(np.diff(pairs, prepend=pairs[:1] + np.uint32(1)))
+        times = np.diff(first, append=len(pairs))
+        pairs = pairs[first].astype(np.int64)
+        order = np.lexsort((pairs, -times, pairs // n))
+        before, after, times = pairs[order] // n, pairs[order] % n, times[order]
+        lead = np.diff(before, prepend=-1) > 0
+        follower, often = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        follower[before[lead]] = after[lead]
+        often[before[lead]] = np.minimum(times[lead] * 256 // count[before[lead]], 250)
+        return cls(known, share, follower, often)
+
+
+def _numbers(known: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    place = np.zeros(1 << _ORDER_BITS, np.int64)
+    place[known] = np.arange(len(known))
+    return place[ids]
 
 
 class _Model:
-    """The predictions of every lane, and how they are mixed."""
-
-    def __init__(self, lanes: int):
-        self.lane = np.arange(lanes, dtype=np.int32)
-        table = 1 << TABLE_BITS
-        # an entry has the id said and, above 16 bits, how often it held (0 to 3)
-        self.entry = [np.zeros(lanes * table, np.int32) for _ in range(2)]
-        self.base = self.lane * np.int32(table)
-        self.top, self.votes = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
-        self.last, self.before = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
-        # how probable it is that an order's prediction holds: orders 2 and 1 by trust, order 0
-        self.hold = [np.tile(np.array([0, 0.2, 0.4, 0.6], np.float32), lanes) for _ in range(2)]
-        self.hold.append(np.full(lanes, 0.05, np.float32))
-        self.weight = [np.full(lanes, x, np.float32) for x in (0.5, 0.3, 0.2)]
-        self.seen = np.ones((lanes, _CLASSES), np.int32)
-        self.class_base = self.lane * np.int32(_CLASSES)
-        self.step = 0
-        self._classes()
-
-    def _classes(self) -> None:
-        share = self.seen * np.int32(4096 - _CLASSES) // self.seen.sum(axis=1, keepdims=True, dtype=np.int32) + 1
-        self.edges = np.zeros((len(share), _CLASSES + 1), np.int32)
-        np.cumsum(share, axis=1, out=self.edges[:, 1:])
-        self.edges[:, -1] = 4096
-        self.edge_base = self.lane * np.int32(_CLASSES + 1)
+    """The predictions of every lane, and how they are mixed.
+
+    Every order gives the next id a probability: order 2 what it remembers of the block,
+    order 1 what mostly follows, both by how surely it holds and the rest of them as order
+    0 has it. The mixture's weights follow how well each did, with a fixed share that moves.
+    """
+
+    def __init__(self, lanes: int, start: _Start):
+        self.start, lane = start, np.arange(lanes)
+        # an entry has the number said and, in its lowest two bits, how often it held
+        self.entry = np.zeros(lanes << TABLE_BITS, np.int32)
+        self.base, self.rows = lane << TABLE_BITS, lane * 4
+        self.hold = np.tile(np.array([0, 0.25, 0.45, 0.7], np.float32), lanes)
+        self.weight2, self.weight1 = np.full(lanes, 0.4, np.float32), np.full(lanes, 0.4, np.float32)
+        self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
 
     def predict(self) -> None:
-        """What is said, and the four shares of 4096: the three orders and none of them.
+        """What the longer orders say, and where their shares of 4096 end; the rest is order 0's.
 
-        An order gives its prediction the probability that it holds; the orders' mixture
-        adds up where they say the same, and it then counts for the longer one.
+        Where both say the same, the mixture of both counts for the longer one.
         """
-        mask = np.int32((1 << TABLE_BITS) - 1)
-        mixed = self.last * np.int32(20173)
-        one = self.base + ((mixed >> np.int32(5)) & mask)
-        two = self.base + (((mixed + self.before * np.int32(14303)) >> np.int32(7)) & mask)
-        self.at = (two, one)
-        self.said, self.trust, self.row, self.odds = [], [], [], []
-        for o in (0, 1):
-            entry = self.entry[o].take(self.at[o])
-            trust = entry >> np.int32(16)
-            self.said.append(entry & np.int32(65535))
-            self.trust.append(trust)
-            self.row.append(self.lane * np.int32(4) + trust)
-            self.odds.append(self.hold[o].take(self.row[o]))
-        self.odds.append(self.hold[2])
-        part = [self.odds[o] * self.weight[o] for o in (0, 1, 2)]
-        second, third = self.said[0] == self.said[1], self.top == self.said[0]
-        fourth = (self.top == self.said[1]) & ~third
-        a = part[0] + part[1] * second + part[2] * third
-        b = part[1] * ~second + part[2] * fourth
-        c = part[2] * ~(third | fourth)
-        scale = np.float32(4000)
-        self.cut1 = (a * scale).astype(np.int32) + np.int32(1)
-        self.cut2 = self.cut1 + (b * scale).astype(np.int32) + np.int32(1)
-        self.cut3 = self.cut2 + (c * scale).astype(np.int32) + np.int32(1)
-
-    def outcome(self, ids: np.ndarray) -> np.ndarray:
-        """0, 1 or 2 for the longest order that said the id, 3 if none did."""
-        out = np.where(ids == self.top, np.int32(2), np.int32(3))
-        out = np.where(ids == self.said[1], np.int32(1), out)
-        return np.where(ids == self.said[0], np.int32(0), out)
-
-    def span(self, outcome: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        start = np.where(outcome == 0, np.int32(0), np.where(outcome == 1, self.cut1, np.where(outcome == 2, self.cut2, self.cut3)))
-        end = np.where(outcome == 0, self.cut1, np.where(outcome == 1, self.cut2, np.where(outcome == 2, self.cut3, np.int32(4096))))
-        return start, end - start
-
-    def update(self, ids: np.ndarray, missed: np.ndarray, bits: np.ndarray) -> None:
-        hits = (ids == self.said[0], ids == self.said[1], ids == self.top)
-        fit = []
-        for o in (0, 1, 2):
-            odds, hit = self.odds[o], hits[o]
-            fit.append(self.weight[o] * np.where(hit, odds + np.float32(1e-3), np.float32(2e-3) - odds * np.float32(2e-3)))
-            new = odds + (hit - odds) * np.float32(0.03)
-            if o < 2:
-                self.hold[o][self.row[o]] = new
-            else:
-                self.hold[2] = new
-        whole = np.float32(0.94) / (fit[0] + fit[1] + fit[2])
-        for o in (0, 1, 2):
-            self.weight[o] = fit[o] * whole + np.float32(0.02)
-        for o in (0, 1):
-            hit, trust = hits[o], self.trust[o]
-            swap = ~hit & (trust < 2)
-            new = np.where(hit, np.minimum(trust + np.int32(1), np.int32(3)), trust - np.int32(1)) << np.int32(16)
-            self.entry[o][self.at[o]] = np.where(swap, ids | np.int32(65536), new | self.said[o])
-        new = ~hits[2] & (self.votes == 0)
-        self.votes += np.where(hits[2] | new, np.int32(1), np.int32(-1))
-        self.top = np.where(new, ids, self.top)
-        at = self.class_base + bits
-        self.seen.ravel()[at] += missed
-        self.step += 1
-        if self.step % _REFRESH == 0:
-            self._classes()
-        self.before, self.last = self.last, ids
-
-
-#: How many bits each number has.
-_BITS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.int32)
-
-
-def _settle(low: np.ndarray, size: np.ndarray, moved) -> None:
-    """Shift out words until every lane has room for another id; ``moved`` takes the lanes."""
-    equal = (low ^ (low + size)) < _TOP
-    todo = np.flatnonzero(equal | (size <= _BOTTOM))
-    while len(todo):
-        a, s = low.take(todo), size.take(todo)
-        tight = (a ^ (a + s)) >= _TOP
-        s = np.where(tight, (_0 - a) & _BOTTOM, s) << _16
-        moved(todo, a)
-        a = a << _16
-        low[todo], size[todo] = a, s
-        todo = todo[((a ^ (a + s)) < _TOP) | (s <= _BOTTOM)]
-
-
-def code_blocks(ids: np.ndarray) -> list[bytes]:
-    """Each row of ``ids`` (below 2**16) coded on its own."""
+        at = self.last * 40503
+        at += self.before * 30011
+        at >>= 4
+        at &= (1 << TABLE_BITS) - 1
+        at += self.base
+        entry = self.entry.take(at, mode="clip")
+        self.at, self.trust, self.said2 = at, entry & 3, entry >> 2
+        self.row = self.rows + self.trust
+        self.odds2 = self.hold.take(self.row, mode="clip")
+        self.said1 = self.start.next.take(self.last, mode="clip")
+        self.odds1 = self.start.sure.take(self.last, mode="clip")
+        a, b = self.weight2 * self.odds2, self.weight1 * self.odds1
+        same = b * (self.said1 == self.said2)
+        a += same
+        b -= same
+        a *= np.float32(4000)
+        b *= np.float32(4000)
+        self.end2 = a.astype(np.int32)
+        self.end2 += 1
+        self.end1 = b.astype(np.int32)
+        self.end1 += 1
+        self.end1 += self.end2
+
+    def span(self, now: np.ndarray, is2: np.ndarray, is1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and size of each number's share of 2**28."""
+        rest, end2, end1 = 4096 - self.end1, self.end2 << _ORDER_BITS, self.end1 << _ORDER_BITS
+        first = self.start.edge.take(now, mode="clip")
+        first *= rest
+        first += end1
+        share = self.start.width.take(now, mode="clip")
+        share *= rest
+        first, share = np.where(is1, end2, first), np.where(is1, end1 - end2, share)
+        return np.where(is2, 0, first).astype(np.uint64), np.where(is2, end2, share).astype(np.uint64)
+
+    def update(self, now: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
+        gain = self.start.gain.take(now, mode="clip")
+        fit2 = np.where(hit2, self.odds2 * gain, 1 - self.odds2)
+        fit2 *= self.weight2
+        fit1 = np.where(hit1, self.odds1 * gain, 1 - self.odds1)
+        fit1 *= self.weight1
+        whole = 1 - self.weight2
+        whole -= self.weight1
+        whole += fit2
+        whole += fit1
+        np.divide(np.float32(0.94), whole, out=whole)
+        for fit in (fit2, fit1):
+            fit *= whole
+            fit += np.float32(0.02)
+        self.weight2, self.weight1 = fit2, fit1
+        odds = hit2 - self.odds2
+        odds *= np.float32(0.04)
+        odds += self.odds2
+        self.hold[self.row] = odds
+        stay = hit2 | (self.trust > 1)
+        entry = np.where(stay, self.said2, now)
+        entry <<= 2
+        trust = self.trust + np.where(hit2, np.int32(1), np.int32(-1))
+        np.clip(trust, 0, 3, out=trust)
+        trust += ~stay & (trust == 0)
+        entry += trust
+        self.entry[self.at] = entry
+        self.before, self.last = self.last, now
+
+
+def code_blocks(ids: np.ndarray, start: _Start | None = None) -> list[bytes]:
+    """Each row of ``ids`` (below 2**16) coded on its own, all from the same ``start``.
+
+    A lane's interval is 64 bits; 32 of them leave as soon as its size fits the others. A
+    carry is added to the word that left last, and goes further up when all is done.
+    """
     lanes, length = ids.shape
-    model = _Model(lanes)
+    start = start or _Start.blank()
+    model = _Model(lanes, start)
     low, size = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    width = 3 * length + 8
-    out = np.zeros(lanes * width, np.uint16)
+    width = length + 2
+    out = np.zeros(lanes * width, np.uint64)
     end = np.arange(lanes) * width
-    columns = np.ascontiguousarray(ids.T)
-
-    def moved(todo: np.ndarray, a: np.ndarray) -> None:
-        out[end.take(todo)] = a >> _48
-        end[todo] += 1
-
-    for t in range(length):
-        now = columns[t].astype(np.int32)
+    columns = np.ascontiguousarray(_numbers(start.ids, ids).T)
+    for now in columns:
         model.predict()
-        outcome = model.outcome(now)
-        start, share = model.span(outcome)
-        unit = size >> _SCALE_BITS
-        low += unit * start.astype(np.uint64)
-        size = unit * share.astype(np.uint64)
-        missed = outcome == 3
-        bits = _BITS.take(now)
-        at = model.edge_base + bits
-        edges = model.edges.ravel()
-        start = np.where(missed, edges.take(at), np.int32(0))
-        share = np.where(missed, edges.take(at + np.int32(1)) - start, np.int32(4096))
-        unit = size >> _SCALE_BITS
-        low += unit * start.astype(np.uint64)
-        size = unit * share.astype(np.uint64)
-        rest = np.where(missed, np.maximum(bits - np.int32(1), np.int32(0)), np.int32(0))
-        size >>= rest.astype(np.uint64)
-        low += size * (now & ((np.int32(1) << rest) - np.int32(1))).astype(np.uint64)
-        _settle(low, size, moved)
-        model.update(now, missed, bits)
-    for shift in (48, 32, 16, 0):
-        out[end] = low >> np.uint64(shift)
-        end += 1
-    return [out[i * width : end[i]].astype("<u2").tobytes() for i in range(lanes)]
-
-
-def decode_blocks(coded: list[bytes], length: int) -> np.ndarray:
+        hit2, hit1 = now == model.said2, now == model.said1
+        first, share = model.span(now, hit2, hit1)
+        unit = size >> _STEP_BITS
+        first *= unit
+        low += first
+        size = share
+        size *= unit
+        over = np.flatnonzero(low < first)
+        if len(over):
+            out[end[over] - 1] += np.uint64(1)
+        todo = np.flatnonzero(size <= _LOW)
+        if len(todo):
+            a, place = low[todo], end[todo]
+            out[place] = a >> _32
+            end[todo] = place + 1
+            low[todo] = a << _32
+            size[todo] <<= _32
+        model.update(now, hit2, hit1)
+    # one more word names a number inside the interval; zeros are read after it
+    out[end] = (low >> _32) + ((low & _LOW) != 0)
+    out = out.reshape(lanes, width)
+    while (carry := out >> _32).any():
+        out &= _LOW
+        out[:, :-1] += carry[:, 1:]
+    words = end + 1 - np.arange(lanes) * width
+    return [row[:n].astype("<u4").tobytes() for row, n in zip(out, words.tolist(), strict=True)]
+
+
+def decode_blocks(coded: list[bytes], length: int, start: _Start | None = None) -> np.ndarray:
     """The inverse of ``code_blocks`` for rows of ``length`` ids."""
     lanes = len(coded)
-    model = _Model(lanes)
-    width = max(map(len, coded)) // 2 + 4
-    words = np.zeros((lanes, width), np.uint16)
+    start = start or _Start.blank()
+    model = _Model(lanes, start)
+    width = max(map(len, coded)) // 4 + 3
+    words = np.zeros((lanes, width), np.uint64)
     for i, data in enumerate(coded):
-        words[i, : len(data) // 2] = np.frombuffer(data, "<u2")
-    low, size = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    code = np.zeros(lanes, np.uint64)
-    for k in range(4):
-        code = (code << _16) | words[:, k].astype(np.uint64)
+        words[i, : len(data) // 4] = np.frombuffer(data, "<u4", len(data) // 4)
+    # how far the code is above the interval's low end
+    above = (words[:, 0] << _32) | words[:, 1]
     words = words.ravel()
-    at = np.arange(lanes) * width + 4
+    at = np.arange(lanes) * width + 2
     last = np.arange(1, lanes + 1) * width - 1
+    size = np.full(lanes, (1 << 64) - 1, np.uint64)
     out = np.zeros((length, lanes), np.uint16)
-    top = np.uint64(4095)
-
-    def moved(todo: np.ndarray, a: np.ndarray) -> None:
-        place = at.take(todo)
-        code[todo] = (code.take(todo) << _16) | words.take(np.minimum(place, last.take(todo)))
-        at[todo] = place + 1
-
+    top, ids = np.uint64((1 << 28) - 1), start.ids.astype(np.uint16)
     for t in range(length):
         model.predict()
-        unit = size >> _SCALE_BITS
-        value = np.minimum((code - low) // unit, top).astype(np.int32)
-        outcome = (value >= model.cut1).astype(np.int32) + (value >= model.cut2) + (value >= model.cut3)
-        start, share = model.span(outcome)
-        low += unit * start.astype(np.uint64)
-        size = unit * share.astype(np.uint64)
-        missed = outcome == 3
-        unit = size >> _SCALE_BITS
-        value = np.minimum((code - low) // unit, top).astype(np.int32)
-        bits = (value[:, None] >= model.edges[:, 1:-1]).sum(axis=1, dtype=np.int32)
-        place = model.edge_base + bits
-        edges = model.edges.ravel()
-        start = np.where(missed, edges.take(place), np.int32(0))
-        share = np.where(missed, edges.take(place + np.int32(1)) - start, np.int32(4096))
-        low += unit * start.astype(np.uint64)
-        size = unit * share.astype(np.uint64)
-        rest = np.where(missed, np.maximum(bits - np.int32(1), np.int32(0)), np.int32(0))
-        size >>= rest.astype(np.uint64)
-        most = (np.int32(1) << rest) - np.int32(1)
-        value = np.minimum((code - low) // size, most.astype(np.uint64)).astype(np.int32)
-        low += size * value.astype(np.uint64)
-        now = np.where(bits > 0, value + most + np.int32(1), np.int32(0))
-        now = np.where(missed, now, np.where(outcome == 0, model.said[0], np.where(outcome == 1, model.said[1], model.top)))
-        _settle(low, size, moved)
-        out[t] = now
-        model.update(now, missed, _BITS.take(now))
+        unit = size >> _STEP_BITS
+        value = np.minimum(above // unit, top).astype(np.int32)
+        end1 = model.end1 << _ORDER_BITS
+        is2, missed = value < model.end2 << _ORDER_BITS, value >= end1
+        value -= end1
+        value //= 4096 - model.end1
+        now = np.where(missed, start.at.take(value, mode="clip"), model.said1)
+        now = np.where(is2, model.said2, now).astype(np.int64)
+        first, share = model.span(now, is2, ~missed & ~is2)
+        first *= unit
+        above -= first
+        size = share
+        size *= unit
+        todo = np.flatnonzero(size <= _LOW)
+        if len(todo):
+            place = at[todo]
+            above[todo] = (above[todo] << _32) | words.take(np.minimum(place, last[todo]))
+            at[todo] = place + 1
+            size[todo] <<= _32
+        out[t] = ids.take(now, mode="clip")
+        model.update(now, now == model.said2, now == model.said1)
     return np.ascontiguousarray(out.T)
 
 
@@ -259,33 +280,43 @@ def decode_blocks(coded: list[bytes], length: int) -> np.ndarray:
 
 
 def write_frame(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> bytes:
-    """All ids of a frame: length of a block, sizes and checksums of the blocks, the blocks.
+    """All ids of a frame: length of a block, number of blocks, size and checksum of the start,
+    sizes and checksums of the blocks, the start, the blocks.
 
-    The last block is filled up with zeros; the number of ids is kept beside the frame.
+    The start is left out where it would take a byte or more for each id. The last block is
+    filled up with its last id; the number of ids is kept beside the frame.
     """
     if len(ids) and int(ids.max()) >= 1 << 16:
         raise ValueError("ids must be below 65536")
     length = max(1, min(block_ids, len(ids)))
     lanes = -(-len(ids) // length)
-    padded = np.zeros(lanes * length, np.uint16)
+    padded = np.full(lanes * length, ids[-1] if len(ids) else 0, np.uint16)
     padded[: len(ids)] = ids
     rows = padded.reshape(lanes, length)
-    coded = code_blocks(rows) if lanes else []
-    head = [length, lanes]
+    start = _Start.fitted(padded) if lanes else None
+    known = start.packed() if start else b""
+    if len(known) >= len(ids):
+        start, known = None, b""
+    coded = code_blocks(rows, start) if lanes else []
+    head = [length, lanes, len(known), zlib.crc32(known)]
     for row, data in zip(rows, coded, strict=True):
         head += [len(data), zlib.crc32(row.astype("<u2").tobytes())]
-    return b"".join([np.array(head, "<u4").tobytes(), *coded])
+    return b"".join([np.array(head, "<u4").tobytes(), known, *coded])
 
 
 def read_frame(data: bytes, n_ids: int) -> np.ndarray:
-    """The ids; a block whose checksum is wrong is an error."""
-    length, lanes = np.frombuffer(data, "<u4", 2).tolist()
-    head = np.frombuffer(data, "<u4", 2 * lanes, 8).reshape(lanes, 2)
+    """The ids; a start or a block whose checksum is wrong is an error."""
+    length, lanes, size, known_sum = np.frombuffer(data, "<u4", 4).tolist()
+    head = np.frombuffer(data, "<u4", 2 * lanes, 16).reshape(lanes, 2)
     if not lanes:
         return np.zeros(0, np.uint16)
-    ends = 8 + 8 * lanes + np.cumsum(head[:, 0], dtype=np.int64)
+    first = 16 + 8 * lanes
+    known = data[first : first + size]
+    if zlib.crc32(known) != known_sum:
+        raise ValueError("the start of the frame's blocks is damaged")
+    ends = first + size + np.cumsum(head[:, 0], dtype=np.int64)
     blocks = [data[e - n : e] for e, n in zip(ends.tolist(), head[:, 0].tolist(), strict=True)]
-    rows = decode_blocks(blocks, length)
+    rows = decode_blocks(blocks, length, _Start.unpacked(known) if size else None)
     for i, (row, sum_) in enumerate(zip(rows, head[:, 1].tolist(), strict=True)):
         if zlib.crc32(row.astype("<u2").tobytes()) != sum_:
             raise ValueError(f"block {i} is damaged")

@@ -91,3 +91,35 @@ def test_the_query_gives_what_the_library_gives_by_default(spark, documents, tmp
         assert r["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
         start += len(ids)
     assert got[0]["n_tokens"] == 5
+
+
+def test_ids_of_text_get_smaller_than_by_zlib():
+    from sedimenta.llm.bpe import vocabulary
+    from sedimenta.llm.queries import RANKS
+
+    rng = np.random.default_rng(5)
+    words = [" " + "".join(rng.choice(list("aeiourstlnmbdkp"), rng.integers(2, 12))) for _ in range(3000)]
+    pieces = vocabulary(RANKS).encode_pieces(words)
+    chosen = np.minimum(rng.zipf(1.2, 150_000) - 1, len(words) - 1)
+    ids = np.frombuffer(b"".join([pieces[i] for i in chosen.tolist()]), "<u4").astype(int)
+    data = f.write_frame(ids)
+    assert (f.read_frame(data, len(ids)) == ids).all()
+    assert len(data) < 0.95 * len(zlib.compress(ids.astype("<u2").tobytes(), 9))
+
+
+def test_a_damaged_start_is_found():
+    ids = np.random.default_rng(3).zipf(1.5, 5000) % 500
+    data = bytearray(f.write_frame(ids))
+    lanes = int(np.frombuffer(bytes(data[4:8]), "<u4")[0])
+    data[16 + 8 * lanes + 5] ^= 1
+    with pytest.raises(ValueError, match="start"):
+        f.read_frame(bytes(data), len(ids))
+
+
+def test_blocks_of_a_frame_do_not_depend_on_each_other():
+    ids = np.random.default_rng(4).zipf(1.4, 8000).clip(max=900).reshape(8, 1000)
+    start = f._Start.fitted(ids.ravel())
+    again = f._Start.unpacked(start.packed())
+    coded = f.code_blocks(ids, start)
+    assert f.code_blocks(ids[5:6], again) == coded[5:6]
+    assert (f.decode_blocks(coded[2:4], 1000, again) == ids[2:4]).all()
