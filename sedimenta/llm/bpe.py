@@ -19,7 +19,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sedimenta.llm.common import SLICE_BYTES, binary_array, slices, utf8
-from sedimenta.llm.pieces import Remembered
+from sedimenta.llm.pieces import Pieces, Remembered
 
 #: Widths of the matrices; a longer piece is merged on its own, by a heap.
 WIDTHS = (4, 8, 12, 16, 24, 32, 64, 128)
@@ -185,8 +185,9 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 @lru_cache(maxsize=2)
-def _remembered(path: str) -> Remembered:
-    return Remembered(vocabulary(path).encode_pieces)
+def _pieces(path: str) -> Pieces:
+    encode = vocabulary(path).encode_pieces
+    return Pieces(encode, Remembered(encode).texts)
 
 
 def local_file(path: str, shipped: bool) -> str:
@@ -201,11 +202,11 @@ def encode_text(text: Column, path: str, shipped: bool = False) -> Column:
     """
 
     def encode(column: pa.Array) -> pa.Array:
-        known = _remembered(local_file(path, shipped))
-        _, offsets = utf8(column)
+        known = _pieces(local_file(path, shipped))
+        data, offsets = utf8(column)
         out: list[bytes] = []
         for a, b in slices(offsets, SLICE_BYTES):
-            out += known.texts([x or "" for x in column.slice(a, b - a).to_pylist()])
+            out += known.texts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
         return binary_array(out)
 
     encode.__annotations__ = {"column": pa.Array, "return": pa.Array}

@@ -15,6 +15,7 @@ id of each at a time, as numpy vectors. A frame is a row of the file and holds w
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sedimenta.llm.common import SLICE_BYTES, Scratch, quoted, ready, slices, text_of, utf8
-from sedimenta.llm.pieces import _ODD, Remembered
+from sedimenta.llm.pieces import Pieces
 
 #: Ids of a block, and of a frame (more only if one document has more).
 BLOCK_IDS, FRAME_IDS = 2048, 1 << 22
@@ -328,10 +329,16 @@ _READ = "doc_id long, start long, n_ids long, ids binary"
 
 
 def _encode_texts(path: str, shipped: bool, plain_special: bool):
-    """Function from texts to packed ids, by the tokenizers library."""
+    """Function from texts (bytes end to end, and where they begin) to packed ids, by the tokenizers library."""
     return _library(SparkFiles.get(path.rpartition("/")[2]) if shipped else path, plain_special)
 
 
+# the character that stands for a byte in byte-level vocabularies: itself if it can be seen,
+# else the next one from 256 on
+_SEEN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SEEN)}
+
+
 @lru_cache(maxsize=2)
 def _library(path: str, plain_special: bool):
     from tokenizers import Tokenizer
@@ -341,32 +348,34 @@ def _library(path: str, plain_special: bool):
         tokenizer.encode_special_tokens = True
     # what the library looks for in a text before it splits it
     added = [x for x in tokenizer.get_added_tokens_decoder().values() if not (plain_special and x.special)]
-    # a normalized token may be found where its content does not stand as it is
-    all_whole = any(x.normalized for x in added) and tokenizer.normalizer is not None
-    special = re.compile("|".join(re.escape(x.content) for x in added)) if added else None
+    # only this way of splitting is done here
+    steps = json.loads(tokenizer.to_str())
+    split = steps["pre_tokenizer"] or {}
+    as_split = (split.get("type"), split.get("add_prefix_space"), split.get("use_regex", True)) == ("ByteLevel", False, True)
+    all_whole = not as_split or steps["normalizer"] is not None or steps["model"]["type"] != "BPE"
+    special = re.compile(b"|".join(re.escape(x.content.encode()) for x in added)) if added else None
 
     def whole(texts: list[str]) -> list[bytes]:
         found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def apart(words: list[str]) -> list[bytes]:
-        # many pieces as the words of one call; the library says which word an id is of
-        if not words:
-            return []
-        found = tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        packed = np.array(found.ids, "<u4").tobytes()
-        ends = 4 * np.searchsorted(np.array(found.word_ids, np.int64), np.arange(1, len(words) + 1))
-        places = [0, *ends.tolist()]
-        return [packed[a:b] for a, b in zip(places, places[1:], strict=False)]
+    def merged(words: list[str]) -> list[bytes]:
+        # a piece is what the library would split off, so its model can take it as it is
+        tokenize, out = tokenizer.model.tokenize, []
+        for word in words:
+            shown = word.encode().decode("latin-1").translate(_SHOWN)
+            out.append(b"".join([x.id.to_bytes(4, "little") for x in tokenize(shown)]))
+        return out
 
-    pieces = Remembered(apart)
+    pieces = Pieces(merged, whole)
 
-    def run(texts: list[str]) -> list[bytes]:
+    def run(data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
         # a text of unusual characters, or with an added token, is left to the library as a whole
-        odd = [all_whole or bool(_ODD.search(x) or (special and special.search(x))) for x in texts]
-        plain = iter(pieces.texts([x for x, o in zip(texts, odd, strict=True) if not o]))
-        rest = iter(whole([x for x, o in zip(texts, odd, strict=True) if o]))
-        return [next(rest) if o else next(plain) for o in odd]
+        odd = np.full(len(offsets) - 1, all_whole)
+        if special and not all_whole:
+            raw, edges = data.tobytes(), offsets.tolist()
+            odd[:] = [bool(special.search(raw, a, b)) for a, b in zip(edges, edges[1:], strict=False)]
+        return pieces.texts(data, offsets, odd)
 
     return run
 
@@ -391,10 +400,11 @@ def _frames(path: str, shipped: bool, end_id: int, frame_ids: int, plain_special
 
         total = 0
         for batch in batches:
-            _, offsets = utf8(batch.column(1))
+            data, offsets = utf8(batch.column(1))
             for a, b in slices(offsets, SLICE_BYTES):
                 names = batch.column(0).slice(a, b - a).to_pylist()
-                for name, packed in zip(names, encode(batch.column(1).slice(a, b - a).to_pylist()), strict=True):
+                found = encode(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                for name, packed in zip(names, found, strict=True):
                     ids = np.append(np.frombuffer(packed, "<u4"), np.uint32(end_id))
                     if held and total + len(ids) > frame_ids:
                         yield close()

@@ -123,3 +123,24 @@ def test_blocks_of_a_frame_do_not_depend_on_each_other():
     coded = f.code_blocks(ids, start)
     assert f.code_blocks(ids[5:6], again) == coded[5:6]
     assert (f.decode_blocks(coded[2:4], 1000, again) == ids[2:4]).all()
+
+
+def test_every_character_is_encoded_as_by_the_library():
+    library = Tokenizer.from_file(TOKENIZER)
+    texts = ["".join(map(chr, range(a, a + 64))) for a in range(0, 0x300, 64)] + ["", "it's  we'll\n\n x ", " 12ab"]
+    texts += [f"{x} {y}" for x in texts[:12] for y in ("mañana's", "\t7", "<|endoftext|>")]
+    raw = [x.encode() for x in texts]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    want = [np.array(library.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+    assert f._encode_texts(TOKENIZER, False, False)(data, offsets) == want
+
+
+def test_another_split_is_left_to_the_library(tmp_path):
+    from tokenizers import pre_tokenizers
+
+    library = Tokenizer.from_file(TOKENIZER)
+    library.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Punctuation(), pre_tokenizers.ByteLevel(add_prefix_space=False)])
+    library.save(str(tmp_path / "other.json"))
+    text = " ".join(f"word{i},and's" for i in range(1200))
+    got = f._encode_texts(str(tmp_path / "other.json"), False, False)(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+    assert got == [np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
