@@ -439,7 +439,8 @@ def write_ids(
     ready(docs.sparkSession)
     rows = docs.select(quoted(id_col).cast("long").alias("id"), text_of(docs, text_col).alias("text"))
     tie = F.xxhash64("text")
-    ordered = rows.repartitionByRange("id").sortWithinPartitions("id", tie)
+    # rows with one id, or without, are split by their texts
+    ordered = rows.repartitionByRange(F.col("id"), tie).sortWithinPartitions("id", tie)
     frames = ordered.mapInArrow(_frames(tokenizer, shipped, end_id, frame_ids, plain_special), _FRAME)
     frames.write.option("compression", "uncompressed").parquet(path)
 

@@ -144,3 +144,13 @@ def test_another_split_is_left_to_the_library(tmp_path):
     text = " ".join(f"word{i},and's" for i in range(1200))
     got = f._encode_texts(str(tmp_path / "other.json"), False, False)(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
     assert got == [np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+
+
+def test_rows_without_ids_are_not_one_task(spark, documents, tmp_path):
+    rows = [(None, f"text {i}") for i in range(400)] + [(7, f"text {i}") for i in range(400)]
+    path = str(tmp_path / "ids")
+    f.write_ids(documents(*rows), path, TOKENIZER)
+    frames = spark.read.schema(f._FRAME).parquet(path).selectExpr("part", "size(sizes) as n").collect()
+    assert len({r["part"] for r in frames}) > 2
+    got = sorted(f.read_ids(spark, path).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == [None] * 400 + [7] * 400
