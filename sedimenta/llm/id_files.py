@@ -7,7 +7,7 @@ order gives the next id a probability, by how often it held lately, and the thre
 by weights that follow how well each did. One step of the coder says which of the longer
 orders is right, or which id it is by order 0.
 
-A block is a fixed number of ids. Model and coder are reset in each, to a start that the frame
+A block is a fixed number of ids, in a small frame a smaller one. Model and coder are reset in each, to a start that the frame
 has once (its ids' shares and followers), and its checksum is verified when it is read. Blocks
 do not depend on each other, so all blocks of a frame go through the coder side by side, one
 id of each at a time, as numpy vectors. A frame is a row of the file and holds whole documents.
@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,6 +34,9 @@ from sedimenta.llm.pieces import Pieces
 
 #: Ids of a block, and of a frame (more only if one document has more).
 BLOCK_IDS, FRAME_IDS = 2048, 1 << 22
+#: A frame of fewer ids has this many blocks, of fewer ids each but not below the second
+#: number: the steps of the coder are as many as a block has ids, however few the blocks.
+BLOCKS, SHORTEST = 256, 256
 #: Entries of a block's table of predictions, as a power of two.
 TABLE_BITS = 11
 END_ID = 2
@@ -289,7 +293,7 @@ def write_frame(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> bytes:
     """
     if len(ids) and int(ids.max()) >= 1 << 16:
         raise ValueError("ids must be below 65536")
-    length = max(1, min(block_ids, len(ids)))
+    length = max(1, min(block_ids, len(ids), max(SHORTEST, -(-len(ids) // BLOCKS))))
     lanes = -(-len(ids) // length)
     padded = np.full(lanes * length, ids[-1] if len(ids) else 0, np.uint16)
     padded[: len(ids)] = ids
@@ -337,6 +341,7 @@ def _encode_texts(path: str, shipped: bool, plain_special: bool):
 # else the next one from 256 on
 _SEEN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SEEN)}
+_BLANK = chr(_SHOWN[32])
 
 
 @lru_cache(maxsize=2)
@@ -363,8 +368,11 @@ def _library(path: str, plain_special: bool):
         # a piece is what the library would split off, so its model can take it as it is
         tokenize, out = tokenizer.model.tokenize, []
         for word in words:
-            shown = word.encode().decode("latin-1").translate(_SHOWN)
-            out.append(b"".join([x.id.to_bytes(4, "little") for x in tokenize(shown)]))
+            if word.isascii() and word.isprintable():
+                shown = word.replace(" ", _BLANK)
+            else:
+                shown = word.encode().decode("latin-1").translate(_SHOWN)
+            out.append(array("I", [x.id for x in tokenize(shown)]).tobytes())
         return out
 
     pieces = Pieces(merged, whole)
