@@ -87,6 +87,25 @@ def freed_scratch() -> Iterator[None]:
             storage.remove_tree(spark, path)
 
 
+@contextlib.contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of every query that runs inside are removed when it ends.
+
+    Otherwise they stay until the driver happens to collect the plan that made them. For
+    queries that write their result: a DataFrame that runs again shuffles again.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def stage(df: DataFrame, label: str, near: str | None = None) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back.
 

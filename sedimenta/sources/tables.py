@@ -14,13 +14,16 @@ greatest row by that column from whichever run. Runs are put together as soon as
 them is half their size, so what a small batch costs depends on the batch and on the
 logarithm of the table. An upsert fails before the commit if it should have written a
 slice that it has not read.
+
+What has to be shuffled goes in waves of whole keys, most often of whole slices, and a wave's
+shuffle files are freed before the next one. So the scratch space a load needs is that of one wave.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, replace
 from datetime import date, datetime
 from decimal import Decimal
@@ -49,13 +52,24 @@ from sedimenta.operators.upsert import (
     upsert,
     with_keys,
 )
-from sedimenta.session import has_shuffle
+from sedimenta.session import (
+    freed_scratch,
+    freed_shuffles,
+    has_shuffle,
+    planned_bytes,
+    stage,
+)
 from sedimenta.sources import storage
 
 SLICE, SNAPSHOT = "slice", "snapshot"
 WHOLE = "all"
 #: A layer that is not so many times as large as all later ones is put together with them.
 LAYER_STEP = 2
+#: So many rows are shuffled at a time, if there are more.
+WAVE_ROWS = 1 << 25
+#: A batch that is planned as larger is staged, so that its latest rows are found in waves. A size
+#: that Catalyst does not know is planned as ``UNKNOWN_BYTES`` or more.
+STAGED_BYTES, UNKNOWN_BYTES = 256 << 20, 1 << 60
 
 
 class Layer(NamedTuple):
@@ -269,13 +283,15 @@ def _scan(
     path: str,
     snapshot: Snapshot,
     slices: Mapping[str, Sequence[Layer]],
+    part: Column | None = None,
 ) -> DataFrame:
     """All rows of the given layers, with the snapshot that each one lies in."""
     schema = StructType([*snapshot.schema.fields]).add(SLICE, StringType()).add(SNAPSHOT, StringType())
     folders = [f"{path}/{SNAPSHOT}={x.at}/{name}" for name, layers in slices.items() for x in layers]
     if not folders:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+    df = spark.read.schema(schema).option("basePath", path).parquet(*folders)
+    return df if part is None else df.filter(part)
 
 
 def _rows(
@@ -283,17 +299,18 @@ def _rows(
     path: str,
     snapshot: Snapshot,
     slices: Mapping[str, Sequence[Layer]],
+    part: Column | None = None,
 ) -> DataFrame:
     """The rows of the given slices: of a key, those of the last layer that holds it, or
-    the latest by the table's column for that."""
+    the latest by the table's column for that. ``part`` picks keys."""
     names = snapshot.schema.names
     single = {name: layers for name, layers in slices.items() if len(layers) == 1}
     layered = {name: layers for name, layers in slices.items() if len(layers) > 1}
-    alone = _scan(spark, path, snapshot, single).select(*names)
+    alone = _scan(spark, path, snapshot, single, part).select(*names)
     if not layered:
         return alone
-    oldest = _scan(spark, path, snapshot, {name: x[:1] for name, x in layered.items()})
-    runs = _scan(spark, path, snapshot, {name: x[1:] for name, x in layered.items()})
+    oldest = _scan(spark, path, snapshot, {name: x[:1] for name, x in layered.items()}, part)
+    runs = _scan(spark, path, snapshot, {name: x[1:] for name, x in layered.items()}, part)
     if snapshot.latest_by:
         # rows of the oldest layer take part in the choice only if a run holds their key
         met = with_keys(oldest, runs, snapshot.keys, snapshot.null_safe)
@@ -352,7 +369,7 @@ def overwrite_snapshot(
     spark = df.sparkSession
     known = versions(spark, path)
     snapshot = _layout(df, known[-1] + 1 if known else 1, partition_by, buckets, bucket_by)
-    return _commit(spark, path, _write(df, path, snapshot))
+    return _commit(spark, path, _write(spark, [df], path, snapshot))
 
 
 def load_incremental(
@@ -393,7 +410,7 @@ def load_incremental(
     if on_duplicate not in ("error", "latest", "allow"):
         raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
     spark = df.sparkSession
-    keys = list(keys)
+    keys, given = list(keys), df
     if not set(partition_by) <= set(keys) or not set(bucket_by) <= set(keys):
         raise ValueError("slices must be made from key columns")
     if latest_by:
@@ -436,7 +453,13 @@ def load_incremental(
     layout = replace(layout, keys=tuple(keys), null_safe=null_safe, latest_by=latest_by)
     made: list[str] = []
     try:
-        staged = _write(df.select(*layout.schema.names), path, layout, made, counted=True)
+        parts: Iterable[DataFrame] = [df.select(*layout.schema.names)]
+        latest = latest_by or (order_by if on_duplicate == "latest" else None)
+        if latest and STAGED_BYTES <= planned_bytes(given) < UNKNOWN_BYTES:
+            waves = _latest_in_waves(given, path, layout, latest)
+            parts = (_as_stored(x, layout, current, merge_schema) for x in waves)
+        with freed_scratch():
+            staged = _write(spark, parts, path, layout, made, counted=True)
         batch = _rows(spark, path, staged, staged.slices)
         if on_duplicate == "error":
             _fail_on_duplicates(batch, keys, null_safe)
@@ -453,18 +476,22 @@ def load_incremental(
         joined = {name: held[name][first[name] :] for name in held if held[name][first[name] :]}
         slices = {**current.slices, **{name: held[name] + staged.slices[name] for name in held}}
         if joined:
-            if newer_only:
-                before = _rows(spark, path, replace(current, keys=layout.keys), joined)
-                met = _rows(spark, path, staged, {name: staged.slices[name] for name in joined})
-                merged = upsert(
-                    before, met, keys, null_safe=null_safe, on_duplicate="allow", newer_only=newer_only
-                )
-            else:
-                both = {name: layers + staged.slices[name] for name, layers in joined.items()}
-                merged = _rows(spark, path, layout, both)
-            written = _write(
-                merged, path, layout, made, gathered=not has_shuffle(merged), counted=True
-            )
+            both = {name: layers + staged.slices[name] for name, layers in joined.items()}
+
+            def merged() -> Iterator[DataFrame]:
+                counts = _row_counts(spark, path, layout, both)
+                for names, part in _waves(counts, keys):
+                    if not newer_only:
+                        yield _rows(spark, path, layout, {name: both[name] for name in names}, part)
+                        continue
+                    held_by = replace(current, keys=layout.keys)
+                    before = _rows(spark, path, held_by, {name: joined[name] for name in names}, part)
+                    met = _rows(spark, path, staged, {name: staged.slices[name] for name in names}, part)
+                    yield upsert(
+                        before, met, keys, null_safe=null_safe, on_duplicate="allow", newer_only=newer_only
+                    )
+
+            written = _write(spark, merged(), path, layout, made, gathered=True, counted=True)
             strays = set(written.slices) - set(joined)
             if strays:
                 raise RuntimeError(f"the upsert would replace slices it has not read: {strays}")
@@ -489,6 +516,65 @@ def _first_to_merge(layers: Sequence[Layer], rows: int) -> int:
     return first
 
 
+def _latest_in_waves(
+    df: DataFrame, path: str, layout: Snapshot, order_by: str
+) -> Iterator[DataFrame]:
+    """``latest_per_key`` of a large batch. The batch is staged as it comes, without a shuffle,
+    and each wave picks its slices from there; a slice's label is a function of the key."""
+    with freed_shuffles(df.sparkSession):
+        batch = stage(df, "batch", near=path)
+    label = replace(layout, schema=df.schema).slice_label()
+    rows = dict(batch.groupBy(label.alias(SLICE)).count().collect())
+    for names, part in _waves(rows, layout.keys):
+        some = batch if len(names) == len(rows) else batch.filter(label.isin(*names))
+        some = some if part is None else some.filter(part)
+        yield latest_per_key(some, layout.keys, order_by, null_safe=layout.null_safe)
+
+
+def _waves(
+    rows: Mapping[str, int], keys: Sequence[str]
+) -> Iterator[tuple[list[str], Column | None]]:
+    """Slices put together up to ``WAVE_ROWS``; one with more rows is alone and comes in parts,
+    by a hash that is neither that of the buckets nor that of a shuffle."""
+    groups: list[list[str]] = []
+    held = 0
+    for name, count in sorted(rows.items()):
+        if not groups or held + count > WAVE_ROWS:
+            groups.append([])
+            held = 0
+        groups[-1].append(name)
+        held += count
+    for names in groups:
+        parts = max(1, -(-sum(rows[name] for name in names) // WAVE_ROWS))
+        turn = F.pmod(F.xxhash64(F.lit(SLICE), *keys), F.lit(parts))
+        for i in range(parts):
+            yield names, (turn == i if parts > 1 else None)
+
+
+def _row_counts(
+    spark: SparkSession, path: str, layout: Snapshot, slices: Mapping[str, Sequence[Layer]]
+) -> dict[str, int]:
+    """How many rows the layers of each slice have; those that nobody counted are counted."""
+    unknown = {n: [x for x in layers if x.rows < 0] for n, layers in slices.items()}
+    unknown = {n: layers for n, layers in unknown.items() if layers}
+    found: dict[str, int] = {}
+    if unknown:
+        found = dict(_scan(spark, path, layout, unknown).groupBy(SLICE).count().collect())
+    return {
+        n: sum(max(x.rows, 0) for x in layers) + found.get(unquote(n.partition("=")[2]), 0)
+        for n, layers in slices.items()
+    }
+
+
+def _as_stored(
+    df: DataFrame, layout: Snapshot, current: Snapshot | None, merge_schema: bool
+) -> DataFrame:
+    """Rows of a batch with the table's columns and types."""
+    if current is not None:
+        df = _as_typed(to_schema(df, current.schema) if merge_schema else df, current.schema)
+    return df.select(*layout.schema.names)
+
+
 def _with_schema(
     spark: SparkSession, path: str, current: Snapshot, schema: StructType
 ) -> Snapshot:
@@ -496,7 +582,7 @@ def _with_schema(
     if widened(current.schema, schema):
         rows = to_schema(_rows(spark, path, current, current.slices), schema)
         layout = replace(current, schema=schema, slices={}, version=current.version + 1)
-        _commit(spark, path, _write(rows, path, layout))
+        _commit(spark, path, _write(spark, [rows], path, layout))
         return snapshot_of(spark, path)
     return replace(current, schema=schema)
 
@@ -525,7 +611,7 @@ def compact_table(spark: SparkSession, path: str) -> int:
     current = snapshot_of(spark, path)
     df = _rows(spark, path, current, current.slices)
     layout = replace(current, slices={}, version=current.version + 1)
-    return _commit(spark, path, _write(df, path, layout, counted=True))
+    return _commit(spark, path, _write(spark, [df], path, layout, counted=True))
 
 
 def expire_snapshots(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
@@ -573,29 +659,32 @@ def _layout(df, version, partition_by, buckets, bucket_by) -> Snapshot:
 
 
 def _write(
-    df: DataFrame,
+    spark: SparkSession,
+    parts: Iterable[DataFrame],
     path: str,
     snapshot: Snapshot,
     made: list[str] | None = None,
     gathered: bool = False,
     counted: bool = False,
 ) -> Snapshot:
-    """Write a version's files; ``made`` learns the snapshot's name before it is written.
+    """Write a version's files, one part after the other; ``made`` learns the snapshot's name
+    before it is written.
 
     The rebalance brings a slice's rows together; AQE then splits a large slice
     over many tasks. It is left out where the rows come ``gathered``, straight
-    from a scan of files that each belong to one slice. Rows are counted from the
-    footers of the files.
+    from a scan of files that each belong to one slice. What a part shuffled is
+    freed once it is written. Rows are counted from the footers of the files.
     """
-    spark = df.sparkSession
     at = f"{snapshot.version}-{uuid.uuid4().hex[:12]}"
     if made is not None:
         made.append(at)
     folder = f"{path}/{SNAPSHOT}={at}"
-    labelled = df.withColumn(SLICE, snapshot.slice_label())
-    if snapshot.sliced and not gathered:
-        labelled = labelled.hint("rebalance", SLICE)
-    labelled.write.partitionBy(SLICE).parquet(folder)
+    for df in parts:
+        labelled = df.withColumn(SLICE, snapshot.slice_label())
+        if snapshot.sliced and not (gathered and not has_shuffle(df)):
+            labelled = labelled.hint("rebalance", SLICE)
+        with freed_shuffles(spark):
+            labelled.write.mode("append").partitionBy(SLICE).parquet(folder)
     names = [n for n in storage.child_names(spark, folder) if "=" in n]
     rows: dict[str, int] = {}
     if counted and names:
